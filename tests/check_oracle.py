@@ -1,0 +1,97 @@
+"""Runs registered queries in Spark and their SQL in DuckDB and compares the rows.
+
+python tests/check_oracle.py [sf_dir] [name ...]
+"""
+
+from __future__ import annotations
+
+import math
+import sys
+import time
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return con
+
+
+def _row(values: tuple) -> tuple:
+    out = []
+    for v in values:
+        if isinstance(v, float):
+            v = None if math.isnan(v) else ("f", round(v, 6) + 0.0)
+        out.append(v)
+    return tuple(out)
+
+
+def compare(spark, con, name: str, sf_dir: str) -> str | None:
+    """What differs between the query and its SQL, or None."""
+    import __spark_entry__ as entry
+
+    df = entry.queries()[name](spark, sf_dir)
+    order = sorted(df.columns)
+    mine = Counter(_row(tuple(r)) for r in df.select(*[f"`{c}`" for c in order]).collect())
+    cursor = con.execute(entry.oracle_sql()[name])
+    columns = [d[0] for d in cursor.description]
+    shared = [c for c in columns if c in order]
+    if sorted(columns) != order and name not in ROWS_ONLY_COLUMNS:
+        return f"columns {order} != {sorted(columns)}"
+    place = [columns.index(c) for c in sorted(shared)]
+    theirs = Counter(_row(tuple(r[i] for i in place)) for r in cursor.fetchall())
+    if name in ROWS_ONLY_COLUMNS:
+        mine = Counter(
+            _row(tuple(r)) for r in df.select(*[f"`{c}`" for c in sorted(shared)]).collect()
+        )
+    if mine != theirs:
+        return (
+            f"{sum(mine.values())} rows and {sum(theirs.values())}; only in Spark "
+            f"{list((mine - theirs))[:3]}; only in DuckDB {list((theirs - mine))[:3]}"
+        )
+    return None if mine else "EMPTY"
+
+
+ROWS_ONLY_COLUMNS: set[str] = set()
+
+
+def main() -> int:
+    import __spark_entry__ as entry
+    from tidemark.session import build_session
+
+    args = sys.argv[1:]
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
+    names = args[1:] or list(entry.queries())
+    spark = build_session("check", "local[8]")
+    spark.sparkContext.setLogLevel("ERROR")
+    con = connect(sf_dir)
+    bad = 0
+    for name in names:
+        start = time.time()
+        try:
+            if name in entry.oracle_sql():
+                problem = compare(spark, con, name, sf_dir)
+            else:
+                rows = entry.queries()[name](spark, sf_dir).collect()
+                problem = None if rows else "EMPTY"
+                print("      ", rows[:2])
+        except Exception as error:  # report and go on
+            problem = f"{type(error).__name__}: {str(error)[:600]}"
+        bad += problem not in (None, "EMPTY")
+        print(f"{name:32s} {time.time() - start:6.2f}s {problem or 'ok'}", flush=True)
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(main())
