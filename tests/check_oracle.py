@@ -43,18 +43,14 @@ def compare(spark, con, name: str, sf_dir: str) -> str | None:
 
     df = entry.queries()[name](spark, sf_dir)
     order = sorted(df.columns)
-    mine = Counter(_row(tuple(r)) for r in df.select(*[f"`{c}`" for c in order]).collect())
+    found = df.select(*[f"`{c}`" for c in order]).collect()
+    mine = Counter(_row(tuple(r)) for r in found)
     cursor = con.execute(entry.oracle_sql()[name])
     columns = [d[0] for d in cursor.description]
-    shared = [c for c in columns if c in order]
-    if sorted(columns) != order and name not in ROWS_ONLY_COLUMNS:
+    if sorted(columns) != order:
         return f"columns {order} != {sorted(columns)}"
-    place = [columns.index(c) for c in sorted(shared)]
+    place = [columns.index(c) for c in order]
     theirs = Counter(_row(tuple(r[i] for i in place)) for r in cursor.fetchall())
-    if name in ROWS_ONLY_COLUMNS:
-        mine = Counter(
-            _row(tuple(r)) for r in df.select(*[f"`{c}`" for c in sorted(shared)]).collect()
-        )
     if mine != theirs:
         return (
             f"{sum(mine.values())} rows and {sum(theirs.values())}; only in Spark "
@@ -63,9 +59,6 @@ def compare(spark, con, name: str, sf_dir: str) -> str | None:
     return None if mine else "EMPTY"
 
 
-ROWS_ONLY_COLUMNS: set[str] = set()
-
-
 def main() -> int:
     import __spark_entry__ as entry
     from tidemark.session import build_session

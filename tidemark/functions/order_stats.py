@@ -32,19 +32,26 @@ def value_counts(
     return rows.where(keep).groupBy(*by, "value").agg(F.sum(F.col("w").cast("bigint")).alias("n"))
 
 
+def staged_counts(
+    df: DataFrame, value: str, by: Sequence[str] = (), weight: Column | None = None
+) -> DataFrame:
+    """``value_counts`` kept in the shared folder: ranking reads them several times."""
+    return stage(value_counts(df, value, by, weight), "value-counts")
+
+
 def running_counts(
     counts: DataFrame, by: Sequence[str] = (), values_per_range: int = VALUES_PER_RANGE
 ) -> DataFrame:
     """Add ``before`` (rows with a smaller value) and ``total`` (all rows) within ``by``.
 
     ``counts`` holds one row per ``(by.., value)`` with a bigint ``n``; other columns are kept.
+    It is read up to four times, so it should be staged.
     """
-    rows = stage(counts, "value-counts")
-    ranges = min(MAX_RANGES, -(-rows.count() // values_per_range))
-    bounds = _range_bounds(rows, ranges)
-    inside = W.partitionBy(*by).orderBy("value").rowsBetween(W.unboundedPreceding, -1)
+    ranges = min(MAX_RANGES, -(-counts.count() // values_per_range))
+    bounds = _range_bounds(counts, ranges)
     if not bounds:
-        return rows.withColumns(
+        inside = W.partitionBy(*by).orderBy("value").rowsBetween(W.unboundedPreceding, -1)
+        return counts.withColumns(
             {
                 "before": F.coalesce(F.sum("n").over(inside), F.lit(0)),
                 "total": F.sum("n").over(W.partitionBy(*by)),
@@ -52,7 +59,7 @@ def running_counts(
         )
 
     splits = [float("-inf"), *bounds, float("inf")]
-    rows = Bucketizer(splits=splits, inputCol="value", outputCol="range").transform(rows)
+    rows = Bucketizer(splits=splits, inputCol="value", outputCol="range").transform(counts)
     keys = [*by, "range"]
     per_range = rows.groupBy(*keys).agg(F.sum("n").alias("in_range"))
     upto = W.partitionBy(*by).orderBy("range").rowsBetween(W.unboundedPreceding, -1)
@@ -65,7 +72,7 @@ def running_counts(
     return (
         rows.join(starts, keys)
         .withColumn("before", F.col("start") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
-        .drop("range", "start")
+        .select(*counts.columns, "before", "total")
     )
 
 
@@ -79,16 +86,13 @@ def _range_bounds(rows: DataFrame, ranges: int) -> list[float]:
     return sorted(set(found or []))
 
 
-def quantiles(
-    df: DataFrame,
-    value: str,
+def quantiles_of_counts(
+    counts: DataFrame,
     probs: Sequence[float],
     by: Sequence[str] = (),
-    weight: Column | None = None,
     values_per_range: int = VALUES_PER_RANGE,
 ) -> DataFrame:
     """``(by.., quantiles)``: exact quantiles, linear between neighbours, as an array."""
-    ranked = running_counts(value_counts(df, value, by, weight), by, values_per_range)
     last = F.col("total") - 1
     holds = lambda place: (F.col("before") <= place) & (place < F.col("before") + F.col("n"))
     picks = []
@@ -103,4 +107,18 @@ def quantiles(
         F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"part{i}")
         for i in range(len(probs))
     ]
+    ranked = running_counts(counts, by, values_per_range)
     return ranked.groupBy(*by).agg(*picks).select(*by, F.array(*mix).alias("quantiles"))
+
+
+def quantiles(
+    df: DataFrame,
+    value: str,
+    probs: Sequence[float],
+    by: Sequence[str] = (),
+    weight: Column | None = None,
+    values_per_range: int = VALUES_PER_RANGE,
+) -> DataFrame:
+    """Exact quantiles of a column, see ``quantiles_of_counts``."""
+    counts = staged_counts(df, value, by, weight)
+    return quantiles_of_counts(counts, probs, by, values_per_range)

@@ -184,7 +184,7 @@ def mann_whitney(
     whole = lambda c: c.cast("decimal(38,0)")
     n = whole(F.col("n"))
     twice_rank = whole(2 * F.col("before") + F.col("n") + 1)
-    sums = running_counts(counts).agg(
+    sums = running_counts(stage(counts, "value-counts")).agg(
         F.sum("n_a").alias("n_a"),
         F.sum("n_b").alias("n_b"),
         F.sum(whole(F.col("n_a")) * twice_rank).cast("double").alias("twice_rank_sum"),
@@ -198,7 +198,7 @@ def mann_whitney(
     return (
         sums.withColumn("u", u)
         .withColumn("z", F.try_divide(away, spread))
-        .withColumn("p_value", normal_two_sided(F.greatest(F.col("z"), F.lit(0.0))))
+        .withColumn("p_value", normal_two_sided(F.when(F.col("z") < 0, 0.0).otherwise(F.col("z"))))
         .select("n_a", "n_b", "u", "ties", "z", "p_value")
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -118,17 +118,18 @@ def anomaly_bands(
     )
 
 
+def _two_places(number: Column, unit: str = "") -> Column:
+    shown = F.concat(F.format_string("%.2f", round_even(number, 2)), F.lit(unit))
+    return F.when(number.isNull(), F.lit("-")).otherwise(shown)
+
+
 def latest_checks(bands: DataFrame) -> DataFrame:
     """The newest row of each metric: value, band, change from the row before, alert or not."""
     newest = F.max("ts").over(W.partitionBy("metric"))
     outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
     change = 1 - ratio("value", "previous")
-    percent = F.concat(F.format_string("%.2f", round_even(change * 100, 2)), F.lit("%"))
     text = F.format_string(
-        ALERT_TEXT,
-        F.col("metric"),
-        F.coalesce(F.format_string("%.2f", round_even("value", 2)), F.lit("-")),
-        F.when(change.isNull(), F.lit("-")).otherwise(percent),
+        ALERT_TEXT, F.col("metric"), _two_places(F.col("value")), _two_places(change * 100, "%")
     )
     return (
         bands.withColumn("newest", newest)

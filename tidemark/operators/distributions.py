@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import col
-from tidemark.functions.order_stats import quantiles, value_counts
+from tidemark.functions.order_stats import quantiles_of_counts, staged_counts
 
 
 def frequency(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -28,36 +27,47 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, value: str, by: str) -> DataFrame:
-    """Count, mean, standard deviation, minimum, quartiles and maximum per group."""
-    number = col(value).cast("double")
-    moments = (
-        df.where(F.col(by).isNotNull())
-        .groupBy(by)
+    """Count, mean, standard deviation, minimum, quartiles and maximum per group.
+
+    Everything comes from the staged counts of distinct values, so ``df`` is computed once. The
+    spread is summed around the median, which keeps the digits when the values are large.
+    """
+    counts = staged_counts(df, value, [by])
+    quartiles = quantiles_of_counts(counts, [0.25, 0.5, 0.75], [by])
+    off = F.col("value") - F.col("quantiles")[1]
+    n = F.col("count")
+    variance = F.try_divide(F.col("off2") - F.col("off1") * F.col("off1") / n, n - 1)
+    return (
+        counts.join(quartiles, by)
+        .groupBy(by, "quantiles")
         .agg(
-            F.count(number).alias("count"),
-            F.avg(number).alias("mean"),
-            F.stddev_samp(number).alias("std"),
-            F.min(number).alias("min"),
-            F.max(number).alias("max"),
+            F.sum("n").alias("count"),
+            F.sum(F.col("n") * off).alias("off1"),
+            F.sum(F.col("n") * off * off).alias("off2"),
+            F.min("value").alias("min"),
+            F.max("value").alias("max"),
+        )
+        .select(
+            by,
+            "count",
+            (F.col("quantiles")[1] + F.col("off1") / n).alias("mean"),
+            F.sqrt(F.when(variance < 0, 0.0).otherwise(variance)).alias("std"),
+            "min",
+            *[F.col("quantiles")[i].alias(name) for i, name in enumerate(("q25", "q50", "q75"))],
+            "max",
         )
-    )
-    quartiles = quantiles(df, value, [0.25, 0.5, 0.75], [by]).select(
-        by, *[F.col("quantiles")[i].alias(name) for i, name in enumerate(("q25", "q50", "q75"))]
-    )
-    return moments.join(quartiles, by, "left").select(
-        by, "count", "mean", "std", "min", "q25", "q50", "q75", "max"
     )
 
 
 def box_summary(df: DataFrame, value: str, by: str) -> DataFrame:
     """Quartiles, whiskers at 1.5 interquartile ranges and number of points beyond, per group."""
-    box = quantiles(df, value, [0.25, 0.5, 0.75], [by])
+    counts = staged_counts(df, value, [by])
+    box = quantiles_of_counts(counts, [0.25, 0.5, 0.75], [by])
     q1, q2, q3 = (F.col("quantiles")[i] for i in range(3))
     reach = 1.5 * (q3 - q1)
     inside = F.col("value").between(q1 - reach, q3 + reach)
     return (
-        value_counts(df, value, [by])
-        .join(box, by)
+        counts.join(box, by)
         .groupBy(by, "quantiles")
         .agg(
             F.sum("n").alias("count"),
