@@ -5,18 +5,15 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from tidemark.session import build_session
+from tidemark.session import build_session, clear_staged
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    session = build_session(
-        "tests",
-        "local[8]",
-        **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))},
-    )
+def spark():
+    session = build_session("tests", "local[8]")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_staged(session)
     session.stop()
 
 
