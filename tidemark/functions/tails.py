@@ -1,4 +1,7 @@
-"""Tail probabilities, which Spark SQL lacks. Applied to result rows only."""
+"""Tail probabilities, which Spark SQL lacks. Applied to result rows only.
+
+The functions are self-contained, so workers can run them without this package.
+"""
 
 from __future__ import annotations
 
@@ -18,19 +21,19 @@ def normal_two_sided(z: pd.Series) -> pd.Series:
 @F.pandas_udf(T.DoubleType())
 def chi_square_tail(stat: pd.Series, dof: pd.Series) -> pd.Series:
     """Upper tail of the chi-square distribution with whole degrees of freedom."""
-    return pd.Series([_chi_tail(x, k) for x, k in zip(stat, dof)], dtype="float64")
-
-
-def _chi_tail(x: float, dof: int) -> float | None:
-    if x is None or math.isnan(x) or dof < 1:
-        return None
-    half = x / 2
-    if dof % 2:
-        tail, term, power = math.erfc(math.sqrt(half)), 2 * math.sqrt(half / math.pi), 1.5
-    else:
-        tail, term, power = math.exp(-half), half, 2.0
-    for _ in range((int(dof) - 1) // 2):
-        tail += term * math.exp(-half)
-        term *= half / power
-        power += 1
-    return tail
+
+    def tail(x: float, k: int) -> float | None:
+        if x is None or math.isnan(x) or k < 1:
+            return None
+        half = x / 2
+        if k % 2:
+            total, term, power = math.erfc(math.sqrt(half)), 2 * math.sqrt(half / math.pi), 1.5
+        else:
+            total, term, power = math.exp(-half), half, 2.0
+        for _ in range((int(k) - 1) // 2):
+            total += term * math.exp(-half)
+            term *= half / power
+            power += 1
+        return total
+
+    return pd.Series([tail(x, k) for x, k in zip(stat, dof)], dtype="float64")
