@@ -1,6 +1,7 @@
 """Readers, writers and the staged tables."""
 
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,6 +86,25 @@ def test_stage_writes_to_the_shared_folder(spark):
     assert not os.path.exists(f"{folder}/tidemark/{spark.sparkContext.applicationId}")
 
 
+class Bare:
+    """A session without a checkpoint folder."""
+
+    def __init__(self, master):
+        self.conf = SimpleNamespace(get=lambda key, default: default)
+        self.sparkContext = SimpleNamespace(
+            master=master, applicationId="app-1", getCheckpointDir=lambda: None
+        )
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Bare("yarn"))
+
+
+def test_local_sessions_get_one_temporary_folder():
+    assert session.shared_dir(Bare("local[2]")) == session.shared_dir(Bare("local[2]"))
+
+
 @pytest.mark.parametrize(
     "name, count",
     [

@@ -271,11 +271,17 @@ def bootstrap_differences(
 
     def copies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for arm, x, lam, key in batch.itertuples(index=False):
-                weight = draw(key, lam)
-                drawn = np.flatnonzero(weight)
+            for start in range(0, len(batch), 100):
+                part = batch.iloc[start : start + 100]
+                weight = np.array([draw(key, lam) for lam, key in zip(part.lam, part.key)])
+                row, drawn = np.nonzero(weight)
                 yield pd.DataFrame(
-                    {"arm": arm, "iteration": drawn, "value": x, "weight": weight[drawn]}
+                    {
+                        "arm": part.arm.to_numpy()[row],
+                        "iteration": drawn,
+                        "value": part.value.to_numpy()[row],
+                        "weight": weight[row, drawn],
+                    }
                 )
 
     if statistic == "mean":

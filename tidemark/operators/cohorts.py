@@ -10,6 +10,7 @@ from pyspark.sql.window import Window as W
 
 from tidemark.functions.exprs import month_start, months_between_starts, ratio
 from tidemark.operators.commerce import customer_orders
+from tidemark.session import stage
 
 
 def cohorts(customers: DataFrame, orders: DataFrame) -> DataFrame:
@@ -59,8 +60,13 @@ def best_cohorts(
 def cohort_matrix(
     table: DataFrame, periods: Sequence[int] | None = None, value: str = "unique_customers"
 ) -> DataFrame:
-    """One row per cohort, one column per period. Spark looks the periods up when none are given."""
-    wide = table.groupBy("cohort_group").pivot(
-        "cohort_period", None if periods is None else list(periods)
-    )
+    """One row per cohort, one column per period.
+
+    When no periods are given, Spark looks them up before it pivots. The table, at most one row
+    per pair of months, is staged for that, so the orders are read once.
+    """
+    if periods is None:
+        wide = stage(table, "cohorts").groupBy("cohort_group").pivot("cohort_period")
+    else:
+        wide = table.groupBy("cohort_group").pivot("cohort_period", list(periods))
     return wide.agg(F.avg(value)).orderBy("cohort_group")

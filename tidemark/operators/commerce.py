@@ -62,12 +62,13 @@ def customers_total(customers: DataFrame) -> DataFrame:
 
 
 def undelivered_monthly(orders: DataFrame) -> DataFrame:
-    """Undelivered orders per reason and month."""
+    """Undelivered orders per reason and month; ``label`` is the month as text."""
     return (
         orders.where(F.col("order_status").isin(*UNDELIVERED))
         .where(F.col("order_purchase_timestamp").isNotNull())
         .groupBy("order_status", month_start("order_purchase_timestamp").alias("month"))
         .agg(F.count("order_id").alias("orders"))
+        .withColumn("label", F.date_format("month", "yyyy-MM"))
     )
 
 

@@ -7,12 +7,17 @@ import datetime as dt
 from pyspark.sql import DataFrame
 
 from tidemark.operators import abtest, activity, alerts, retention
+from tidemark.session import stage
 from tidemark.sources.sinks import write_csv, write_daily
 
 
 def slices(feed: DataFrame, messages: DataFrame, as_of: dt.date) -> DataFrame:
-    """Yesterday's user metrics by gender, os and age."""
-    feed_daily = activity.feed_user_daily(feed, as_of)
+    """Yesterday's user metrics by gender, os and age.
+
+    The feed's rows per user serve twice, as metrics and as attributes of users who only received
+    messages. They are staged, so the events of the day are read once.
+    """
+    feed_daily = stage(activity.feed_user_daily(feed, as_of), "feed-daily")
     message_daily = activity.message_user_daily(messages, feed_daily, as_of)
     return activity.daily_slices(activity.combine_actions(feed_daily, message_daily))
 
@@ -51,7 +56,8 @@ def experiment_report(
     groups: DataFrame, groups_add: DataFrame, active: DataFrame, checks: DataFrame
 ) -> dict[str, DataFrame]:
     """Group metrics and tests: conversion, revenue per user and revenue per payer."""
-    users = abtest.active_or_paying(abtest.participants(groups, groups_add, active, checks))
+    members = abtest.participants(groups, groups_add, active, checks)
+    users = stage(abtest.active_or_paying(members), "participants")  # six results read them
     paying = users.where(abtest.paid())
     return {
         "metrics": abtest.group_metrics(users),

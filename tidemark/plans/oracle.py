@@ -374,7 +374,8 @@ UNDELIVERED = """monthly AS (
 sql(
     "undelivered_monthly",
     "orders_ds",
-    f"WITH {UNDELIVERED} SELECT order_status, {day('month')}, orders FROM monthly",
+    f"""WITH {UNDELIVERED} SELECT order_status, {day('month')}, orders,
+       strftime(month, '%Y-%m') AS label FROM monthly""",
 )
 sql(
     "undelivered_by_reason",
@@ -589,6 +590,7 @@ ab(
     "rev_frequency",
     "SELECT rev, count(*) AS n FROM members WHERE active = 'no' AND rev > 0 GROUP BY rev",
 )
+ab("rev_frequency_active", "SELECT rev, count(*) AS n FROM members WHERE active = 'yes' GROUP BY rev")
 ab("rev_frequency_by_group", "SELECT grp, rev, count(*) AS n FROM users GROUP BY grp, rev")
 ab(
     "rev_describe",

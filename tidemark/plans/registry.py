@@ -410,6 +410,11 @@ def rev_frequency(t: Tables) -> DataFrame:
     return distributions.frequency(members.where((F.col("active") == "no") & abtest.paid()), "rev")
 
 
+@query
+def rev_frequency_active(t: Tables) -> DataFrame:
+    return distributions.frequency(_members(t).where("active = 'yes'"), "rev")
+
+
 @query
 def rev_frequency_by_group(t: Tables) -> DataFrame:
     return distributions.frequency(_users(t), "rev", ["grp"])
@@ -508,7 +513,7 @@ def funnel_metrics(t: Tables) -> DataFrame:
 
 
 def _event_stream(t: Tables, view: str) -> DataFrame:
-    schema = t.spark.read.parquet(f"{t.sf_dir}/events.parquet").schema
+    schema = fixtures.SCHEMAS["events"]
     events = streams.read_event_stream(t.spark, t.sf_dir, schema, "events.parquet")
     return t.spark.sql(fixtures.VIEWS[view], events=events)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -41,15 +42,18 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a new temporary one only on a local master."""
-    folder = spark.conf.get(SHARED_DIR_KEY, None)
+    """The session's checkpoint folder. Only a local master gets a temporary one if there is none."""
+    folder = spark.conf.get(SHARED_DIR_KEY, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {SHARED_DIR_KEY} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set(SHARED_DIR_KEY, folder)
-    return folder
+    return _local_dir(spark.sparkContext.applicationId)
+
+
+@functools.cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"tidemark-{application}-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
