@@ -66,6 +66,19 @@ def test_table_range_and_columns(spark):
     assert tables.read_table(spark, "some_events").count() == 1000
 
 
+def test_table_partitioned_by_day(spark, tmp_path):
+    import datetime as dt
+
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet").withColumn("d", F.to_date("ts"))
+    events.coalesce(1).write.partitionBy("d").parquet(str(tmp_path / "events"))
+    start, end = dt.date(2024, 1, 2), dt.datetime(2024, 1, 3, 12)
+    df = tables.read_table(spark, str(tmp_path / "events"), ["user_id"], "ts", start, end, day="d")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(d" in plan and "GreaterThanOrEqual(ts" in plan
+    wanted = events.where("ts >= '2024-01-02' and ts < '2024-01-03 12:00:00'")
+    assert df.count() == wanted.count() > 0
+
+
 def test_profile(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
     assert rows(profile.null_profile(df)) == [("a", "int", 2, 0), ("b", "string", 1, 1)]

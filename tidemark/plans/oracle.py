@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.sources.fixtures import with_views
+from tidemark.sources.fixtures import CUSTOMER, with_views
 
 SQL: dict[str, str] = {}
 
@@ -412,7 +412,7 @@ sql(
 sql(
     "customer_history",
     "customers orders_ds",
-    f"WITH {PER_WEEK} SELECT {PER_WEEK_COLUMNS} FROM weeks WHERE customer_unique_id = 57",
+    f"WITH {PER_WEEK} SELECT {PER_WEEK_COLUMNS} FROM weeks WHERE customer_unique_id = {CUSTOMER}",
 )
 sql(
     "order_span",
@@ -658,7 +658,7 @@ for key, rows in (("mann_whitney", "users"), ("mann_whitney_payers", "payers")):
         f""", ranked AS (
   SELECT grp, rank() OVER (ORDER BY rev) + (count(*) OVER (PARTITION BY rev) - 1) / 2 AS midrank FROM {rows}),
 sizes AS (SELECT count(*) FILTER (grp = 'A') AS n_a, count(*) FILTER (grp = 'B') AS n_b FROM {rows}),
-tied AS (SELECT sum(t * t * t - t) AS ties FROM (SELECT CAST(count(*) AS DOUBLE) AS t FROM {rows} GROUP BY rev)),
+tied AS (SELECT CAST(sum(t * t * t - t) AS DOUBLE) AS ties FROM (SELECT CAST(count(*) AS HUGEINT) AS t FROM {rows} GROUP BY rev)),
 first AS (SELECT sum(midrank) AS r FROM ranked WHERE grp = 'A'),
 test AS (
   SELECT n_a, n_b, r - n_a * (n_a + 1) / 2 AS u, ties,

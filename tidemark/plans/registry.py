@@ -23,11 +23,9 @@ from tidemark.operators import rfm as segments
 from tidemark.plans import jobs
 from tidemark.session import scratch_path
 from tidemark.sources import files, fixtures, profile, sinks
-from tidemark.sources.fixtures import AS_OF, NOW
+from tidemark.sources.fixtures import AS_OF, CUSTOMER, NOW
 from tidemark.streaming import alerts as streams
 
-CUSTOMER = 8 * 7 + 1  # the customer shown as an example
-
 
 class Tables:
     """The views of one test directory, as attributes."""

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 AS_OF = dt.date(2024, 1, 30)
 NOW = dt.datetime(2024, 1, 30, 18, 7)
+CUSTOMER = 57  # the customer whose history is shown
 
 # the columns of the test tables that the views use; a known schema saves reading file footers
 SCHEMAS = {

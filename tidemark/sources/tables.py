@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import time_range
 
@@ -17,14 +18,26 @@ def read_table(
     time: str | None = None,
     start: dt.date | dt.datetime | None = None,
     end: dt.date | dt.datetime | None = None,
+    day: str | None = None,
 ) -> DataFrame:
-    """A catalog table, or the Parquet files at a path, limited to columns and a time range."""
+    """A catalog table, or the Parquet files at a path, limited to columns and a time range.
+
+    ``day`` names the date column the table is partitioned by, if any; other days are not listed.
+    """
     df = spark.read.parquet(name) if "/" in name else spark.table(name)
+    if day and start is not None:
+        df = df.where(F.col(day) >= F.lit(_date(start)))
+    if day and end is not None:
+        df = df.where(F.col(day) <= F.lit(_date(end)))
     if time:
         df = time_range(df, time, start, end)
     return df.select(*columns) if columns else df
 
 
+def _date(value: dt.date | dt.datetime) -> dt.date:
+    return value.date() if isinstance(value, dt.datetime) else value
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,
