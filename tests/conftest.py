@@ -9,8 +9,9 @@ from tidemark.session import build_session, clear_staged
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", "local[8]")
+def spark(tmp_path_factory):
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    session = build_session("tests", "local[8]", **{"spark.sql.warehouse.dir": warehouse})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     clear_staged(session)

@@ -90,6 +90,26 @@ def test_csv_export(spark, tmp_path):
     assert rows(spark.read.csv(str(tmp_path / "out"), header=True)) == [("1", "x")]
 
 
+def test_daily_table(spark):
+    import datetime as dt
+
+    days = [dt.date(2024, 1, d) for d in (1, 2)]
+    make = lambda *made: spark.createDataFrame(list(made), "event_date date, dimension string, views double")
+    spark.sql("DROP TABLE IF EXISTS daily_slices_test")
+    try:
+        sinks.write_daily_table(make((days[0], "os", 1.0)), "daily_slices_test")
+        sinks.write_daily_table(make((days[1], "os", 2.0)), "daily_slices_test")
+        sinks.write_daily_table(make((days[1], "os", 3.0), (days[1], "age", 4.0)), "daily_slices_test")
+        got = spark.table("daily_slices_test").select("event_date", "dimension", "views")
+        assert rows(got, "event_date", "dimension") == [
+            (days[0], "os", 1.0),
+            (days[1], "age", 4.0),
+            (days[1], "os", 3.0),
+        ]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS daily_slices_test")
+
+
 def test_stage_writes_to_the_shared_folder(spark):
     folder = session.shared_dir(spark)
     df = session.stage(spark.range(3), "numbers")
