@@ -146,10 +146,10 @@ def ab_tables(spark):
 def test_participants(spark):
     users = abtest.active_or_paying(abtest.participants(*ab_tables(spark)))
     assert rows(users, "student_id") == [
-        (1, "A", 0.0, "yes"),
-        (2, "A", 100.0, "no"),
-        (3, "B", 1900.0001, "yes"),
-        (6, "C", 0.0, "yes"),
+        (1, "A", 0.0, "yes", 1),
+        (2, "A", 100.0, "no", 1),
+        (3, "B", 1900.0001, "yes", 1),
+        (6, "C", 0.0, "yes", 1),
     ]
     members = abtest.participants(*ab_tables(spark))
     assert rows(abtest.payers(members), "grp") == [("A", 1), ("B", 1)]
@@ -167,6 +167,32 @@ def test_group_metrics_for_any_number_of_groups(spark):
     assert [tuple(r) for r in abtest.pay_crosstab(users).collect()] == [("A", 1, 1), ("B", 0, 1), ("C", 1, 0)]
 
 
+def test_repeated_entries_count_as_the_merged_rows_would(spark):
+    groups = pd.DataFrame({"id": [1, 2, 3, 4], "grp": list("AABB")})
+    active = pd.DataFrame({"student_id": [1, 1, 3]})
+    checks = pd.DataFrame({"student_id": [1, 1, 1, 2, 2, 3], "rev": [10.0, 10, 20, 5, 5, 7]})
+    merged = groups.rename(columns={"id": "student_id"}).merge(checks, "left").fillna({"rev": 0})
+    merged = merged.merge(active.assign(active="yes"), "left").fillna({"active": "no"})
+    merged = merged[(merged.active == "yes") | (merged.rev > 0)]
+
+    make = spark.createDataFrame
+    empty = make([], "id long, grp string")
+    users = abtest.active_or_paying(
+        abtest.participants(make(groups), empty, make(active), make(checks))
+    )
+    got = {r.grp: r for r in abtest.group_metrics(users).collect()}
+    for grp, part in merged.groupby("grp"):
+        paying = part[part.rev > 0]
+        assert got[grp]["count"] == len(part) and got[grp].Revenue == part.rev.sum()
+        assert got[grp].ARPPU == round(part.rev.sum() / len(paying), 4)
+    counts = distributions.describe(users, "rev", "grp", "times").toPandas().set_index("grp")
+    wanted = merged.groupby("grp").rev.describe()
+    assert np.allclose(counts["std"], wanted["std"], equal_nan=True)
+    assert np.allclose(counts.q50, wanted["50%"]) and (counts["count"] == wanted["count"]).all()
+    a, b = (merged[merged.grp == g].rev.to_numpy() for g in "AB")
+    assert abtest.mann_whitney(users, "rev", "grp", weight="times").first().u == brute_u(a, b)
+
+
 def test_experiment_report(spark):
     tables = [view(spark, SF_DIR, n) for n in ("groups", "groups_add", "active_studs", "checks")]
     report = jobs.experiment_report(*tables)

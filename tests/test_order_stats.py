@@ -50,7 +50,7 @@ def test_quantiles_by_group_leave_out_nulls(spark, per_range):
 
 def test_weighted_quantile_equals_repeated_rows(spark):
     df = spark.createDataFrame([(1.0, 3), (2.0, 1), (10.0, 4)], "v double, w int")
-    found = quantiles(df, "v", [0.5, 0.9], weight=F.col("w")).first()[0]
+    found = quantiles(df, "v", [0.5, 0.9], weight="w").first()[0]
     assert found == pytest.approx(np.quantile([1, 1, 1, 2, 10, 10, 10, 10], [0.5, 0.9]))
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -21,19 +21,20 @@ MAX_RANGES = 4096
 
 
 def value_counts(
-    df: DataFrame, value: str, by: Sequence[str] = (), weight: Column | None = None
+    df: DataFrame, value: str, by: Sequence[str] = (), weight: str | None = None
 ) -> DataFrame:
-    """``(by.., value, n)``: number of rows, or total weight, per distinct value."""
+    """``(by.., value, n)``: number of rows, or sum of the whole-number column ``weight``."""
     number = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
-    rows = df.select(*by, number.alias("value"), (F.lit(1) if weight is None else weight).alias("w"))
+    times = F.lit(1) if weight is None else F.col(weight)
+    rows = df.select(*by, number.alias("value"), times.cast("bigint").alias("w"))
     keep = F.col("value").isNotNull()
     for key in by:
         keep = keep & F.col(key).isNotNull()
-    return rows.where(keep).groupBy(*by, "value").agg(F.sum(F.col("w").cast("bigint")).alias("n"))
+    return rows.where(keep).groupBy(*by, "value").agg(F.sum("w").alias("n"))
 
 
 def staged_counts(
-    df: DataFrame, value: str, by: Sequence[str] = (), weight: Column | None = None
+    df: DataFrame, value: str, by: Sequence[str] = (), weight: str | None = None
 ) -> DataFrame:
     """``value_counts`` kept in the shared folder: ranking reads them several times."""
     return stage(value_counts(df, value, by, weight), "value-counts")
@@ -116,7 +117,7 @@ def quantiles(
     value: str,
     probs: Sequence[float],
     by: Sequence[str] = (),
-    weight: Column | None = None,
+    weight: str | None = None,
     values_per_range: int = VALUES_PER_RANGE,
 ) -> DataFrame:
     """Exact quantiles of a column, see ``quantiles_of_counts``."""

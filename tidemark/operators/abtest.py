@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tidemark.functions.exprs import money_sum, ratio, round_even
+from tidemark.functions.exprs import money_sum, ratio, round_even, zero_sum
 from tidemark.functions.order_stats import quantiles, running_counts, value_counts
 from tidemark.functions.tails import chi_square_tail, normal_two_sided
 from tidemark.operators.distributions import histogram_bins
@@ -33,20 +33,26 @@ def participants(
 ) -> DataFrame:
     """Every member of a group with revenue (0 without a payment) and activity ('yes' or 'no').
 
-    ``groups_add`` may have other column names; they are matched by position.
+    ``groups_add`` may have other column names; they are matched by position. Equal payments of
+    a student and repeated entries in the list of active students are counted before the join;
+    ``times`` says for how many rows of the merged tables a row stands, usually 1. A student
+    with very many entries thus stays small, and all results below count ``times``.
     """
     members = groups.unionByName(align_headers(groups_add, groups)).withColumnRenamed(
         "id", "student_id"
     )
-    seen = active.select("student_id", F.lit("yes").alias("active"))
+    amounts = checks.groupBy("student_id", "rev").agg(F.count(F.lit(1)).alias("payments"))
+    seen = active.groupBy("student_id").agg(F.count(F.lit(1)).alias("entries"))
+    once = F.lit(1)
     return (
-        members.join(checks.select("student_id", "rev"), "student_id", "left")
+        members.join(amounts, "student_id", "left")
         .join(seen, "student_id", "left")
         .select(
             "student_id",
             "grp",
             F.coalesce(F.nanvl("rev", F.lit(0.0)), F.lit(0.0)).alias("rev"),
-            F.coalesce("active", F.lit("no")).alias("active"),
+            F.when(F.col("entries").isNull(), "no").otherwise("yes").alias("active"),
+            (F.coalesce("payments", once) * F.coalesce("entries", once)).alias("times"),
         )
     )
 
@@ -66,22 +72,22 @@ def inactive_payers(members: DataFrame) -> DataFrame:
 
 
 def _members_by_group(members: DataFrame) -> DataFrame:
-    return (
-        members.where(F.col("grp").isNotNull())
-        .groupBy("grp")
-        .agg(F.count("student_id").alias("students"))
-    )
+    return _named(members).groupBy("grp").agg(F.sum("times").alias("students"))
+
+
+def _named(members: DataFrame) -> DataFrame:
+    return members.where(F.col("grp").isNotNull() & F.col("student_id").isNotNull())
 
 
 def group_metrics(users: DataFrame) -> DataFrame:
     """Members, mean revenue per member and per payer, share of payers and revenue per group."""
     return (
-        users.where(F.col("grp").isNotNull())
+        _named(users)
         .groupBy("grp")
         .agg(
-            F.count("student_id").alias("count"),
-            F.count(F.when(paid(), F.col("student_id"))).alias("paying"),
-            money_sum(F.when(paid(), F.col("rev"))).alias("Revenue"),
+            F.sum("times").alias("count"),
+            zero_sum(F.when(paid(), F.col("times"))).alias("paying"),
+            money_sum(F.when(paid(), F.col("rev") * F.col("times"))).alias("Revenue"),
         )
         .select(
             "grp",
@@ -117,7 +123,7 @@ def pay_counts(users: DataFrame) -> DataFrame:
     return (
         users.where(F.col("grp").isNotNull())
         .groupBy("grp", label.alias("pay"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("times").alias("n"))
     )
 
 
@@ -166,18 +172,25 @@ def chi_square(counts: DataFrame, row: str, column: str, n: str = "n") -> DataFr
 
 
 def mann_whitney(
-    df: DataFrame, value: str, group: str, arms: Sequence[str] = ("A", "B")
+    df: DataFrame,
+    value: str,
+    group: str,
+    arms: Sequence[str] = ("A", "B"),
+    weight: str | None = None,
 ) -> DataFrame:
     """Two-sided Mann-Whitney U test with midranks, tie and continuity correction; one row.
 
-    ``u`` belongs to the first arm. The p-value is the normal approximation.
+    ``u`` belongs to the first arm. The p-value is the normal approximation. ``weight`` names a
+    column that says how often a row counts.
     """
     in_a, in_b = F.col(group) == arms[0], F.col(group) == arms[1]
     number = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
+    times = F.lit(1) if weight is None else F.col(weight)
+    size = lambda arm: zero_sum(F.when(arm, times.cast("bigint")))
     counts = (
         df.where(in_a | in_b)
         .groupBy(number.alias("value"))
-        .agg(F.count_if(in_a).alias("n_a"), F.count_if(in_b).alias("n_b"))
+        .agg(size(in_a).alias("n_a"), size(in_b).alias("n_b"))
         .where(F.col("value").isNotNull())
         .withColumn("n", F.col("n_a") + F.col("n_b"))
     )
@@ -221,9 +234,14 @@ def _weights(iterations: int, seed: int):
 
 
 def _resample_inputs(
-    df: DataFrame, value: str, group: str, arms: Sequence[str], literal_n: bool
+    df: DataFrame,
+    value: str,
+    group: str,
+    arms: Sequence[str],
+    literal_n: bool,
+    weight: str | None,
 ) -> DataFrame:
-    counts = value_counts(df.where(F.col(group).isin(*arms)), value, [group])
+    counts = value_counts(df.where(F.col(group).isin(*arms)), value, [group], weight)
     lam = F.col("n").cast("double")
     if literal_n:
         size = lambda arm: F.sum(F.when(F.col(group) == arm, F.col("n")).otherwise(0))
@@ -244,6 +262,7 @@ def bootstrap_differences(
     statistic: str | Callable[[Column, Column], Column] = "mean",
     seed: int = 0,
     literal_n: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """(iteration, difference): statistic of the first arm minus that of the second, resampled.
 
@@ -252,9 +271,10 @@ def bootstrap_differences(
     "median", or a function from a value and a weight column to a Spark aggregate; these get one
     row per value and iteration, spread by iteration and value range.
 
-    ``literal_n=True`` draws as many rows for the second arm as the first one has.
+    ``literal_n=True`` draws as many rows for the second arm as the first one has. ``weight``
+    names a column that says how often a row counts.
     """
-    inputs = _resample_inputs(df, value, group, arms, literal_n)
+    inputs = _resample_inputs(df, value, group, arms, literal_n, weight)
     draw = _weights(iterations, seed)
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -295,7 +315,7 @@ def bootstrap_differences(
         )
         keys = ["arm", "iteration"]
         if statistic == "median":
-            found = quantiles(rows, "value", [0.5], keys, F.col("weight"))
+            found = quantiles(rows, "value", [0.5], keys, "weight")
             by_arm = found.select(*keys, F.col("quantiles")[0].alias("statistic"))
         else:
             aggregate = statistic(F.col("value"), F.col("weight"))

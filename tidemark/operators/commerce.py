@@ -46,7 +46,7 @@ def customer_orders(customers: DataFrame, orders: DataFrame) -> DataFrame:
 
 def single_purchase_customers(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """One row: customers with exactly one successful order."""
-    bought = successful(orders).select("customer_id")
+    bought = successful(orders).select("customer_id").distinct()
     return (
         customers.where(F.col("customer_unique_id").isNotNull())
         .join(bought, "customer_id", "left_semi")
@@ -122,11 +122,19 @@ def customer_history(weekly: DataFrame, customer: str | int) -> DataFrame:
 
 def order_span(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """One row: first and last successful order and the seconds between them."""
-    known = customers.where(F.col("customer_unique_id").isNotNull())
-    placed = successful(orders).join(known, "customer_id", "left_semi")
-    first, last = F.min("order_purchase_timestamp"), F.max("order_purchase_timestamp")
-    return placed.agg(
-        first.alias("first_order"),
-        last.alias("last_order"),
-        F.timestamp_diff("SECOND", first, last).alias("span_seconds"),
+    known = customers.where(F.col("customer_unique_id").isNotNull()).select("customer_id").distinct()
+    first, last = F.min("first_order"), F.max("last_order")
+    return (
+        successful(orders)
+        .groupBy("customer_id")
+        .agg(
+            F.min("order_purchase_timestamp").alias("first_order"),
+            F.max("order_purchase_timestamp").alias("last_order"),
+        )
+        .join(known, "customer_id", "left_semi")
+        .agg(
+            first.alias("first_order"),
+            last.alias("last_order"),
+            F.timestamp_diff("SECOND", first, last).alias("span_seconds"),
+        )
     )

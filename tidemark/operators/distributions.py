@@ -1,21 +1,30 @@
-"""Tables behind summaries and charts of one numeric column, by group."""
+"""Tables behind summaries and charts of one numeric column, by group.
+
+``weight`` names a column that says how often a row counts; without it every row counts once.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.order_stats import quantiles_of_counts, staged_counts
 
 
-def frequency(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+def _rows(weight: str | None) -> Column:
+    return F.count(F.lit(1)) if weight is None else F.sum(weight)
+
+
+def frequency(
+    df: DataFrame, value: str, by: Sequence[str] = (), weight: str | None = None
+) -> DataFrame:
     """Rows per distinct value, most common first."""
     return (
         df.where(F.col(value).isNotNull())
         .groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(_rows(weight).alias("n"))
         .orderBy(*by, F.desc("n"), value)
     )
 
@@ -26,13 +35,13 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     return complete.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("count")).where("count > 1")
 
 
-def describe(df: DataFrame, value: str, by: str) -> DataFrame:
+def describe(df: DataFrame, value: str, by: str, weight: str | None = None) -> DataFrame:
     """Count, mean, standard deviation, minimum, quartiles and maximum per group.
 
     Everything comes from the staged counts of distinct values, so ``df`` is computed once. The
     spread is summed around the median, which keeps the digits when the values are large.
     """
-    counts = staged_counts(df, value, [by])
+    counts = staged_counts(df, value, [by], weight)
     quartiles = quantiles_of_counts(counts, [0.25, 0.5, 0.75], [by])
     off = F.col("value") - F.col("quantiles")[1]
     n = F.col("count")
@@ -59,9 +68,9 @@ def describe(df: DataFrame, value: str, by: str) -> DataFrame:
     )
 
 
-def box_summary(df: DataFrame, value: str, by: str) -> DataFrame:
+def box_summary(df: DataFrame, value: str, by: str, weight: str | None = None) -> DataFrame:
     """Quartiles, whiskers at 1.5 interquartile ranges and number of points beyond, per group."""
-    counts = staged_counts(df, value, [by])
+    counts = staged_counts(df, value, [by], weight)
     box = quantiles_of_counts(counts, [0.25, 0.5, 0.75], [by])
     q1, q2, q3 = (F.col("quantiles")[i] for i in range(3))
     reach = 1.5 * (q3 - q1)
@@ -88,18 +97,22 @@ def box_summary(df: DataFrame, value: str, by: str) -> DataFrame:
     )
 
 
-def histogram(df: DataFrame, value: str, width: float, by: Sequence[str] = ()) -> DataFrame:
+def histogram(
+    df: DataFrame, value: str, width: float, by: Sequence[str] = (), weight: str | None = None
+) -> DataFrame:
     """Rows per bin of fixed ``width``, bins counted from zero. One pass, no limits needed."""
     place = F.floor(F.col(value).cast("double") / F.lit(float(width)))
     return (
         df.where(F.col(value).isNotNull())
         .groupBy(*by, (place * F.lit(float(width))).alias("bin_start"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(_rows(weight).alias("n"))
         .withColumn("bin_end", F.col("bin_start") + F.lit(float(width)))
     )
 
 
-def histogram_bins(df: DataFrame, value: str, bins: int) -> DataFrame:
+def histogram_bins(
+    df: DataFrame, value: str, bins: int, weight: str | None = None
+) -> DataFrame:
     """Rows per bin when the range from minimum to maximum is cut into ``bins`` equal parts."""
     number = F.col(value).cast("double")
     span = df.agg(F.struct(F.min(number).alias("lo"), F.max(number).alias("hi"))).scalar()
@@ -115,6 +128,6 @@ def histogram_bins(df: DataFrame, value: str, bins: int) -> DataFrame:
             (F.col("span.lo") + place * width).alias("bin_start"),
             (F.col("span.lo") + (place + 1) * width).alias("bin_end"),
         )
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(_rows(weight).alias("n"))
         .orderBy("bin")
     )

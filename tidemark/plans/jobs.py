@@ -62,12 +62,12 @@ def experiment_report(
     return {
         "metrics": abtest.group_metrics(users),
         "conversion": abtest.chi_square(abtest.pay_counts(users), "grp", "pay"),
-        "per_user": abtest.mann_whitney(users, "rev", "grp"),
-        "per_payer": abtest.mann_whitney(paying, "rev", "grp"),
+        "per_user": abtest.mann_whitney(users, "rev", "grp", weight="times"),
+        "per_payer": abtest.mann_whitney(paying, "rev", "grp", weight="times"),
         "per_user_bootstrap": abtest.bootstrap_summary(
-            abtest.bootstrap_differences(users, "rev", "grp")
+            abtest.bootstrap_differences(users, "rev", "grp", weight="times")
         ),
         "per_payer_bootstrap": abtest.bootstrap_summary(
-            abtest.bootstrap_differences(paying, "rev", "grp")
+            abtest.bootstrap_differences(paying, "rev", "grp", weight="times")
         ),
     }

@@ -579,7 +579,11 @@ sql(
     "final_project_check",
     'SELECT st_id, subject, count(*) AS "count" FROM final_project_check GROUP BY ALL HAVING count(*) > 1',
 )
-ab("ab_active_users", "SELECT student_id, grp, round(rev, 6) AS rev, active FROM users")
+ab(
+    "ab_active_users",
+    """SELECT student_id, grp, round(rev, 6) AS rev, active, count(*) AS times
+FROM users GROUP BY student_id, grp, users.rev, active""",
+)
 ab("ab_payers", "SELECT grp, count(student_id) AS students FROM members WHERE rev > 0 GROUP BY grp")
 ab(
     "ab_inactive_payers",

@@ -405,42 +405,44 @@ def ab_inactive_payers(t: Tables) -> DataFrame:
 @query
 def rev_frequency(t: Tables) -> DataFrame:
     members = _members(t)
-    return distributions.frequency(members.where((F.col("active") == "no") & abtest.paid()), "rev")
+    return distributions.frequency(
+        members.where((F.col("active") == "no") & abtest.paid()), "rev", weight="times"
+    )
 
 
 @query
 def rev_frequency_active(t: Tables) -> DataFrame:
-    return distributions.frequency(_members(t).where("active = 'yes'"), "rev")
+    return distributions.frequency(_members(t).where("active = 'yes'"), "rev", weight="times")
 
 
 @query
 def rev_frequency_by_group(t: Tables) -> DataFrame:
-    return distributions.frequency(_users(t), "rev", ["grp"])
+    return distributions.frequency(_users(t), "rev", ["grp"], "times")
 
 
 @query
 def rev_describe(t: Tables) -> DataFrame:
-    return distributions.describe(_users(t), "rev", "grp")
+    return distributions.describe(_users(t), "rev", "grp", "times")
 
 
 @query
 def rev_box(t: Tables) -> DataFrame:
-    return distributions.box_summary(_users(t), "rev", "grp")
+    return distributions.box_summary(_users(t), "rev", "grp", "times")
 
 
 @query
 def rev_box_payers(t: Tables) -> DataFrame:
-    return distributions.box_summary(_paying(t), "rev", "grp")
+    return distributions.box_summary(_paying(t), "rev", "grp", "times")
 
 
 @query
 def rev_histogram(t: Tables) -> DataFrame:
-    return distributions.histogram(_users(t), "rev", 50, ["grp"])
+    return distributions.histogram(_users(t), "rev", 50, ["grp"], "times")
 
 
 @query
 def rev_histogram_payers(t: Tables) -> DataFrame:
-    return distributions.histogram(_paying(t), "rev", 50, ["grp"])
+    return distributions.histogram(_paying(t), "rev", 50, ["grp"], "times")
 
 
 @query
@@ -465,33 +467,36 @@ def chi_square(t: Tables) -> DataFrame:
 
 @query
 def mann_whitney(t: Tables) -> DataFrame:
-    return abtest.mann_whitney(_users(t), "rev", "grp")
+    return abtest.mann_whitney(_users(t), "rev", "grp", weight="times")
 
 
 @query
 def mann_whitney_payers(t: Tables) -> DataFrame:
-    return abtest.mann_whitney(_paying(t), "rev", "grp")
+    return abtest.mann_whitney(_paying(t), "rev", "grp", weight="times")
+
+
+def _differences(users: DataFrame, **options) -> DataFrame:
+    return abtest.bootstrap_differences(users, "rev", "grp", weight="times", **options)
 
 
 @query
 def bootstrap_ab(t: Tables) -> DataFrame:
-    return abtest.bootstrap_summary(abtest.bootstrap_differences(_users(t), "rev", "grp"))
+    return abtest.bootstrap_summary(_differences(_users(t)))
 
 
 @query
 def bootstrap_ab_payers(t: Tables) -> DataFrame:
-    return abtest.bootstrap_summary(abtest.bootstrap_differences(_paying(t), "rev", "grp"))
+    return abtest.bootstrap_summary(_differences(_paying(t)))
 
 
 @query
 def bootstrap_median(t: Tables) -> DataFrame:
-    found = abtest.bootstrap_differences(_paying(t), "rev", "grp", statistic="median")
-    return abtest.bootstrap_summary(found)
+    return abtest.bootstrap_summary(_differences(_paying(t), statistic="median"))
 
 
 @query
 def bootstrap_histogram(t: Tables) -> DataFrame:
-    return abtest.bootstrap_histogram(abtest.bootstrap_differences(_users(t), "rev", "grp"))
+    return abtest.bootstrap_histogram(_differences(_users(t)))
 
 
 # courses
