@@ -1,10 +1,10 @@
 """Orders, cohorts and segments on small tables with known answers."""
 
 import datetime as dt
+import re
 
 import numpy as np
 import pandas as pd
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -182,11 +182,8 @@ def test_every_customer_has_one_known_segment(spark):
     assert [r.customers for r in shares] == sorted(r.customers for r in shares)
 
 
-def test_all_score_pairs_have_a_segment(spark):
-    pairs = {f"{r}{f}": None for r in range(1, 6) for f in range(1, 4)}
-    import re
-
-    for pair in pairs:
+def test_all_score_pairs_have_a_segment():
+    for pair in (f"{r}{f}" for r in range(1, 6) for f in range(1, 4)):
         hits = [name for p, name in rfm.SEGMENTS.items() if re.fullmatch(p, pair)]
         assert len(hits) == 1, pair
 

@@ -116,6 +116,12 @@ def test_bootstrap_with_the_size_of_the_first_arm(spark):
     assert run()["std"] == pytest.approx(math.sqrt(a.var() / 400 + b.var() / 6400), rel=0.12)
 
 
+def test_bootstrap_with_numbered_arms(spark):
+    df = spark.createDataFrame([(i % 2, float(i % 7)) for i in range(400)], "arm int, x double")
+    got = abtest.bootstrap_differences(df, "x", "arm", (0, 1), iterations=20)
+    assert got.where("difference is not null").count() == 20
+
+
 def test_bootstrap_other_statistics(spark):
     rng = np.random.default_rng(9)
     df = arms(spark, rng.integers(0, 50, 301), rng.integers(20, 70, 301))

@@ -140,29 +140,29 @@ def chi_square(counts: DataFrame, row: str, column: str, n: str = "n") -> DataFr
     cells need not be listed: without correction the statistic is sum(n^2 / expected) - total,
     and in a two by two table every cell is equally far from its expectation.
     """
-    in_row, in_column, everywhere = W.partitionBy(row), W.partitionBy(column), W.partitionBy()
+    in_row, in_column = W.partitionBy(row), W.partitionBy(column)
     cells = counts.where(F.col(n) > 0).select(
         F.col(row).alias("row"),
         F.col(column).alias("column"),
         F.col(n).cast("double").alias("n"),
         F.sum(n).over(in_row).cast("double").alias("row_n"),
         F.sum(n).over(in_column).cast("double").alias("column_n"),
-        F.sum(n).over(everywhere).cast("double").alias("total"),
         F.count(F.lit(1)).over(in_row).alias("row_cells"),
         F.count(F.lit(1)).over(in_column).alias("column_cells"),
     )
-    expected = F.col("row_n") * F.col("column_n") / F.col("total")
+    product = F.col("row_n") * F.col("column_n")
     sums = cells.agg(
         ((F.count_distinct("row") - 1) * (F.count_distinct("column") - 1)).alias("dof"),
-        F.max("total").alias("total"),
-        F.max(F.abs(F.col("n") - expected)).alias("off"),
+        F.sum("n").alias("total"),
+        F.max(F.struct("n", product.alias("product"))).alias("cell"),
         F.sum(1 / (F.col("row_n") * F.col("row_cells"))).alias("row_inverse"),
         F.sum(1 / (F.col("column_n") * F.col("column_cells"))).alias("column_inverse"),
-        F.sum(F.col("n") * F.col("n") / expected).alias("squares"),
+        F.sum(F.col("n") * F.col("n") / product).alias("squares"),
     )
-    kept = F.greatest(F.col("off") - 0.5, F.lit(0.0))
+    off = F.abs(F.col("cell.n") - F.col("cell.product") / F.col("total"))
+    kept = F.greatest(off - 0.5, F.lit(0.0))
     corrected = kept * kept * F.col("total") * F.col("row_inverse") * F.col("column_inverse")
-    plain = F.col("squares") - F.col("total")
+    plain = (F.col("squares") - 1) * F.col("total")
     return sums.select(
         F.when(F.col("dof") == 1, corrected).otherwise(plain).alias("statistic"), "dof"
     ).withColumn("p_value", chi_square_tail("statistic", "dof"))
@@ -241,16 +241,17 @@ def _resample_inputs(
     literal_n: bool,
     weight: str | None,
 ) -> DataFrame:
-    counts = value_counts(df.where(F.col(group).isin(*arms)), value, [group], weight)
+    rows = df.where(F.col(group).isin(*arms)).withColumn("arm", F.col(group).cast("string"))
+    counts = value_counts(rows, value, ["arm"], weight)
     lam = F.col("n").cast("double")
     if literal_n:
-        size = lambda arm: F.sum(F.when(F.col(group) == arm, F.col("n")).otherwise(0))
-        share = counts.agg(F.try_divide(size(arms[0]).cast("double"), size(arms[1]))).scalar()
-        lam = F.when(F.col(group) == arms[1], lam * share).otherwise(lam)
+        counts = stage(counts, "value-counts")
+        size = lambda arm: F.sum(F.when(F.col("arm") == str(arm), F.col("n")).otherwise(0))
+        share = counts.agg(ratio(size(arms[0]), size(arms[1]))).scalar()
+        lam = F.when(F.col("arm") == str(arms[1]), lam * share).otherwise(lam)
     spread = df.sparkSession.sparkContext.defaultParallelism
-    return counts.select(
-        F.col(group).alias("arm"), "value", lam.alias("lam"), F.xxhash64(group, "value").alias("key")
-    ).repartition(spread, "key")
+    key = F.xxhash64("arm", "value")
+    return counts.select("arm", "value", lam.alias("lam"), key.alias("key")).repartition(spread, "key")
 
 
 def bootstrap_differences(
@@ -320,7 +321,7 @@ def bootstrap_differences(
         else:
             aggregate = statistic(F.col("value"), F.col("weight"))
             by_arm = rows.groupBy(*keys).agg(aggregate.alias("statistic"))
-    of = lambda arm: F.max(F.when(F.col("arm") == arm, F.col("statistic")))
+    of = lambda arm: F.max(F.when(F.col("arm") == str(arm), F.col("statistic")))
     return by_arm.groupBy("iteration").agg((of(arms[0]) - of(arms[1])).alias("difference"))
 
 
