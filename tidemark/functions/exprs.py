@@ -44,7 +44,7 @@ def money_sum(c: Column | str, places: int = MONEY_PLACES) -> Column:
 
 def not_in(c: Column | str, values: Iterable) -> Column:
     """NOT IN that keeps rows where the column is null."""
-    return ~F.coalesce(col(c).isin(list(values)), F.lit(False))
+    return col(c).isNull() | ~col(c).isin(list(values))
 
 
 def month_start(c: Column | str) -> Column:
