@@ -1,6 +1,7 @@
 """Bands and alerts against pandas, batch and stream."""
 
 import datetime as dt
+import time
 
 import pandas as pd
 import pytest
@@ -116,35 +117,45 @@ def write_stream_input(spark, path):
     for lo, hi in ((1, 10), (11, 20), (21, 31)):
         part = events.where(F.dayofmonth("ts").between(lo, hi))
         part.coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.05)  # files are taken by their time of change
     return events.schema
 
 
-def test_stream_equals_batch_for_closed_buckets(spark, tmp_path):
+def feed_stream(spark, path, schema, lateness, **options):
+    events = streams.read_event_stream(spark, path, schema, **options)
+    return streams.feed_bucket_stream(spark.sql(VIEWS["feed_actions"], events=events), lateness)
+
+
+def comparable(buckets):
+    columns = [F.col("ts").cast("string"), "hm", "users_feed", "likes", "views", "ctr"]
+    return rows(buckets.select(columns), "ts")
+
+
+def test_nothing_is_written_while_late_events_may_come(spark, tmp_path):
+    source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    stream = feed_stream(spark, source, write_stream_input(spark, source), "40 days")
+    streams.append_closed_buckets(stream, sink, checkpoint).awaitTermination()
+    assert spark.read.schema(stream.schema).parquet(sink).count() == 0
+
+
+def test_stream_in_several_batches_equals_batch(spark, tmp_path):
     source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
     schema = write_stream_input(spark, source)
-    feed = spark.sql(VIEWS["feed_actions"], events=streams.read_event_stream(spark, source, schema))
-    stream = streams.feed_bucket_stream(feed, "30 days")  # files may be read in any order
+    stream = feed_stream(spark, source, schema, "0 minutes", files_per_batch=1)
     query = streams.append_closed_buckets(stream, sink, checkpoint)
     query.awaitTermination()
-    assert query.exception() is None
-    closed = spark.read.schema(stream.schema).parquet(sink).count()
-    assert closed == 0  # nothing is closed yet: the watermark is 30 days behind
-
-    sink, checkpoint = str(tmp_path / "out2"), str(tmp_path / "ckpt2")
-    feed = spark.sql(
-        VIEWS["feed_actions"], events=streams.read_event_stream(spark, SF_DIR, schema, "events.parquet")
-    )
-    stream = streams.feed_bucket_stream(feed)
-    streams.append_closed_buckets(stream, sink, checkpoint).awaitTermination()
+    assert len({p["batchId"] for p in query.recentProgress}) >= 3
     written = spark.read.schema(stream.schema).parquet(sink)
-    batch = alerts.feed_buckets(view(spark, SF_DIR, "feed_actions"), NOW)
+
+    feed = view(spark, SF_DIR, "feed_actions")
+    batch = alerts.feed_buckets(feed, NOW)
     recent = written.where((F.col("ts") >= "2024-01-29") & (F.col("ts") < "2024-01-30 18:00"))
-    columns = [F.col("ts").cast("string"), "hm", "users_feed", "likes", "views", "ctr"]
-    assert rows(recent.select(columns), "hm", "ts") == rows(batch.select(columns), "hm", "ts")
+    assert comparable(recent) == comparable(batch)
 
     # a restart from the checkpoint finds nothing new and writes nothing twice
+    before = written.count()
     streams.append_closed_buckets(stream, sink, checkpoint).awaitTermination()
-    assert spark.read.schema(stream.schema).parquet(sink).count() == written.count()
+    assert spark.read.schema(stream.schema).parquet(sink).count() == before
 
     checked = streams.check_written_buckets(written, alerts.FEED_METRICS, NOW)
     wanted = alerts.latest_checks(alerts.anomaly_bands(batch, alerts.FEED_METRICS))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidemark import session
-from tidemark.operators import campaigns
+from tidemark.operators import campaigns, cohorts
 from tidemark.sources import files, fixtures, profile, sinks, tables
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -110,6 +110,55 @@ def test_daily_table(spark):
         spark.sql("DROP TABLE IF EXISTS daily_slices_test")
 
 
+def test_bucketed_tables_are_joined_in_place(spark):
+    names = ("customers", "orders_ds")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in names:
+            sinks.write_bucketed(fixtures.view(spark, SF_DIR, name), f"{name}_b", "customer_id", 4)
+        found = cohorts.cohorts(*[spark.table(f"{name}_b") for name in names])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        below = plan[plan.index("SortMergeJoin") :]
+        assert "Bucketed: true" in below and "Exchange" not in below
+        plain = cohorts.cohorts(*[fixtures.view(spark, SF_DIR, name) for name in names])
+        assert rows(found, *found.columns) == rows(plain, *plain.columns)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}_b")
+
+
+def test_jdbc_read_is_split():
+    class Reader:
+        def __init__(self):
+            self.kind, self.given = None, {}
+
+        def format(self, kind):
+            self.kind = kind
+            return self
+
+        def options(self, **given):
+            self.given.update(given)
+            return self
+
+        def load(self):
+            return self
+
+    got = tables.read_jdbc(
+        SimpleNamespace(read=Reader()), "jdbc:x", "feed", "user_id", 0, 1000, 8, user="me"
+    )
+    assert got.kind == "jdbc"
+    assert got.given == {
+        "url": "jdbc:x",
+        "dbtable": "feed",
+        "partitionColumn": "user_id",
+        "lowerBound": "0",
+        "upperBound": "1000",
+        "numPartitions": "8",
+        "user": "me",
+    }
+
+
 def test_stage_writes_to_the_shared_folder(spark):
     folder = session.shared_dir(spark)
     df = session.stage(spark.range(3), "numbers")

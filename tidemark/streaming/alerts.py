@@ -18,12 +18,21 @@ BUCKET = "15 minutes"
 
 
 def read_event_stream(
-    spark: SparkSession, path: str, schema: str | T.StructType, glob: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: str | T.StructType,
+    glob: str | None = None,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Parquet files as they arrive in a folder."""
+    """Parquet files as they arrive in a folder, oldest first.
+
+    ``files_per_batch`` keeps a backlog from becoming one large batch.
+    """
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
 
 
