@@ -59,7 +59,8 @@ def message_user_daily(
 
     Both sides are reduced to one row per user before they meet, so a user with very many
     messages is spread over all tasks. Users who only received take their attributes from
-    their feed rows of the day (one row per set of attributes), or have none.
+    their feed rows of the day (one row per set of attributes), or have none. The attributes join
+    the receivers where both already lie, before the full join.
 
     ``literal=True`` reproduces the published job: it drops users who only received, and
     reports 1 for ``users_received``.
@@ -75,21 +76,22 @@ def message_user_daily(
         .groupBy("user_id", F.to_date("time").alias("event_date"))
         .agg(F.count(F.lit(1)).alias("messages_received"), senders.alias("users_received"))
     )
-    columns = [*USER_DAY, "messages_sent", "messages_received", "users_sent", "users_received"]
+    counts = ["messages_sent", "messages_received", "users_sent", "users_received"]
     key = ["user_id", "event_date"]
     if literal:
-        return sent.join(received, key, "left").select(*columns)
-
-    both = sent.join(received, key, "full").alias("m")
-    known = feed_daily.select(*USER_DAY).alias("f")
-    match = (
-        F.col("m.messages_sent").isNull()
-        & (F.col("m.user_id") == F.col("f.user_id"))
-        & (F.col("m.event_date") == F.col("f.event_date"))
-    )
-    filled = [F.coalesce(f"m.{name}", f"f.{name}").alias(name) for name in ATTRIBUTES]
-    return both.join(known, match, "left").select(
-        "m.user_id", "m.event_date", *filled, *[f"m.{name}" for name in columns[len(USER_DAY) :]]
+        return sent.join(received, key, "left").select(*USER_DAY, *counts)
+
+    # the sets of attributes a user had that day, usually one
+    types = {name: sent.schema[name].dataType for name in ATTRIBUTES}
+    known_set = F.struct(*[F.col(name).cast(types[name]).alias(name) for name in ATTRIBUTES])
+    no_set = F.struct(*[F.lit(None).cast(types[name]).alias(name) for name in ATTRIBUTES])
+    known = feed_daily.groupBy(*key).agg(F.collect_set(known_set).alias("known"))
+    only_received = F.coalesce(F.col("known"), F.array(no_set))
+    own = F.array(F.struct(*ATTRIBUTES))
+    return (
+        sent.join(received.join(known, key, "left"), key, "full")
+        .withColumn("sets", F.when(F.col("messages_sent").isNull(), only_received).otherwise(own))
+        .select(*key, F.inline("sets").alias(*ATTRIBUTES), *counts)
     )
 
 
