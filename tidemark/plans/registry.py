@@ -516,7 +516,7 @@ def funnel_metrics(t: Tables) -> DataFrame:
 
 
 def _event_stream(t: Tables, view: str) -> DataFrame:
-    schema = fixtures.SCHEMAS["events"]
+    schema = fixtures.read(t.spark, t.sf_dir, "events").schema
     events = streams.read_event_stream(t.spark, t.sf_dir, schema, "events.parquet")
     return t.spark.sql(fixtures.VIEWS[view], events=events)
 

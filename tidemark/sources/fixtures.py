@@ -15,19 +15,6 @@ AS_OF = dt.date(2024, 1, 30)
 NOW = dt.datetime(2024, 1, 30, 18, 7)
 CUSTOMER = 57  # the customer whose history is shown
 
-# the columns of the test tables that the views use; a known schema saves reading file footers
-SCHEMAS = {
-    "region": "r_regionkey int, r_name string",
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "customer": "c_custkey bigint",
-    "supplier": "s_suppkey bigint, s_nationkey int",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double, "
-    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
-    "l_linestatus string, l_shipdate timestamp_ntz",
-    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
-}
-
 _ATTRIBUTES = """user_id % 2 AS gender, 15 + user_id % 40 AS age,
        CASE WHEN user_id % 11 = 0 THEN NULL WHEN user_id % 3 = 0 THEN 'iOS' ELSE 'Android' END AS os,
        CASE WHEN user_id % 5 < 2 THEN 'ads' ELSE 'organic' END AS source"""
@@ -96,7 +83,7 @@ def tables_of(view: str) -> list[str]:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
