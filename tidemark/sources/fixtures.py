@@ -7,9 +7,11 @@ arithmetic on ids, so both sides agree exactly.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 AS_OF = dt.date(2024, 1, 30)
 NOW = dt.datetime(2024, 1, 30, 18, 7)
@@ -83,7 +85,14 @@ def tables_of(view: str) -> list[str]:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    path = f"{sf_dir}/{table}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
+
+
+@functools.cache
+def _schema(spark: SparkSession, path: str) -> StructType:
+    """The schema in the files, looked up once, since each query makes several views of a table."""
+    return spark.read.parquet(path).schema
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
