@@ -20,7 +20,7 @@ def app_retention(
     The day of the run itself counts, as far as it has gone; what lies after it does not.
 
     First activity needs the whole history, but later activity matters only inside the window.
-    One pass keeps, per user, the first moment and a bit per active day of the window, so a user
+    One pass keeps, per user, the first day and a bit per active day of the window, so a user
     is 16 bytes in the only large shuffle, whatever the number of events.
     """
     if not 0 < days <= MAX_DAYS:
