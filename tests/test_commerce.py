@@ -149,6 +149,17 @@ def test_period_zero_is_the_whole_cohort(spark):
     assert start.count() == table.select("cohort_group").distinct().count()
 
 
+def test_matrix_holds_the_whole_table(spark):
+    table = cohorts.cohorts(view(spark, SF_DIR, "customers"), view(spark, SF_DIR, "orders_ds"))
+    wide = cohorts.cohort_matrix(table)
+    periods = wide.columns[1:]
+    back = wide.unpivot("cohort_group", periods, "period", "n").where("n is not null")
+    found = {(g, int(p), int(n)) for g, p, n in back.collect()}
+    assert found == {
+        (r.cohort_group, r.cohort_period, r.unique_customers) for r in table.collect()
+    }
+
+
 def pandas_rfm(people, made, items):
     good = made[made.order_approved_at.notnull() & ~made.order_status.isin(["canceled", "unavailable"])]
     price = items.groupby("order_id", as_index=False).price.sum()
