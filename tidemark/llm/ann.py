@@ -192,11 +192,12 @@ def search_index(
     smaller id. A vector's shards are those of its length.
     """
     blocks = -(-max(1, queries.count()) // query_rows)
-    shards = index.select("dims", "shard").distinct()
-    asked = queries.withColumns(
-        {"dims": F.size("vector"), "block": F.pmod(F.xxhash64("vec_id", F.lit(9)), F.lit(blocks)).cast("int")}
-    ).join(shards, "dims")
-    copies = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    shards = index.groupBy(F.col("dims").alias("q_dims"), F.col("shard").alias("q_shard")).count()
+    block = F.pmod(F.xxhash64("vec_id", F.lit(9)), F.lit(blocks))
+    asked = queries.select("vec_id", "vector", F.size("vector").alias("q_dims"), block.alias("q_block"))
+    asked = asked.join(shards.drop("count"), "q_dims")
+    every = F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))
+    copies = index.withColumn("block", F.explode(every))
 
     def search(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(rows) or not len(queries):
@@ -218,8 +219,8 @@ def search_index(
                 out += [(q, i, x) for x, i in pairs]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    keys = ["dims", "shard", "block"]
-    hits = copies.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(
+    asked = asked.groupBy("q_dims", "q_shard", "q_block")
+    hits = copies.groupBy("dims", "shard", "block").cogroup(asked).applyInPandas(
         search, "query_id long, vec_id long, score double"
     )
     best = hits.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))

@@ -9,6 +9,7 @@ the rest meets the few templates of a fitting size only.
 from __future__ import annotations
 
 import re
+from functools import reduce
 from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame
@@ -69,17 +70,26 @@ def size_bounds(n: int, threshold: float) -> tuple[int, int]:
 
 
 def normal(text: Column) -> Column:
-    """ASCII letters lower-cased and digits, single spaces between."""
-    return F.trim(F.regexp_replace(lower_ascii(text), "[^a-z0-9]++", " "))
+    """Small ASCII letters and digits of a lower-cased text, single spaces between."""
+    return F.trim(F.regexp_replace(text, "[^a-z0-9]++", " "))
 
 
-def bigrams(words: Column) -> Column:
-    """The bigrams of an array of words, the nth occurrence of one with its number, so none is equal."""
-    pairs = F.transform(
-        F.slice(words, 1, F.size(words) - 1), lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1))
-    )
-    before = lambda p, i: F.size(F.filter(F.slice(pairs, 1, i), lambda q: q == p))
-    return F.transform(pairs, lambda p, i: F.concat_ws(" ", p, before(p, i)))
+def anchors(templates: dict[str, str], threshold: float) -> list[str]:
+    """Words of which a passage has one at least if it reaches the threshold with some template.
+
+    Such a passage holds n * t / (2 - t) of a template's n bigrams or more. So if the words chosen occur in
+    more bigrams than may be missing, one of them is in the passage. The longest words come first.
+    """
+    chosen: set[str] = set()
+    for pairs in template_bigrams(templates).values():
+        may_miss = len(pairs) - size_bounds(len(pairs), threshold)[0]
+        words = {w for p in pairs for w in p.split()[:2]}
+        covered = lambda: sum(bool(chosen & set(p.split()[:2])) for p in pairs)
+        for word in sorted(words, key=lambda w: (-len(w), w)):
+            if covered() > may_miss:
+                break
+            chosen.add(word)
+    return sorted(chosen)
 
 
 def passages(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -87,15 +97,25 @@ def passages(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold:
     known = template_bigrams(templates)
     bounds = {name: size_bounds(len(b), threshold) for name, b in known.items()}
     least, most = min(a for a, _ in bounds.values()), max(b for _, b in bounds.values())
+    words = anchors(templates, threshold)
+
+    def promising(text: Column) -> Column:
+        return reduce(lambda a, b: a | b, [text.contains(w) for w in words])
+
+    lower = docs.select("doc_id", lower_ascii(F.col("text")).alias("text")).where(promising(F.col("text")))
     text = F.col("text")
     whole = F.concat(F.split(text, "\n", -1), F.split(text, r"\n[ \t\r]*\n", -1), F.array(text))
-    # n bigrams take 2 * n + 1 characters at least
-    long_enough = F.filter(F.array_distinct(whole), lambda p: F.length(p) >= 2 * least + 1)
-    found = docs.where(text.isNotNull()).select("doc_id", F.explode(long_enough).alias("passage"))
+    found = lower.select("doc_id", F.explode(F.array_distinct(whole)).alias("passage"))
+    found = found.where(promising(F.col("passage")))
     found = found.select("doc_id", normal(F.col("passage")).alias("plain"))
     spaces = F.length("plain") - F.length(F.replace(F.col("plain"), F.lit(" "), F.lit("")))
-    found = found.where(spaces.between(least, most)).distinct()
-    found = found.withColumn("n", spaces).withColumn("has", bigrams(F.split("plain", " ", -1)))
+    found = found.where(spaces.between(least, most)).distinct().withColumn("n", spaces)
+    word = F.split("plain", " ", -1)
+    pair = F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.concat_ws(" ", F.get("w", i - 1), F.get("w", i)))
+    # steps of their own: an expression inside a lambda is evaluated for every element
+    found = found.withColumn("w", word).withColumn("pairs", pair)
+    before = lambda p, i: F.size(F.filter(F.slice("pairs", 1, i), lambda q: q == p))
+    found = found.withColumn("has", F.transform("pairs", lambda p, i: F.concat_ws(" ", p, before(p, i))))
     scores = []
     for name, pairs in known.items():
         common = F.size(F.array_intersect("has", F.array(*[F.lit(x) for x in pairs])))

@@ -112,18 +112,17 @@ def dealt(vectors: DataFrame, queries: DataFrame, shard_rows: int, query_rows: i
         {
             "dims": F.size("vector"),
             "shard": F.pmod(turn, F.lit(shards)),
-            "block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))),
+            "block": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))),
         }
     )
-    right = queries.withColumns(
-        {
-            "dims": F.size("vector"),
-            "block": F.pmod(turn, F.lit(blocks)).cast("int"),
-            "shard": F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("long"),
-        }
+    right = queries.select(
+        "vec_id",
+        "vector",
+        F.size("vector").alias("q_dims"),
+        F.pmod(turn, F.lit(blocks)).alias("q_block"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("q_shard"),
     )
-    keys = ["dims", "shard", "block"]
-    return left.groupBy(*keys), right.groupBy(*keys)
+    return left.groupBy("dims", "shard", "block"), right.groupBy("q_dims", "q_shard", "q_block")
 
 
 def top_k(
