@@ -10,13 +10,19 @@ and per shard reach the driver; there are at most ``MAX_SHARDS`` shards beyond o
 from __future__ import annotations
 
 import heapq
+import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import WHITE, quoted, without
+from tidemark.llm.common import quoted, without
 from tidemark.session import stage
 
 #: Fixed values of the mix: weights by position of the source, and the most a source is repeated.
@@ -143,9 +149,19 @@ def _once_more() -> Column:
 ADDED = ("size", "source_size", "target", "taken", "passes", "ranges")
 
 
-def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
+def _small(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A local table whose size Spark knows, so that it is broadcast only below the session's threshold."""
+    fields = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) or [[] for _ in fields]
+    arrays = [pa.array(list(c), to_arrow_type(f.dataType)) for c, f in zip(columns, fields)]
+    return spark.createDataFrame(pa.table(arrays, names=fields.names))
+
+
+def mix(docs: DataFrame, seed: int = SEED, carry: bool = True) -> DataFrame:
     """``docs`` with size, source_size, target, taken, passes and ranges for each document.
 
+    Without ``carry`` the result has doc_id, source and those columns only, and no text is shuffled.
+
     ``passes`` is how often the whole document is taken; ``ranges`` lists the word ranges (at, to) that
     are taken once more. ``taken`` counts words, repeats included, at most 3 times ``size``. A null
     text has size 0. Documents without a source form a source of their own, last in the order. The
@@ -159,9 +175,7 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     goal, total = targets(sizes), sum(n for _, n in sizes)
     per_shard = max(SHARD_WORDS, -(-total // MAX_SHARDS))
     known = [(i, s, n, goal[s], max(1, -(-n // per_shard))) for i, (s, n) in enumerate(sorted(sizes, key=_order))]
-    of = spark.createDataFrame(
-        known, "_n long, _source string, source_size long, target double, _shards long"
-    )
+    of = _small(spark, known, "_n long, _source string, source_size long, target double, _shards long")
 
     def dealt(df: DataFrame) -> DataFrame:
         placed = df.join(of, F.col("source").eqNullSafe(F.col("_source")))
@@ -171,17 +185,15 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
     sums = dealt(light).groupBy("_n", "_part").agg(F.sum("size").alias("words")).toPandas()
     plan = plan_shards({n: t for n, _, _, t, _ in known}, sums)
-    quotas = spark.createDataFrame(
-        [tuple(map(int, r)) for r in plan[["_part", "words", "blocks", "quota"]].itertuples(index=False)],
-        "_at long, _words long, _blocks long, _quota long",
-    )
+    rows = list(plan[["_part", "words", "blocks", "quota"]].itertuples(index=False, name=None))
+    quotas = _small(spark, rows, "_at long, _words long, _blocks long, _quota long")
     draw = F.xxhash64(F.lit(seed + 2), F.col("_at"))
     stride = F.get(F.array(*[F.lit(s) for s in STRIDES]), F.pmod(draw, F.lit(len(STRIDES))).cast("int"))
     quotas = quotas.withColumns(
         {"_stride": stride.cast("long") % F.col("_blocks"), "_offset": F.pmod(F.xxhash64(draw), F.col("_blocks"))}
     )
-    own = without(docs, ADDED).withColumn("size", word_count(F.col("text"))) if "text" in docs.columns else light
-    tie = [F.xxhash64("text")] if "text" in own.columns else []
+    own = without(docs, ADDED).withColumn("size", word_count(F.col("text"))) if carry else light
+    tie = [F.xxhash64("text")] if carry else []
     order = Window.partitionBy("_part").orderBy("_turn", "doc_id", "size", *tie)
     before = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1))
     placed = dealt(own).withColumn("_begin", F.coalesce(before, F.lit(0)))
@@ -190,7 +202,7 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     ranged = placed.withColumns({"ranges": _once_more(), "passes": passes.cast("int")})
     extra = F.aggregate("ranges", F.lit(0).cast("long"), lambda a, r: a + r["to"] - r["at"])
     taken = (F.col("passes") * F.col("size") + extra).cast("long")
-    kept = [quoted(c) for c in without(docs, ADDED).columns]
+    kept = [quoted(c) for c in (without(docs, ADDED).columns if carry else ["doc_id", "source"])]
     return ranged.select(*kept, "size", "source_size", "target", taken.alias("taken"), "passes", "ranges")
 
 
@@ -201,29 +213,32 @@ def mixed_texts(docs: DataFrame, seed: int = SEED) -> DataFrame:
     is the words of those ranges, with the white space inside each and a line feed between them.
     ``n_chars``, if there, is counted anew for those. Documents that the mix doesn't take are left out.
     """
-    carried = docs.select("doc_id", "source", "text", F.struct(*[quoted(c) for c in docs.columns]).alias("_row"))
-    mixed = mix(carried, seed).where("taken > 0")
-    span = "array<struct<at:bigint,to:bigint>>"
-    whole = F.array_repeat(F.lit(None).cast(span), F.col("passes"))
-    part = F.when(F.size("ranges") > 0, F.array(F.col("ranges").cast(span)))
-    copies = mixed.withColumn("_copy", F.explode(F.concat(whole, F.coalesce(part, F.array().cast(f"array<{span}>")))))
-    # word k with the white space after it is element k of the array
-    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]++[\x20\x09-\x0D]*+)"), F.lit(1))
-    copies = copies.withColumn("_all", F.when(F.col("_copy").isNotNull(), words))
-    pieces = F.transform(
-        "_copy",
-        lambda r: F.btrim(
-            F.array_join(F.slice("_all", (r["at"] + 1).cast("int"), (r["to"] - r["at"]).cast("int")), ""),
-            F.lit(WHITE),
-        ),
-    )
-    copies = copies.withColumn("_cut", F.array_join(pieces, "\n"))
-    out = []
-    for c in docs.columns:
-        old = F.col("_row").getField(c)
-        if c.lower() == "text":
-            old = F.coalesce("_cut", old)
-        elif c.lower() == "n_chars":
-            old = F.coalesce(F.length("_cut").cast(docs.schema[c].dataType), old)
-        out.append(old.alias(c))
-    return copies.select(*out)
+    inside = {c: c.lower() if c.lower() in ("doc_id", "source", "text") else f"_in{i}" for i, c in enumerate(docs.columns)}
+    carried = docs.select(*[quoted(c).alias(name) for c, name in inside.items()])
+    mixed = mix(carried, seed).where("taken > 0").select(*inside.values(), "passes", "ranges")
+    names, text = list(inside.values()), list(inside.values()).index("text")
+    count = next((i for i, c in enumerate(docs.columns) if c.lower() == "n_chars"), None)
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, cuts = [], []
+            texts = batch.column("text")
+            for i, (passes, ranges) in enumerate(zip(batch.column("passes").to_pylist(), batch.column("ranges").to_pylist())):
+                rows += [i] * (passes + bool(ranges))
+                cuts += [None] * passes + ([cut(texts[i].as_py(), ranges)] if ranges else [])
+            taken = batch.select(names).take(pa.array(rows, pa.int64()))
+            columns = list(taken.columns)
+            changed = pa.array(cuts, pa.string())
+            columns[text] = pc.coalesce(changed, columns[text])
+            if count is not None:
+                length = pa.array([None if c is None else len(c) for c in cuts], pa.int64())
+                columns[count] = pc.coalesce(length.cast(columns[count].type), columns[count])
+            yield pa.RecordBatch.from_arrays(columns, docs.columns)
+
+    return mixed.mapInArrow(copy, docs.schema)
+
+
+def cut(text: str, ranges: list[dict[str, int]]) -> str:
+    """The words of the ranges (at, to), which are in order, each with the white space inside it."""
+    words = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+    return "\n".join(text[words[r["at"]][0] : words[r["to"] - 1][1]] for r in ranges)

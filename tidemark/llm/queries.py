@@ -23,8 +23,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    mixed = mixing.mix(docs)
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), carry=False)
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
