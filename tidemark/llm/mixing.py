@@ -217,7 +217,8 @@ def mixed_texts(docs: DataFrame, seed: int = SEED) -> DataFrame:
     carried = docs.select(*[quoted(c).alias(name) for c, name in inside.items()])
     mixed = mix(carried, seed).where("taken > 0").select(*inside.values(), "passes", "ranges")
     names, text = list(inside.values()), list(inside.values()).index("text")
-    count = next((i for i, c in enumerate(docs.columns) if c.lower() == "n_chars"), None)
+    titles = docs.columns
+    count = next((i for i, c in enumerate(titles) if c.lower() == "n_chars"), None)
 
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,7 +234,7 @@ def mixed_texts(docs: DataFrame, seed: int = SEED) -> DataFrame:
             if count is not None:
                 length = pa.array([None if c is None else len(c) for c in cuts], pa.int64())
                 columns[count] = pc.coalesce(length.cast(columns[count].type), columns[count])
-            yield pa.RecordBatch.from_arrays(columns, docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, titles)
 
     return mixed.mapInArrow(copy, docs.schema)
 
