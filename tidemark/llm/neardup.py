@@ -2,17 +2,20 @@
 
 Each permutation of the shingle hashes gives two signature values, its minimum and its maximum, so 72
 values cost 36 hash evaluations. Bands of three values make buckets. Texts with the same
-shingle set are one class from the start. A bucket's classes are never paired with each other: in
-each round every class is held against a few hubs of its bucket, links are confirmed on full sets, and
-only buckets whose classes are not yet connected go on, with twice the hubs. So a large group of
-near copies costs a star instead of a square, and no link between components is left unchecked.
+shingle set are one class from the start. A bucket's classes are never paired with each other: each is
+held against one hub, on full sets. Two classes that are both linked to the hub are connected. If one
+isn't, the two can only be linked if they share a shingle that the hub lacks, or if both lie almost
+wholly in the hub; so new buckets are made of the shingles outside the hub and the size classes
+inside it, where components still differ. These are short; their classes are held against 1, 2, 4 .. hubs a
+round until a bucket is connected or done. A large group of near copies costs a star and
+short lists instead of a square, and no link between components is left out.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.shingles import mix64, shingle_sets
@@ -24,9 +27,10 @@ ROWS, BANDS = 3, 24
 HASHES = ROWS * BANDS // 2
 #: Odd multipliers: x -> a * x permutes the 64-bit hashes.
 _FACTORS = np.random.default_rng(36).integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: Pairs whose signatures agree on fewer values aren't confirmed. At similarity 0.75 54 of 72 are
-#: expected; fewer than 31 have a chance below 1e-8.
-LEAST_EQUAL = 31
+#: Growth of set sizes from one size class to the next.
+SIZE_STEP = 1.01
+#: Up to so many ids (8 bytes each) are broadcast to pick out their texts; beyond it, both sides are shuffled.
+BROADCAST_IDS = 2_000_000
 
 
 def min_max(shingles: np.ndarray) -> bytes:
@@ -110,39 +114,53 @@ def _state(pairs: DataFrame):
     return pairs.agg(F.count("u").alias("n"), F.sum(key).alias("hashes")).first()
 
 
-def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose set sizes and signatures allow the similarity."""
-    left = classes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
-    right = classes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
-    sized = pairs.join(left, "a").join(right, "b")
-    sized = sized.where(100 * F.least("na", "nb") >= SIMILARITY * F.greatest("na", "nb"))
+def _size_class(n):
+    return np.floor(np.log(np.maximum(n, 1)) / np.log(SIZE_STEP) + 1e-9).astype(np.int64)
 
-    def agree(batches):
-        for batch in batches:
-            both = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32) for c in ("sa", "sb")]
-            equal = (both[0] == both[1]).reshape(len(batch), -1).sum(1)
-            keep = pa.array(equal >= LEAST_EQUAL)
-            yield batch.select(["a", "b"]).filter(keep)
-
-    return sized.select("a", "b", "sa", "sb").mapInArrow(agree, "a long, b long")
 
+def against_hub(x: np.ndarray, hub: np.ndarray) -> tuple[bool, np.ndarray, np.ndarray]:
+    """(linked, shingles outside, keys inside) of a set and its hub, both sorted.
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity."""
+    Let t be the similarity, i and j two sets with at least ``need`` = t / (1 + t) * (|i| + |j|) common
+    shingles, and o_i the number i shares with the hub. If need > min(o_i, o_j), i and j share a
+    shingle outside the hub, even t * |i| - o_i of them at least, see ``_open_buckets``. Else
+    |j| <= (1 + t) / t * o_i - |i|, which gives the size classes j can have; a key is the pair of both
+    classes, and which of them i is in.
+    """
+    t = SIMILARITY / 100
+    outside = np.setdiff1d(x, hub, assume_unique=True)
+    same = len(x) - len(outside)
+    linked = 100 * same >= SIMILARITY * (len(x) + len(hub) - same)
+    outside = outside.view(np.int64)
+    largest = (1 + t) / t * same - len(x)
+    if largest < t * len(x) - 1e-9:
+        return linked, outside, np.empty(0, np.int64)
+    own = int(_size_class(len(x)))
+    other = np.arange(_size_class(int(np.ceil(t * len(x) - 1e-9))), _size_class(int(largest + 1e-9)) + 1)
+    sides = (own <= other) + 2 * (own >= other)  # whether the own size is the smaller, the larger or both
+    return linked, outside, (np.minimum(own, other) * (1 << 20) + np.maximum(own, other)) * 4 + sides
+
+
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b (a hub), n (size of a's set), linked, outside, inside for each pair: see ``against_hub``."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
 
-    def check(batches):
+    def compare(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("sa"), batch.column("sb")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                same = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(100 * same >= SIMILARITY * (len(x) + len(y) - same))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            found = [
+                against_hub(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
+                for x, y in zip(batch.column("sa"), batch.column("sb"))
+            ]
+            keys = [pa.array([f[i] for f in found], pa.list_(pa.int64())) for i in (1, 2)]
+            linked = pa.array([bool(f[0]) for f in found], pa.bool_())
+            n = pa.array([len(x.as_buffer()) // 8 for x in batch.column("sa")], pa.int64())
+            names = ["a", "b", "n", "linked", "outside", "inside"]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), n, linked, *keys], names)
 
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
-    return joined.mapInArrow(check, "a long, b long")
+    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb")
+    schema = "a long, b long, n long, linked boolean, outside array<long>, inside array<long>"
+    return joined.mapInArrow(compare, schema)
 
 
 def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -156,10 +174,74 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
-    sets = texts.join(nodes, "node", "left_semi").mapInArrow(make, "node long, shingles binary")
+    few = nodes.count() <= BROADCAST_IDS
+    sets = texts.join(F.broadcast(nodes) if few else nodes, "node", "left_semi")
+    sets = sets.mapInArrow(make, "node long, shingles binary")
     return sets.withColumn("h", F.xxhash64("shingles")).dropDuplicates(["node", "h"]).drop("h")
 
 
+def _central_hubs(members: DataFrame, stars: DataFrame, pairs: DataFrame) -> DataFrame:
+    """a, b: every node of ``members`` with the hub that each of its buckets settles on.
+
+    ``stars`` has a first hub for each bucket and ``pairs`` how its nodes compare with it. A hub weighs as
+    many as are linked to it. A node takes the heaviest hub of its buckets, and a bucket the heaviest
+    of its nodes', which needn't be in it. So the buckets of a group settle on the text that most derive from.
+    """
+    weight = pairs.groupBy(F.col("b").alias("hub")).agg(F.sum(F.col("linked").cast("long")).alias("weight"))
+    heaviest = members.join(stars, "bucket").join(weight, "hub", "left").fillna(0, ["weight"])
+    for key in ("node", "bucket"):
+        best = heaviest.groupBy(key).agg(F.max(F.struct("weight", (-F.col("hub")).alias("hub"))).alias("best"))
+        best = best.select(key, F.col("best.weight").alias("weight"), (-F.col("best.hub")).alias("hub"))
+        heaviest = members.join(best, key)
+    settled = heaviest.select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    return settled.where("a <> b").distinct()
+
+
+def _open_buckets(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """bucket, node: where links between components may still be, after ``pairs`` were compared.
+
+    A set with o of n shingles in the hub shares s = t * n - o or more shingles outside it with any other
+    that it is linked to by such. So of its shingles outside, from the rarest among the hub's
+    sets to the most frequent, all but the last s - 1 are enough to meet.
+    """
+    label = found.select(F.col("node").alias("a"), F.col("component"))
+    own = F.coalesce("component", "a").alias("component")
+    members = pairs.join(label, "a", "left").select("a", "b", "n", "outside", "inside", own)
+    several = members.groupBy("b").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    members = members.join(several.where("x < y").select("b"), "b")
+    same = F.col("n") - F.size("outside")
+    sure = F.greatest(F.ceil(F.col("n") * (SIMILARITY / 100) - F.lit(1e-9)) - same, F.lit(1))
+    enough = (F.size("outside") - sure + 1).alias("enough")
+    spread = members.select("a", "b", "component", enough, F.explode("outside").alias("k"))
+    often = spread.groupBy("b", "k").agg(
+        F.count(F.lit(1)).alias("often"), F.min("component").alias("x"), F.max("component").alias("y")
+    )
+    rarest = Window.partitionBy("a", "b").orderBy("often", "k")
+    ranked = spread.join(often, ["b", "k"]).withColumn("rank", F.row_number().over(rarest))
+    ranked = ranked.where("rank <= enough AND x < y")
+    outside = ranked.select(F.xxhash64("b", "k").alias("bucket"), F.col("a").alias("node"), "component", F.lit(3).alias("side"))
+    key = F.explode("inside").alias("k")
+    inside = members.select("b", F.col("a").alias("node"), "component", key).select(
+        F.xxhash64("b", F.floor(F.col("k") / 4).cast("long"), F.lit("inside")).alias("bucket"),
+        "node",
+        "component",
+        (F.col("k") % 4).cast("int").alias("side"),
+    )
+    spread = outside.unionByName(inside)
+    ends = spread.groupBy("bucket").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.bit_or("side").alias("sides")
+    )
+    ends = ends.where("x < y AND sides = 3").select("bucket")
+    return spread.join(ends, "bucket").select("bucket", "node").distinct()
+
+
+def _still_open(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The members of buckets that lie in two components or more."""
+    label = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    ends = label.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    return members.join(ends.where("x < y").select("bucket"), "bucket")
+
+
 def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """The pairs whose ends aren't in the same component yet."""
     x = found.select(F.col("node").alias("a"), F.col("component").alias("ca"))
@@ -168,6 +250,15 @@ def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return ends.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
+def _joined(found: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The components after the linked ones of ``pairs`` are added."""
+    links = pairs.where("linked").select("a", "b")
+    if not links.head(1):
+        return found
+    known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(known.union(links), "near-components")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs``.
 
@@ -193,27 +284,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     banded = _banded(classes)
     shared = banded.groupBy("bucket").agg(F.count("node").alias("m")).where("m > 1").select("bucket")
     members = stage(banded.join(shared, "bucket").select("bucket", "node").distinct(), "near-buckets")
-    sets = stage(_sets(docs, members.select("node").distinct()), "near-sets")
-    hubs, found = 1, None
-    while True:
+    sets = stage(_sets(docs, stage(members.select("node").distinct(), "near-nodes")), "near-sets")
+    found = components(links, "near-components")
+    stars = stage(members.groupBy("bucket").agg(F.min("node").alias("hub")), "near-stars")
+    pairs = members.join(stars, "bucket").where("node <> hub")
+    pairs = pairs.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    first = stage(_compared(pairs, sets), "near-pairs")
+    found = _joined(found, first)
+    members = stage(_still_open(members, found), "near-buckets")
+    settled = stage(_central_hubs(members, stars, first), "near-settled")
+    more = stage(_compared(settled.join(first.select("a", "b"), ["a", "b"], "left_anti"), sets), "near-pairs")
+    found = _joined(found, more)
+    pairs = first.unionByName(more).join(settled, ["a", "b"])
+    members = stage(_open_buckets(pairs, found), "near-buckets")
+    hubs = 1
+    while members.head(1):
         slot = F.pmod(F.xxhash64("node"), F.lit(hubs))
         hub = members.groupBy("bucket", slot.alias("slot")).agg(F.min("node").alias("hub")).drop("slot")
-        hub = stage(hub, "near-hubs")
         pairs = members.join(hub, "bucket").where("node <> hub")
-        pairs = pairs.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b"))
-        pairs = pairs.distinct()
-        if found is not None:
-            pairs = _apart(pairs, found)
-        pairs = stage(_plausible(pairs, classes), "near-pairs")
-        links = links.union(stage(_confirmed(pairs, sets), "near-links"))
-        found = components(links, "near-components")
+        pairs = pairs.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
+        found = _joined(found, stage(_compared(_apart(pairs, found), sets), "near-pairs"))
         # hubs are done; the rest of a bucket goes on while it lies in two components or more
         rest = members.join(hub.withColumnRenamed("hub", "node"), ["bucket", "node"], "left_anti")
-        label = rest.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        open_ = label.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        members = stage(rest.join(open_.where("x < y").select("bucket"), "bucket"), "near-buckets")
-        if not members.head(1):
-            break
+        members = stage(_still_open(rest, found), "near-buckets")
         hubs *= 2
     label = member.distinct().join(found, "node", "left").groupBy("doc_id")
     label = label.agg(F.min(F.coalesce("component", "node")).alias("component"))
