@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 #: ASCII white space: tab, line feed, vertical tab, form feed, carriage return, space.
 WHITE = " \t\n\x0b\f\r"
+#: Rows of a batch that are worked on at a time, for the sake of the workers' memory.
+SLICE = 512
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -46,10 +48,11 @@ def map_arrow(df: DataFrame, make, added: Sequence[T.StructField], drop: Sequenc
     schema = T.StructType([*kept, *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            new = make(batch)
-            old = [batch.column(f.name) for f in kept]
-            yield pa.RecordBatch.from_arrays([*old, *new], [*[f.name for f in kept], *names])
+        for whole in batches:
+            for at in range(0, len(whole), SLICE):
+                batch = whole.slice(at, SLICE)
+                old = [batch.column(f.name) for f in kept]
+                yield pa.RecordBatch.from_arrays([*old, *make(batch)], [*[f.name for f in kept], *names])
 
     return source.mapInArrow(run, schema)
 

@@ -6,7 +6,7 @@ shingle set are one class from the start. A bucket's classes are never paired wi
 held against one hub, on full sets. Two classes that are both linked to the hub are connected. If one
 isn't, the two can only be linked if they share a shingle that the hub lacks, or if both lie almost
 wholly in the hub; so new buckets are made of the shingles outside the hub and the size classes
-inside it, where components still differ. These are short; their classes are held against 1, 2, 4 .. hubs a
+inside it, where components still differ. These are short; their classes are held against 1, 4, 16 .. hubs a
 round until a bucket is connected or done. A large group of near copies costs a star and
 short lists instead of a square, and no link between components is left out.
 """
@@ -232,22 +232,31 @@ def _open_buckets(pairs: DataFrame, found: DataFrame) -> DataFrame:
         F.min("component").alias("x"), F.max("component").alias("y"), F.bit_or("side").alias("sides")
     )
     ends = ends.where("x < y AND sides = 3").select("bucket")
-    return spread.join(ends, "bucket").select("bucket", "node").distinct()
+    return spread.join(ends, "bucket").select("bucket", "node", "side").distinct()
 
 
 def _still_open(members: DataFrame, found: DataFrame) -> DataFrame:
-    """The members of buckets that lie in two components or more."""
-    label = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    ends = label.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    return members.join(ends.where("x < y").select("bucket"), "bucket")
+    """The members of buckets that lie in two components or more, with their component, if any."""
+    label = members.join(found, "node", "left")
+    own = F.coalesce("component", "node")
+    ends = label.groupBy("bucket").agg(F.min(own).alias("x"), F.max(own).alias("y"))
+    return label.join(ends.where("x < y").select("bucket"), "bucket")
 
 
-def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs whose ends aren't in the same component yet."""
-    x = found.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    y = found.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    ends = pairs.join(x, "a", "left").join(y, "b", "left")
-    return ends.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+def _next_hubs(members: DataFrame, hubs: int) -> DataFrame:
+    """bucket, hub, hub_side, hub_component: up to ``hubs`` of each bucket, unlinked ones first.
+
+    In a bucket of one large component and a few single texts these are all that must be compared.
+    """
+    slot = F.pmod(F.xxhash64("node"), F.lit(hubs)).alias("slot")
+    first = F.min(F.struct(F.col("component").isNotNull().alias("linked"), "node", "side", "component"))
+    chosen = members.groupBy("bucket", slot).agg(first.alias("hub"))
+    return chosen.select(
+        "bucket",
+        F.col("hub.node").alias("hub"),
+        F.col("hub.side").alias("hub_side"),
+        F.col("hub.component").alias("hub_component"),
+    )
 
 
 def _joined(found: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -291,23 +300,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = pairs.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     first = stage(_compared(pairs, sets), "near-pairs")
     found = _joined(found, first)
-    members = stage(_still_open(members, found), "near-buckets")
+    members = stage(_still_open(members, found).select("bucket", "node"), "near-buckets")
     settled = stage(_central_hubs(members, stars, first), "near-settled")
     more = stage(_compared(settled.join(first.select("a", "b"), ["a", "b"], "left_anti"), sets), "near-pairs")
     found = _joined(found, more)
     pairs = first.unionByName(more).join(settled, ["a", "b"])
-    members = stage(_open_buckets(pairs, found), "near-buckets")
+    members = stage(_still_open(_open_buckets(pairs, found), found), "near-buckets")
     hubs = 1
     while members.head(1):
-        slot = F.pmod(F.xxhash64("node"), F.lit(hubs))
-        hub = members.groupBy("bucket", slot.alias("slot")).agg(F.min("node").alias("hub")).drop("slot")
-        pairs = members.join(hub, "bucket").where("node <> hub")
-        pairs = pairs.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
-        found = _joined(found, stage(_compared(_apart(pairs, found), sets), "near-pairs"))
+        hub = stage(_next_hubs(members, hubs), "near-hubs")
+        ends = members.join(hub, "bucket").where(
+            "node <> hub AND (side | hub_side) = 3 AND NOT (component <=> hub_component AND component IS NOT NULL)"
+        )
+        pairs = ends.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
+        found = _joined(found, stage(_compared(pairs, sets), "near-pairs"))
         # hubs are done; the rest of a bucket goes on while it lies in two components or more
-        rest = members.join(hub.withColumnRenamed("hub", "node"), ["bucket", "node"], "left_anti")
+        done = hub.select("bucket", F.col("hub").alias("node"))
+        rest = members.drop("component").join(done, ["bucket", "node"], "left_anti")
         members = stage(_still_open(rest, found), "near-buckets")
-        hubs *= 2
+        hubs *= 4
     label = member.distinct().join(found, "node", "left").groupBy("doc_id")
     label = label.agg(F.min(F.coalesce("component", "node")).alias("component"))
     out = every.select("doc_id", F.col("n").alias("n_shingles")).join(label, "doc_id", "left")
