@@ -143,7 +143,7 @@ def _copies(vectors: DataFrame, most: int) -> DataFrame:
             grouped = frame.sort_values("vec_id").drop_duplicates(["key", "vec_id"]).groupby("key", sort=False)
             first = frame.index[~frame["key"].duplicated()]
             ids = grouped["vec_id"].apply(lambda x: x.head(most).tolist())
-            count = grouped["vec_id"].size()
+            count = frame.groupby("key", sort=False).size()
             keys = frame["key"][first]
             yield pa.RecordBatch.from_arrays(
                 [
