@@ -8,8 +8,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MONEY_PLACES = 4
-
 
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -31,15 +29,13 @@ def zero_sum(c: Column | str) -> Column:
     return F.coalesce(F.sum(col(c)), F.lit(0))
 
 
-def money_sum(c: Column | str, places: int = MONEY_PLACES) -> Column:
-    """Sum of an amount with at most ``places`` decimals.
+def money_sum(c: Column | str) -> Column:
+    """Sum of an amount with up to 18 decimals, below 10^20; 0 when there is nothing to add.
 
-    Added up as whole units of the last decimal, so the total does not depend on the order in
-    which partial sums arrive and a repeated task gives the same value.
+    Added up as decimals, so the total does not depend on the order in which partial sums
+    arrive and a repeated task gives the same value.
     """
-    scale = 10**places
-    units = F.sum(F.rint(col(c) * float(scale)).cast("bigint"))
-    return F.coalesce(units, F.lit(0)) / F.lit(float(scale))
+    return F.coalesce(F.sum(col(c).cast("decimal(38,18)")).cast("double"), F.lit(0.0))
 
 
 def not_in(c: Column | str, values: Iterable) -> Column:

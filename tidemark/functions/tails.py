@@ -25,15 +25,12 @@ def chi_square_tail(stat: pd.Series, dof: pd.Series) -> pd.Series:
     def tail(x: float, k: int) -> float | None:
         if x is None or math.isnan(x) or k < 1:
             return None
-        half = x / 2
-        if k % 2:
-            total, term, power = math.erfc(math.sqrt(half)), 2 * math.sqrt(half / math.pi), 1.5
-        else:
-            total, term, power = math.exp(-half), half, 2.0
-        for _ in range((int(k) - 1) // 2):
-            total += term * math.exp(-half)
-            term *= half / power
-            power += 1
-        return total
+        half, odd = x / 2, k % 2 / 2
+        if half <= 0:
+            return 1.0
+        # the terms half^m * exp(-half) / gamma(m + 1), in logarithms so that none overflows
+        powers = (j + odd for j in range(int(k) // 2))
+        terms = (math.exp(m * math.log(half) - half - math.lgamma(m + 1)) for m in powers)
+        return min(1.0, math.fsum(terms) + (math.erfc(math.sqrt(half)) if odd else 0.0))
 
     return pd.Series([tail(x, k) for x, k in zip(stat, dof)], dtype="float64")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import days_before, time_range
 
-MAX_DAYS = 62
+MASK_DAYS = 62
 
 
 def app_retention(
@@ -20,11 +20,12 @@ def app_retention(
     The day of the run itself counts, as far as it has gone; what lies after it does not.
 
     First activity needs the whole history, but later activity matters only inside the window.
-    One pass keeps, per user, the first day and a bit per active day of the window, so a user
-    is 16 bytes in the only large shuffle, whatever the number of events.
+    One pass keeps, per user, the first day and a bit per active day of the window, in masks of
+    62 days each, so a user is 16 bytes in the only large shuffle (for up to 61 days), whatever the
+    number of events.
     """
-    if not 0 < days <= MAX_DAYS:
-        raise ValueError(f"days must be between 1 and {MAX_DAYS}")
+    if days < 1:
+        raise ValueError("days must be at least 1")
     first_day = days_before(as_of, days)
     end = days_before(as_of, -1)
     history = time_range(feed.select("user_id", "time"), "time", None, end).unionByName(
@@ -32,20 +33,29 @@ def app_retention(
     )
     day = F.to_date("time")
     place = F.date_diff(day, F.lit(first_day))
+    one = F.lit(1).cast("bigint")
+    masks = [
+        F.bit_or(
+            F.when(
+                place.between(start, start + MASK_DAYS - 1), F.call_function("shiftleft", one, place - start)
+            ).otherwise(0)
+        ).alias(f"active{i}")
+        for i, start in enumerate(range(0, days + 1, MASK_DAYS))
+    ]
     users = (
         history.where(F.col("user_id").isNotNull())
         .groupBy("user_id")
-        .agg(
-            F.min(day).alias("start_day"),
-            F.bit_or(F.when(place >= 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), place)))
-            .alias("active"),
-        )
+        .agg(F.min(day).alias("start_day"), *masks)
         .where(F.col("start_day") >= F.lit(first_day))
+        .select("start_day", F.array(*[f"active{i}" for i in range(len(masks))]).alias("active"))
     )
     places = F.explode(F.sequence(F.lit(0), F.lit(days))).alias("place")
     return (
         users.select("start_day", "active", places)
-        .where(F.getbit("active", F.col("place")) == 1)
+        .where(
+            F.getbit(F.get("active", F.floor(F.col("place") / MASK_DAYS).cast("int")), F.col("place") % MASK_DAYS)
+            == 1
+        )
         .groupBy("start_day", F.date_add(F.lit(first_day), F.col("place")).alias("day"))
         .agg(F.count(F.lit(1)).alias("users"))
     )

@@ -521,9 +521,13 @@ def _event_stream(t: Tables, view: str) -> DataFrame:
     return t.spark.sql(fixtures.VIEWS[view], events=events)
 
 
+# the test table is one file, read in one batch, so no event can come late
+IN_ORDER = "0 minutes"
+
+
 def _written_feed_buckets(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "buckets")
-    stream = streams.feed_bucket_stream(_event_stream(t, "feed_actions"))
+    stream = streams.feed_bucket_stream(_event_stream(t, "feed_actions"), IN_ORDER)
     checkpoint = scratch_path(t.spark, "buckets-checkpoint")
     streams.append_closed_buckets(stream, path, checkpoint).awaitTermination()
     return t.spark.read.schema(stream.schema).parquet(path)
@@ -537,7 +541,7 @@ def stream_alert_buckets(t: Tables) -> DataFrame:
 @query
 def stream_message_buckets(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "message-buckets")
-    stream = streams.message_bucket_stream(_event_stream(t, "message_actions"))
+    stream = streams.message_bucket_stream(_event_stream(t, "message_actions"), IN_ORDER)
     checkpoint = scratch_path(t.spark, "message-buckets-checkpoint")
     streams.append_closed_buckets(stream, path, checkpoint).awaitTermination()
     return t.spark.read.schema(stream.schema).parquet(path)

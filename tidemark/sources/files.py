@@ -29,15 +29,26 @@ CAMPAIGNS_SCHEMA = (
 )
 
 
+def _text(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    """All columns as text. Fails on a file whose header isn't that of the first one.
+
+    Spark takes columns by their place in the first file; checked, a file in another order can't swap them.
+    """
+    names = spark.read.csv(path, header=True, sep=sep).columns
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    return spark.read.csv(path, header=True, sep=sep, schema=schema, enforceSchema=False)
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: str | T.StructType, sep: str = ","
 ) -> DataFrame:
     """Text with a header row and a known schema, so the file is read once.
 
-    Columns are matched by name; those the schema leaves out are not parsed.
+    Columns are matched by name; those the schema leaves out are not parsed. Files of one folder must
+    have the same header; read others apart and unite them with ``unionByName``.
     """
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    text = spark.read.csv(path, header=True, sep=sep)
+    text = _text(spark, path, sep)
     return text.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted])
 
 
@@ -46,7 +57,7 @@ def read_decimal_comma(
 ) -> DataFrame:
     """Like ``read_csv``, for files that write 3208,44 where Spark expects 3208.44."""
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    text = spark.read.csv(path, header=True, sep=sep)
+    text = _text(spark, path, sep)
     columns = []
     for field in wanted:
         source = F.col(field.name)

@@ -64,15 +64,19 @@ def _labelled(buckets: DataFrame, *metrics) -> DataFrame:
     )
 
 
-def feed_bucket_stream(feed: DataFrame, lateness: str = "0 minutes") -> DataFrame:
-    """Users, likes, views and ctr of each bucket, once the watermark has passed its end."""
+def feed_bucket_stream(feed: DataFrame, lateness: str) -> DataFrame:
+    """Users, likes, views and ctr of each bucket, once the watermark has passed its end.
+
+    Events later than ``lateness`` behind the newest one are not counted; the batch buckets of
+    ``operators.alerts`` over the event table count all, whenever they came.
+    """
     users = _per_user(feed, lateness, likes=F.count_if(is_like()), views=F.count_if(is_view()))
     buckets = _per_bucket(users, "users_feed", ["likes", "views"])
     ctr = round_even(ratio("likes", "views"), 3).alias("ctr")
     return _labelled(buckets, "users_feed", "likes", "views", ctr)
 
 
-def message_bucket_stream(messages: DataFrame, lateness: str = "0 minutes") -> DataFrame:
+def message_bucket_stream(messages: DataFrame, lateness: str) -> DataFrame:
     """Users and messages of each bucket, once the watermark has passed its end."""
     users = _per_user(messages, lateness, messages=F.count(F.lit(1)))
     return _labelled(_per_bucket(users, "users_message", ["messages"]), "users_message", "messages")
