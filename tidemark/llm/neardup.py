@@ -84,14 +84,12 @@ def _banded(classes: DataFrame) -> DataFrame:
 def components(edges: DataFrame, name: str) -> DataFrame:
     """node, component: the smallest node reachable, for every node with an edge (a, b).
 
-    Large-star and small-star steps in turn: neighbours are linked to the smallest one, until no edge
-    changes; then every node points at one root and no root at another. Each step is written to the
-    shared folder.
+    Large-star and small-star steps in turn: neighbours are linked to the smallest one, until every
+    node points at one root and no root at another. Each step is written to the shared folder.
     """
     pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     pairs = stage(pairs.distinct(), name)
-    before = _state(pairs)
-    while before["n"]:
+    while not _are_stars(pairs):
         # large star: larger neighbours of u go to the smallest of u and its neighbours
         both = pairs.union(pairs.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -102,16 +100,15 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         moved = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
         small = large.join(least, "u").select(moved.alias("u"), F.col("m").alias("v"))
         pairs = stage(small.where("u <> v").distinct(), name)
-        after = _state(pairs)
-        if after == before:
-            break
-        before = after
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
-def _state(pairs: DataFrame):
-    key = F.xxhash64("u", "v").cast("decimal(38,0)")
-    return pairs.agg(F.count("u").alias("n"), F.sum(key).alias("hashes")).first()
+def _are_stars(pairs: DataFrame) -> bool:
+    """Whether every u has one v only, and no v is a u: counted by node, combined before the shuffle."""
+    above = pairs.select(F.col("u").alias("node"), F.lit(1).alias("up"))
+    ends = above.union(pairs.select("v", F.lit(0)))
+    seen = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
+    return not seen.where("ups > 1 OR (ups = 1 AND least = 0)").head(1)
 
 
 def _size_class(n):
@@ -235,6 +232,13 @@ def _open_buckets(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return spread.join(ends, "bucket").select("bucket", "node", "side").distinct()
 
 
+def _unlinked(members: DataFrame, stars: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The members of buckets that hold a node not linked to the bucket's first hub."""
+    apart = pairs.where("NOT linked").select(F.col("a").alias("node"), F.col("b").alias("hub"))
+    ends = members.join(stars, "bucket").join(apart, ["node", "hub"]).select("bucket").distinct()
+    return members.join(ends, "bucket")
+
+
 def _still_open(members: DataFrame, found: DataFrame) -> DataFrame:
     """The members of buckets that lie in two components or more, with their component, if any."""
     label = members.join(found, "node", "left")
@@ -299,12 +303,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = members.join(stars, "bucket").where("node <> hub")
     pairs = pairs.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     first = stage(_compared(pairs, sets), "near-pairs")
-    found = _joined(found, first)
-    members = stage(_still_open(members, found).select("bucket", "node"), "near-buckets")
+    members = stage(_unlinked(members, stars, first), "near-buckets")
     settled = stage(_central_hubs(members, stars, first), "near-settled")
     more = stage(_compared(settled.join(first.select("a", "b"), ["a", "b"], "left_anti"), sets), "near-pairs")
-    found = _joined(found, more)
-    pairs = first.unionByName(more).join(settled, ["a", "b"])
+    both = first.unionByName(more)
+    found = _joined(found, both)
+    pairs = both.join(settled, ["a", "b"])
     members = stage(_still_open(_open_buckets(pairs, found), found), "near-buckets")
     hubs = 8
     while members.head(1):
