@@ -54,7 +54,21 @@ def test_receiver_takes_attributes_from_the_feed(spark):
     sent = messages(spark, (1, 3, AT, "iOS"))
     seen = feed(spark, (3, AT, "view", "iOS"), (3, AT, "view", "Android"), (1, AT, "view", "iOS"))
     got = rows(activity.message_user_daily(sent, activity.feed_user_daily(seen, DAY), DAY), "user_id", "os")
-    assert [(r[0], r[4], r[6]) for r in got] == [(1, "iOS", None), (3, "Android", 1), (3, "iOS", 1)]
+    assert [(r[0], r[4], r[6]) for r in got] == [(1, "iOS", None), (3, "iOS", 1)]
+
+
+def test_received_messages_count_once(spark):
+    """Also for users with several sets of attributes, whether they sent or only received."""
+    sent = messages(
+        spark, *[(1, r, AT, os) for r in (2, 3) for os in ("iOS", "Android", None)], (2, 1, AT, "iOS"), (2, 1, AT, None)
+    )
+    seen = feed(spark, (3, AT, "view", "iOS"), (3, AT, "view", "Android"), (3, AT, "like", "Android"))
+    total = jobs.slices(seen, sent, DAY).where("dimension = 'gender'").first()
+    assert total.messages_received == total.messages_sent == 8
+    got = rows(activity.message_user_daily(sent, activity.feed_user_daily(seen, DAY), DAY), "user_id", "os")
+    assert [(r[0], r[4], r[6]) for r in got if r[6]] == [(1, "iOS", 2), (2, "iOS", 3), (3, "Android", 3)]
+    published = jobs.slices(seen, sent, DAY, literal=True).where("dimension = 'gender'").first()
+    assert published.messages_received == 3 * 2 + 2 * 3
 
 
 def test_literal_mode(spark):

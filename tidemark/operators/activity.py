@@ -58,12 +58,12 @@ def message_user_daily(
     """Yesterday's messages sent and received per user, and with how many people.
 
     Both sides are reduced to one row per user before they meet, so a user with very many
-    messages is spread over all tasks. Users who only received take their attributes from
-    their feed rows of the day (one row per set of attributes), or have none. The attributes join
-    the receivers where both already lie, before the full join.
+    messages is spread over all tasks. What a user received is counted once: on the set of attributes with
+    which the user sent most that day or, for one who sent nothing, was most active in the feed (ties: the
+    largest values), or on none.
 
-    ``literal=True`` reproduces the published job: it drops users who only received, and
-    reports 1 for ``users_received``.
+    ``literal=True`` reproduces the published job: it drops users who only received, repeats the
+    received counts for each set of attributes of a sender, and reports 1 for ``users_received``.
     """
     day = _yesterday(messages, as_of)
     sent = day.groupBy("user_id", F.to_date("time").alias("event_date"), *ATTRIBUTES).agg(
@@ -81,18 +81,15 @@ def message_user_daily(
     if literal:
         return sent.join(received, key, "left").select(*USER_DAY, *counts)
 
-    # the sets of attributes a user had that day, usually one
-    types = {name: sent.schema[name].dataType for name in ATTRIBUTES}
-    known_set = F.struct(*[F.col(name).cast(types[name]).alias(name) for name in ATTRIBUTES])
-    no_set = F.struct(*[F.lit(None).cast(types[name]).alias(name) for name in ATTRIBUTES])
-    known = feed_daily.groupBy(*key).agg(F.collect_set(known_set).alias("known"))
-    only_received = F.coalesce(F.col("known"), F.array(no_set))
-    own = F.array(F.struct(*ATTRIBUTES))
-    return (
-        sent.join(received.join(known, key, "left"), key, "full")
-        .withColumn("sets", F.when(F.col("messages_sent").isNull(), only_received).otherwise(own))
-        .select(*key, F.inline("sets").alias(*ATTRIBUTES), *counts)
+    # the set of attributes that carries what the user received
+    own = sent.select(*USER_DAY, F.lit(1).alias("own"), F.col("messages_sent").alias("n"))
+    seen = feed_daily.select(*USER_DAY, F.lit(0).alias("own"), (F.col("likes") + F.col("views")).alias("n"))
+    home = own.union(seen).groupBy(*key).agg(F.max(F.struct("own", "n", *ATTRIBUTES)).alias("home"))
+    attributes = [F.col(f"home.{name}").alias(name) for name in ATTRIBUTES]
+    at_home = received.join(home, key, "left").select(
+        *key, *attributes, "messages_received", "users_received"
     )
+    return combine_actions(sent, at_home).select(*USER_DAY, *counts)
 
 
 def combine_actions(feed_daily: DataFrame, message_daily: DataFrame) -> DataFrame:

@@ -11,20 +11,22 @@ from tidemark.session import stage
 from tidemark.sources.sinks import write_csv, write_daily
 
 
-def slices(feed: DataFrame, messages: DataFrame, as_of: dt.date) -> DataFrame:
-    """Yesterday's user metrics by gender, os and age.
+def slices(feed: DataFrame, messages: DataFrame, as_of: dt.date, literal: bool = False) -> DataFrame:
+    """Yesterday's user metrics by gender, os and age; ``literal`` as in ``message_user_daily``.
 
     The feed's rows per user serve twice, as metrics and as attributes of users who only received
     messages. They are staged, so the events of the day are read once.
     """
     feed_daily = stage(activity.feed_user_daily(feed, as_of), "feed-daily")
-    message_daily = activity.message_user_daily(messages, feed_daily, as_of)
+    message_daily = activity.message_user_daily(messages, feed_daily, as_of, literal)
     return activity.daily_slices(activity.combine_actions(feed_daily, message_daily))
 
 
-def run_daily_slices(feed: DataFrame, messages: DataFrame, as_of: dt.date, path: str) -> None:
+def run_daily_slices(
+    feed: DataFrame, messages: DataFrame, as_of: dt.date, path: str, literal: bool = False
+) -> None:
     """Daily job: add yesterday to the slice table. Running it again replaces the day."""
-    write_daily(slices(feed, messages, as_of), path)
+    write_daily(slices(feed, messages, as_of, literal), path)
 
 
 def summary_report(feed: DataFrame, messages: DataFrame, as_of: dt.date) -> dict[str, DataFrame]:

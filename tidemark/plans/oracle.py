@@ -76,15 +76,28 @@ received AS (
   FROM message_actions WHERE {YESTERDAY} GROUP BY ALL)"""
 
 MESSAGE_DAILY = f"""{MESSAGE_SIDES},
-sides AS (
+homes AS (
+  SELECT user_id, event_date, gender, age, os,
+         row_number() OVER (PARTITION BY user_id, event_date ORDER BY own DESC, n DESC, gender DESC NULLS LAST,
+                            age DESC NULLS LAST, os DESC NULLS LAST) AS place
+  FROM (SELECT user_id, event_date, gender, age, os, 1 AS own, messages_sent AS n FROM sent
+        UNION ALL SELECT user_id, event_date, gender, age, os, 0, likes + views FROM feed_daily)),
+at_home AS (
+  SELECT r.user_id, r.event_date, gender, age, os, messages_received, users_received
+  FROM received r LEFT JOIN homes h ON r.user_id = h.user_id AND r.event_date = h.event_date AND place = 1),
+message_daily AS (
   SELECT coalesce(s.user_id, r.user_id) AS user_id, coalesce(s.event_date, r.event_date) AS event_date,
-         gender, age, os, messages_sent, messages_received, users_sent, users_received
-  FROM sent s FULL JOIN received r ON s.user_id = r.user_id AND s.event_date = r.event_date),
+         coalesce(s.gender, r.gender) AS gender, coalesce(s.age, r.age) AS age, coalesce(s.os, r.os) AS os,
+         messages_sent, messages_received, users_sent, users_received
+  FROM sent s FULL JOIN at_home r
+    ON s.user_id = r.user_id AND s.event_date = r.event_date AND s.gender IS NOT DISTINCT FROM r.gender
+       AND s.age IS NOT DISTINCT FROM r.age AND s.os IS NOT DISTINCT FROM r.os)"""
+
+MESSAGE_LITERAL = f"""{MESSAGE_SIDES},
 message_daily AS (
-  SELECT m.user_id, m.event_date, coalesce(m.gender, f.gender) AS gender, coalesce(m.age, f.age) AS age,
-         coalesce(m.os, f.os) AS os, messages_sent, messages_received, users_sent, users_received
-  FROM sides m LEFT JOIN feed_daily f
-    ON m.messages_sent IS NULL AND m.user_id = f.user_id AND m.event_date = f.event_date)"""
+  SELECT s.user_id, s.event_date, gender, age, os, messages_sent, messages_received, users_sent,
+         CAST(CASE WHEN r.user_id IS NOT NULL THEN 1 END AS BIGINT) AS users_received
+  FROM sent s LEFT JOIN received r ON s.user_id = r.user_id)"""
 
 COMBINED = """
 combined AS (
@@ -112,11 +125,7 @@ sql(
 sql(
     "message_user_daily_literal",
     MESSAGES,
-    f"""WITH {MESSAGE_SIDES.strip()}
-SELECT s.user_id, {day('s.event_date', 'event_date')}, CAST(gender AS BIGINT) AS gender,
-       CAST(age AS BIGINT) AS age, os, messages_sent, messages_received, users_sent,
-       CAST(CASE WHEN r.user_id IS NOT NULL THEN 1 END AS BIGINT) AS users_received
-FROM sent s LEFT JOIN received r ON s.user_id = r.user_id""",
+    f"WITH {MESSAGE_LITERAL.strip()} SELECT {USER_DAY}, {MESSAGE_COUNTS} FROM message_daily",
 )
 sql(
     "action_comb",
@@ -141,6 +150,7 @@ SLICES = "\nUNION ALL ".join(
 )
 for key in ("daily_slices", "daily_slice_sink"):
     sql(key, BOTH, f"WITH {chain(FEED_DAILY, MESSAGE_DAILY, COMBINED)} {SLICES}")
+sql("daily_slices_literal", BOTH, f"WITH {chain(FEED_DAILY, MESSAGE_LITERAL, COMBINED)} {SLICES}")
 
 sql(
     "daily_summary",
@@ -183,21 +193,24 @@ sql(
 FROM {ACTIVITY} WHERE {WEEK} GROUP BY 1, 2""",
 )
 
-RETENTION = f"""
-active AS (SELECT DISTINCT user_id, CAST(time AS DATE) AS day FROM {ACTIVITY}),
+STARTED = "started_feed started_messages"
+RETENTION = """
+active AS (SELECT DISTINCT user_id, CAST(time AS DATE) AS day
+           FROM (SELECT * FROM started_feed UNION ALL SELECT * FROM started_messages)),
 starts AS (SELECT user_id, min(day) AS start_day FROM active GROUP BY user_id),
 kept AS (
   SELECT start_day, day, count(user_id) AS users FROM starts JOIN active USING (user_id)
   WHERE start_day >= DATE '2024-01-23' GROUP BY start_day, day)"""
 sql(
     "app_retention",
-    BOTH,
+    STARTED,
     f"WITH {RETENTION.strip()} SELECT {day('start_day')}, {day('day')}, users FROM kept",
 )
+SQL["app_retention_90"] = SQL["app_retention"].replace("DATE '2024-01-23'", "DATE '2023-11-01'")
 DAYS = [f"2024-01-{d}" for d in range(23, 31)]
 sql(
     "app_retention_pivot",
-    BOTH,
+    STARTED,
     f"WITH {RETENTION.strip()} SELECT {day('start_day')}, "
     + ", ".join(f"CAST(max(users) FILTER (day = DATE '{d}') AS DOUBLE) AS \"{d}\"" for d in DAYS)
     + " FROM kept GROUP BY start_day",
@@ -294,7 +307,9 @@ sql(
     f"WITH {chain(MESSAGE_BUCKETS, bands(MESSAGE_METRICS, 1), CHECKS)} SELECT * FROM checked",
 )
 ALERT_ROWS = "SELECT * FROM ({}) WHERE is_alert UNION ALL SELECT * FROM ({}) WHERE is_alert"
-SQL["alert_rows"] = ALERT_ROWS.format(SQL["anomaly_latest"], SQL["anomaly_latest_messages"])
+BURST = f"WITH {chain(FEED_BUCKETS, bands(FEED_METRICS, 1), CHECKS)} SELECT * FROM checked"
+BURST = with_views(BURST.replace("feed_actions", "feed_burst"), "feed_burst")
+SQL["alert_rows"] = ALERT_ROWS.format(BURST, SQL["anomaly_latest_messages"])
 
 # streams: the watermark is the newest event, so the buckets that ended by then are closed
 
@@ -571,8 +586,8 @@ def ab(name: str, text: str) -> None:
 
 sql(
     "duplicate_checks",
-    "checks",
-    'SELECT student_id, rev, count(*) AS "count" FROM checks GROUP BY ALL HAVING count(*) > 1',
+    "repeated_checks",
+    'SELECT student_id, rev, count(*) AS "count" FROM repeated_checks GROUP BY ALL HAVING count(*) > 1',
 )
 sql(
     "duplicate_purchases",

@@ -138,6 +138,11 @@ def daily_slices(t: Tables) -> DataFrame:
     return jobs.slices(t.feed_actions, t.message_actions, AS_OF)
 
 
+@query
+def daily_slices_literal(t: Tables) -> DataFrame:
+    return jobs.slices(t.feed_actions, t.message_actions, AS_OF, literal=True)
+
+
 @query
 def daily_summary(t: Tables) -> DataFrame:
     return activity.daily_summary(t.feed_actions, t.message_actions, AS_OF)
@@ -170,7 +175,12 @@ def dau_by_source(t: Tables) -> DataFrame:
 
 @query
 def app_retention(t: Tables) -> DataFrame:
-    return retention.app_retention(t.feed_actions, t.message_actions, AS_OF)
+    return retention.app_retention(t.started_feed, t.started_messages, AS_OF)
+
+
+@query
+def app_retention_90(t: Tables) -> DataFrame:
+    return retention.app_retention(t.started_feed, t.started_messages, AS_OF, days=90)
 
 
 @query
@@ -223,7 +233,7 @@ def anomaly_latest_messages(t: Tables) -> DataFrame:
 
 @query
 def alert_rows(t: Tables) -> DataFrame:
-    return jobs.run_alerts(t.feed_actions, t.message_actions, NOW)
+    return jobs.run_alerts(t.feed_burst, t.message_actions, NOW)
 
 
 # advertising
@@ -379,7 +389,7 @@ def _paying(t: Tables) -> DataFrame:
 
 @query
 def duplicate_checks(t: Tables) -> DataFrame:
-    return distributions.duplicate_rows(t.checks)
+    return distributions.duplicate_rows(t.repeated_checks)
 
 
 @query

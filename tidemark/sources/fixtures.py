@@ -18,9 +18,11 @@ NOW = dt.datetime(2024, 1, 30, 18, 7)
 CUSTOMER = 57  # the customer whose history is shown
 
 _ATTRIBUTES = """user_id % 2 AS gender, 15 + user_id % 40 AS age,
-       CASE WHEN user_id % 11 = 0 THEN NULL WHEN user_id % 3 = 0 THEN 'iOS' ELSE 'Android' END AS os,
+       CASE WHEN user_id % 11 = 0 THEN NULL
+            WHEN (user_id + CASE WHEN user_id % 7 = 0 THEN event_id ELSE 0 END) % 3 = 0 THEN 'iOS'
+            ELSE 'Android' END AS os,
        CASE WHEN user_id % 5 < 2 THEN 'ads' ELSE 'organic' END AS source"""
-# every fourth user starts late in the month, so that some are new in the last week
+# for retention only: every fourth user starts late in the month, so that some are new in the last week
 _STARTED = "extract(DAY FROM ts) > CASE WHEN user_id % 4 = 0 THEN user_id % 30 ELSE 0 END"
 _SUBJECT = """CASE WHEN event_id % 3 = 0 THEN 'Math' WHEN event_id % 3 = 1 THEN 'Physics'
             ELSE 'Chemistry' END AS subject"""
@@ -29,11 +31,14 @@ VIEWS = {
     "feed_actions": f"""
 SELECT user_id, ts AS time, CASE WHEN event_type = 'click' THEN 'like' ELSE 'view' END AS action,
        {_ATTRIBUTES}
-FROM {{events}} WHERE event_type IN ('view', 'click') AND {_STARTED}""",
+FROM {{events}} WHERE event_type IN ('view', 'click')""",
     "message_actions": f"""
 SELECT user_id, (user_id * 7 + event_id) % 150 AS reciever_id, ts AS time,
        {_ATTRIBUTES}
-FROM {{events}} WHERE event_type IN ('signup', 'error', 'purchase') AND {_STARTED}""",
+FROM {{events}} WHERE event_type IN ('signup', 'error', 'purchase')""",
+    "started_feed": f"SELECT user_id, ts AS time FROM {{events}} WHERE event_type IN ('view', 'click') AND {_STARTED}",
+    "started_messages": f"""
+SELECT user_id, ts AS time FROM {{events}} WHERE event_type IN ('signup', 'error', 'purchase') AND {_STARTED}""",
     "peas": f"""
 SELECT user_id AS st_id, ts AS timest, event_id % 4 = 0 AS correct, {_SUBJECT}
 FROM {{events}}""",
@@ -67,6 +72,11 @@ FROM {customer} WHERE c_custkey % 20 = 0""",
     "checks": """
 SELECT c_custkey AS student_id, CAST(190 + (c_custkey % 7) * 100 AS DOUBLE) AS rev
 FROM {customer} WHERE c_custkey % 13 = 0""",
+    "repeated_checks": """
+SELECT c_custkey AS student_id, CAST(190 + (c_custkey % 7) * 100 AS DOUBLE) AS rev
+FROM {customer} WHERE c_custkey % 13 = 0
+UNION ALL SELECT c_custkey, CAST(190 + (c_custkey % 7) * 100 AS DOUBLE)
+FROM {customer} WHERE c_custkey % 39 = 0""",
     "campaigns": """
 SELECT l_suppkey AS campaign_id, r_name AS geo,
        concat('buyer_', CAST(s_suppkey % 5 + 1 AS STRING)) AS buyer,
@@ -78,6 +88,11 @@ FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey
      JOIN {nation} ON s_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
 GROUP BY l_suppkey, r_name, s_suppkey""",
 }
+# the feed with a burst of views in the last closed quarter of an hour
+VIEWS["feed_burst"] = f"""{VIEWS["feed_actions"]}
+UNION ALL SELECT user_id, CAST('2024-01-30 17:50:00' AS TIMESTAMP) AS time, 'view' AS action,
+       {_ATTRIBUTES}
+FROM {{events}} WHERE event_type = 'view' AND user_id % 5 = 0"""
 
 
 def tables_of(view: str) -> list[str]:

@@ -42,21 +42,5 @@ def write_daily_table(df: DataFrame, table: str, day: str = "event_date") -> Non
         spark.conf.set(key, before)
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
-    """A catalog table laid out by ``key``. Tables with the same buckets are joined on it in place.
-
-    Worth it for orders and customers, which cohorts, weekly orders and segments join each time,
-    as long as no key holds a large share of the rows: a bucket is read by one task.
-    """
-    (
-        df.repartition(buckets, F.col(key))
-        .write.mode("overwrite")
-        .bucketBy(buckets, key)
-        .sortBy(key)
-        .format("parquet")
-        .saveAsTable(table)
-    )
-
-
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").csv(path, header=True, sep=sep)
