@@ -6,7 +6,7 @@ shingle set are one class from the start. A bucket's classes are never paired wi
 held against one hub, on full sets. Two classes that are both linked to the hub are connected. If one
 isn't, the two can only be linked if they share a shingle that the hub lacks, or if both lie almost
 wholly in the hub; so new buckets are made of the shingles outside the hub and the size classes
-inside it, where components still differ. These are short; their classes are held against 8, 64, 512 .. hubs a
+inside it, where components still differ. These are short; their classes are held against 8, 512, 32768 .. hubs a
 round until a bucket is connected or done. A large group of near copies costs a star and
 short lists instead of a square, and no link between components is left out.
 """
@@ -322,7 +322,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         done = hub.select("bucket", F.col("hub").alias("node"))
         rest = members.drop("component").join(done, ["bucket", "node"], "left_anti")
         members = stage(_still_open(rest, found), "near-buckets")
-        hubs *= 8
+        hubs *= 64
     label = member.distinct().join(found, "node", "left").groupBy("doc_id")
     label = label.agg(F.min(F.coalesce("component", "node")).alias("component"))
     out = every.select("doc_id", F.col("n").alias("n_shingles")).join(label, "doc_id", "left")
