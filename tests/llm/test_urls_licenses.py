@@ -1,5 +1,8 @@
 """URL filters and licence scans on small tables; the whole tables are compared with their SQL."""
 
+import random
+from collections import Counter
+
 import pytest
 from plain import AWKWARD, SCHEMA, documents
 from pyspark.sql import functions as F
@@ -80,6 +83,53 @@ def test_notices_are_found_in_any_layout(spark):
     assert got[6][0] == "MIT notice" and got[6][1] > 0.8 and got[8] == ("MIT", 1.0, 1)
 
 
+def test_notices_inside_lines_and_paragraphs(spark):
+    mit, filler = "Released under the MIT License.", "words that say nothing about it " * 40
+    gpl = "This work is licensed under the GNU General\nPublic License, version 3."
+    got = scan(
+        spark,
+        [
+            (1, "Copyright 2020 Foo. Released under the MIT License.", "s"),
+            (2, "This project is released under the MIT License.", "s"),
+            (3, "Released under the MIT License. See LICENSE for details.", "s"),
+            (4, filler + mit + " " + filler, "s"),
+            (5, filler + "\n" + filler + gpl + " " + filler, "s"),
+            (6, f"{filler}{mit} {filler} Licensed under CC BY-NC 4.0. {filler}", "s"),
+            (7, filler + licenses.TEMPLATES["Apache-2.0 notice"] + filler, "s"),
+            (8, f"{filler} Released under an MIT-like licence {filler}", "s"),
+            (9, mit + "\n" + filler + mit, "s"),
+            (10, filler + mit + " " + filler + "released under the MIT license " + filler, "s"),
+            (11, "Released under the MIT License, folks.", "s"),
+        ],
+    )
+    assert [got[i] for i in (1, 2, 3, 4, 9, 10, 11)] == [("MIT", 1.0, 1)] * 7
+    assert got[5] == ("GPL-3.0", 1.0, 1) and got[6] == ("CC-BY-NC-4.0", 1.0, 2)
+    assert got[7] == ("Apache-2.0 notice", 1.0, 1) and got[8] == (None, None, 0)
+
+
+def test_best_windows_are_those_of_all_word_ranges():
+    """The best score of a template over all ranges of words, counted one by one."""
+    draw, scanner = random.Random(4), licenses.Scanner(licenses.TEMPLATES, 0.8)
+    short = [n for n in licenses.TEMPLATES if scanner.size[n] < 15]
+    vocabulary = sorted({w for n in short for p in scanner.pairs[n] for w in p})
+    found = 0
+    for _ in range(60):
+        own = licenses.TEMPLATES[draw.choice(short)].encode().lower().translate(licenses._PLAIN).split()
+        own = [draw.choice(vocabulary) if draw.random() < 0.08 else w for w in own]
+        words = draw.choices(vocabulary, k=12) + own + draw.choices(vocabulary, k=12)
+        for name in short:
+            best = 0.0
+            for a in range(len(words)):
+                for b in range(a + 2, len(words) + 1):
+                    pairs = Counter(zip(words[a:b], words[a + 1 : b]))
+                    common = sum((pairs & scanner.pairs[name]).values())
+                    best = max(best, 2 * common / (b - a - 1 + scanner.size[name]))
+            windows = scanner._windows(name, scanner._places(words).get(name, []))
+            assert (windows[0][0] if windows else None) == (best if best >= 0.8 else None)
+            found += best >= 0.8
+    assert found > 20
+
+
 def test_pruning_by_size_and_words_loses_nothing():
     """A passage at the threshold is within the size bounds and holds an anchor."""
     anchors = licenses.anchors(licenses.TEMPLATES, 0.8)

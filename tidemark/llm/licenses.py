@@ -1,21 +1,26 @@
-"""License scans: passages against licence templates by Dice's coefficient over word bigrams.
-
-Passages are the lines, the paragraphs (between empty lines) and the whole of a text. Sizes bound the
-coefficient: with threshold t a template of b bigrams can't match a passage of a bigrams unless
-b * t / (2 - t) <= a <= b * (2 - t) / t, so most passages are dropped by their length before a bigram is made, and
-the rest meets the few templates of a fitting size only.
+"""License scans: stretches of a text against licence templates by Dice's coefficient over word bigrams.
+
+Passages are the lines, the paragraphs (between empty lines) and the whole of a text; windows are all runs of its words,
+wherever they begin or end. In normal form every one of them is a range of the text's words. Sizes bound the
+coefficient: with threshold t a template of b bigrams can't match a range of a bigrams unless
+b * t / (2 - t) <= a <= b * (2 - t) / t, and a range scores higher without bigrams at its ends that the template lacks. So
+the best windows begin and end with bigrams of the template, and a text with too few of them in any admissible size
+is left after one pass over its words.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
-from functools import reduce
+from bisect import bisect_left
+from collections import Counter, defaultdict
+from collections.abc import Iterator
 from math import ceil, floor
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from tidemark.llm.common import lower_ascii
+from pyspark.sql import types as T
 
 THRESHOLD = 0.8
 
@@ -69,11 +74,6 @@ def size_bounds(n: int, threshold: float) -> tuple[int, int]:
     return ceil(n * threshold / (2 - threshold) - 1e-9), floor(n * (2 - threshold) / threshold + 1e-9)
 
 
-def normal(text: Column) -> Column:
-    """Small ASCII letters and digits of a lower-cased text, single spaces between."""
-    return F.trim(F.regexp_replace(text, "[^a-z0-9]++", " "))
-
-
 def anchors(templates: dict[str, str], threshold: float) -> list[str]:
     """Words of which a passage has one at least if it reaches the threshold with some template.
 
@@ -92,51 +92,158 @@ def anchors(templates: dict[str, str], threshold: float) -> list[str]:
     return sorted(chosen)
 
 
+#: ASCII letters in small, digits and line feeds stay; all other bytes, those of other letters too, become spaces.
+_PLAIN = bytes(c if chr(c) in "abcdefghijklmnopqrstuvwxyz0123456789\n" else 32 for c in bytes(range(256)).lower())
+
+
+class Scanner:
+    """Finds templates in one text at a time."""
+
+    def __init__(self, templates: dict[str, str], threshold: float):
+        self.threshold = threshold
+        self.anchors = {w.encode() for w in anchors(templates, threshold)}
+        words = {name: text.encode().translate(_PLAIN).split() for name, text in templates.items()}
+        #: how often each template holds each bigram
+        self.pairs = {name: Counter(zip(w, w[1:])) for name, w in words.items() if len(w) > 1}
+        self.holders: dict[tuple[bytes, bytes], list[str]] = defaultdict(list)
+        for name, pairs in self.pairs.items():
+            for pair in pairs:
+                self.holders[pair].append(name)
+        self.size = {name: sum(pairs.values()) for name, pairs in self.pairs.items()}
+        self.bounds = {name: size_bounds(n, threshold) for name, n in self.size.items()}
+        #: templates by those that occur in their wording
+        self.within = {
+            name: {x for x in words if self.size.get(x, 0) > n and self._windows(name, self._places(words[x]).get(name, []))}
+            for name, n in self.size.items()
+        }
+
+    def _places(self, words: list[bytes]) -> dict[str, list[tuple[int, tuple[bytes, bytes]]]]:
+        """For each template its bigrams in the text, with their positions."""
+        found, holders = defaultdict(list), self.holders
+        for at, pair in enumerate(zip(words, words[1:])):
+            if pair in holders:
+                for name in holders[pair]:
+                    found[name].append((at, pair))
+        return found
+
+    def _windows(self, name: str, places: list[tuple[int, tuple[bytes, bytes]]]) -> list[tuple[float, int, int]]:
+        """(score, begin, end) of the best windows in words, highest first, that share no word."""
+        least, most = max(1, self.bounds[name][0]), self.bounds[name][1]
+        pairs, size = self.pairs[name], self.size[name]
+        at = [i for i, _ in places]
+
+        def best_from(first: int, limit: int) -> tuple[float, int, int, int] | None:
+            left, common, best = dict(pairs), 0, (0.0, 0)
+            for k in range(first, len(places)):
+                i, pair = places[k]
+                if i - at[first] >= most or i + 2 > limit:
+                    break
+                if left[pair]:
+                    left[pair] -= 1
+                    common += 1
+                    best = max(best, (2 * common / (i - at[first] + 1 + size), -i))
+            return (-best[0], at[first], 2 - best[1], first) if best[0] >= self.threshold else None
+
+        open_ = []
+        for first in range(len(at) - least + 1):
+            if at[first + least - 1] - at[first] < most:
+                open_.append(best_from(first, at[-1] + 2))
+        open_ = [x for x in open_ if x]
+        heapq.heapify(open_)
+        taken, out = bytearray(at[-1] + 2 if open_ else 0), []
+        while open_:
+            score, begin, end, first = heapq.heappop(open_)
+            other = taken.find(1, begin, end)
+            if other < 0:
+                taken[begin:end] = b"\1" * (end - begin)
+                out.append((-score, begin, end))
+            elif other > begin and (again := best_from(first, other)):
+                heapq.heappush(open_, again)
+        return out
+
+    def hits(self, text: bytes) -> list[tuple[str, float, bool, bytes]]:
+        """(template, score, whether it counts, words) of passages and windows that reach the threshold.
+
+        A window counts unless a passage that shares words with it is a hit of the same template, whose place
+        it only tells more exactly, or it is the part of a longer template's window that has its wording.
+        """
+        plain = text.translate(_PLAIN)
+        words = plain.split()
+        if self.anchors.isdisjoint(words):
+            return []
+        places = self._places(words)
+        windows = {name: found for name, p in places.items() if (found := self._windows(name, p))}
+        if not windows:
+            return []
+        ranges, out = self._passages(text, len(words)), []
+        for name, found in windows.items():
+            at, taken = [i for i, _ in places[name]], bytearray(len(words))
+            for begin, end in ranges:
+                inside = places[name][bisect_left(at, begin) : bisect_left(at, end - 1)]
+                common = sum((Counter(p for _, p in inside) & self.pairs[name]).values())
+                score = 2 * common / (end - begin - 1 + self.size[name])
+                if score >= self.threshold:
+                    taken[begin:end] = b"\1" * (end - begin)
+                    out.append((name, score, True, b" ".join(words[begin:end])))
+            longer = [w for x in self.within[name] for w in windows.get(x, [])]
+            for score, begin, end in found:
+                if not any(b <= begin and end <= e for _, b, e in longer):
+                    out.append((name, score, taken.find(1, begin, end) < 0, b" ".join(words[begin:end])))
+        return out
+
+    def _passages(self, text: bytes, n: int) -> list[tuple[int, int]]:
+        """The lines, paragraphs and the whole text as ranges of its words, of admissible sizes."""
+        least = max(1, min(a for a, _ in self.bounds.values()))
+        most = max(b for _, b in self.bounds.values())
+        out = {(0, n)}
+        for parts in (text.split(b"\n"), re.split(rb"\n[ \t\r]*\n", text)):
+            begin = 0
+            for part in parts:
+                end = begin + len(part.translate(_PLAIN).split())
+                out.add((begin, end))
+                begin = end
+        return sorted((b, e) for b, e in out if least <= e - b - 1 <= most)
+
+
 def passages(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, template, score of every passage that reaches the threshold with a template."""
-    known = template_bigrams(templates)
-    bounds = {name: size_bounds(len(b), threshold) for name, b in known.items()}
-    least, most = min(a for a, _ in bounds.values()), max(b for _, b in bounds.values())
-    words = anchors(templates, threshold)
-
-    def promising(text: Column) -> Column:
-        return reduce(lambda a, b: a | b, [text.contains(w) for w in words])
-
-    lower = docs.select("doc_id", lower_ascii(F.col("text")).alias("text")).where(promising(F.col("text")))
-    text = F.col("text")
-    whole = F.concat(F.split(text, "\n", -1), F.split(text, r"\n[ \t\r]*\n", -1), F.array(text))
-    found = lower.select("doc_id", F.explode(F.array_distinct(whole)).alias("passage"))
-    found = found.where(promising(F.col("passage")))
-    found = found.select("doc_id", normal(F.col("passage")).alias("plain"))
-    spaces = F.length("plain") - F.length(F.replace(F.col("plain"), F.lit(" "), F.lit("")))
-    found = found.where(spaces.between(least, most)).distinct().withColumn("n", spaces)
-    word = F.split("plain", " ", -1)
-    pair = F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.concat_ws(" ", F.get("w", i - 1), F.get("w", i)))
-    # steps of their own: an expression inside a lambda is evaluated for every element
-    found = found.withColumn("w", word).withColumn("pairs", pair)
-    before = lambda p, i: F.size(F.filter(F.slice("pairs", 1, i), lambda q: q == p))
-    found = found.withColumn("has", F.transform("pairs", lambda p, i: F.concat_ws(" ", p, before(p, i))))
-    scores = []
-    for name, pairs in known.items():
-        common = F.size(F.array_intersect("has", F.array(*[F.lit(x) for x in pairs])))
-        score = 2 * common / (F.col("n") + len(pairs))
-        fits = F.col("n").between(*bounds[name])
-        scores.append(F.struct(F.lit(name).alias("template"), F.when(fits, score).alias("score")))
-    hits = found.select("doc_id", F.explode(F.array(*scores)).alias("hit"))
-    return hits.select("doc_id", "hit.template", "hit.score").where(F.col("score") >= threshold)
+    """doc_id, template, score, counts, plain of the passages and windows that reach the threshold with a template."""
+    id_ = docs.select("doc_id").schema.fields[0]
+    added = T.StructType.fromDDL("template string, score double, counts boolean, plain string")
+    schema = T.StructType([id_, *added.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = Scanner(templates, threshold)
+        for batch in batches:
+            texts, rows, found = batch.column("text").cast(pa.large_binary()), [], []
+            for i, text in enumerate(texts):
+                hits = scanner.hits(text.as_py()) if text.is_valid else []
+                rows += [i] * len(hits)
+                found += hits
+            names, scores, counts, plain = zip(*found) if found else ([], [], [], [])
+            columns = [
+                batch.column("doc_id").take(pa.array(rows, pa.int64())),
+                pa.array(names, pa.string()),
+                pa.array(scores, pa.float64()),
+                pa.array(counts, pa.bool_()),
+                pa.array([p.decode() for p in plain], pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document id: doc_id, license, score, n_hits.
 
     ``license`` is the template with the highest score in the document, ties to the first by name, null if
-    no passage reaches the threshold; ``n_hits`` counts pairs of passage and template that do. Passages
-    of a document that are alike in normal form count once. Null, empty and very short texts have none.
-    Rows that repeat an id are counted together, those without an id as one.
+    neither a passage nor a window reaches the threshold; ``n_hits`` counts pairs of passage and template that do, and
+    windows at places where no passage does. Those of a document that are alike in normal form count once. Null, empty
+    and very short texts have none. Rows that repeat an id are counted together, those without an id as one.
     """
     hits = passages(docs, templates, threshold)
+    hits = hits.groupBy("doc_id", "template", "plain").agg(F.max("score").alias("score"), F.max("counts").alias("counts"))
     best = hits.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.count(F.lit(1)).alias("n_hits"),
+        F.count_if("counts").alias("n_hits"),
         F.max("score").alias("score"),
         F.min_by("template", F.struct(-F.col("score"), F.col("template"))).alias("license"),
     )
