@@ -107,6 +107,19 @@ def test_notices_inside_lines_and_paragraphs(spark):
     assert got[7] == ("Apache-2.0 notice", 1.0, 1) and got[8] == (None, None, 0)
 
 
+def test_common_licences_have_templates(spark):
+    texts = {n: t for n, t in licenses.published().items() if n not in licenses.TEMPLATES}
+    filler = "words that say nothing about it " * 20
+    got = scan(spark, [(i, filler + t + " " + filler, "s") for i, t in enumerate(texts.values())])
+    # a full text may hold the notice of the same licence
+    assert [(got[i][0].split()[0], got[i][1]) for i in range(len(texts))] == [(n.split()[0], 1.0) for n in texts]
+    for name in ("AGPL-3.0", "BSD-2", "BSD-3", "CC-BY-SA", "CC0", "GPL-2.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "Unlicense"):
+        assert any(n.startswith(name) for n in texts), name
+    worn = {n: " ".join(w for i, w in enumerate(texts[n].split()) if i % 30) for n in ("GPL-3.0 text", "Apache-2.0 text")}
+    got = scan(spark, [(i, filler + t + " " + filler, "s") for i, t in enumerate(worn.values())])
+    assert [got[i][0] for i in range(2)] == list(worn)
+
+
 def test_best_windows_are_those_of_all_word_ranges():
     """The best score of a template over all ranges of words, counted one by one."""
     draw, scanner = random.Random(4), licenses.Scanner(licenses.TEMPLATES, 0.8)

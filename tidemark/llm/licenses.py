@@ -10,21 +10,27 @@ is left after one pass over its words.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from importlib import resources
 from math import ceil, floor
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 THRESHOLD = 0.8
+#: ASCII letters in small, digits and line feeds stay; all other bytes, those of other letters too, become spaces.
+_PLAIN = bytes(c if chr(c) in "abcdefghijklmnopqrstuvwxyz0123456789\n" else 32 for c in bytes(range(256)).lower())
 
-# Notices as their publishers word them.
+# The templates of the query's SQL. The short forms of Apache-2.0, CC-BY-NC-4.0, GPL-3.0 and MIT are the wordings
+# of the test tables, the others their publishers'.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0 notice": (
@@ -59,6 +65,82 @@ TEMPLATES = {
 }
 
 
+_CONDITIONS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+    "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+    "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+    "with the distribution. "
+)
+_DISCLAIMER = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
+
+def _gnu(kind: str, version: str) -> str:
+    what = "library" if kind == "Lesser " and version.startswith("2") else "program"
+    return (
+        f"This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind}General "
+        f"Public License as published by the Free Software Foundation, either version {version} of the License, or (at your "
+        "option) any later version."
+    )
+
+
+#: Those of the SQL, further notices and the full texts of short licences.
+NOTICES = TEMPLATES | {
+    "AGPL-3.0 notice": _gnu("Affero ", "3"),
+    "BSD-2-Clause": _CONDITIONS + _DISCLAIMER,
+    "BSD-3-Clause": (
+        _CONDITIONS + "3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written permission. " + _DISCLAIMER
+    ),
+    "CC-BY-NC-4.0 notice": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."
+    ),
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC0-1.0": "has waived all copyright and related or neighboring rights to this work",
+    "GPL-2.0 notice": _gnu("", "2"),
+    "ISC text": (
+        TEMPLATES["ISC"] + ' THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS '
+        "SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE "
+        "FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, "
+        "DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+        "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "LGPL-2.1 notice": _gnu("Lesser ", "2.1"),
+    "LGPL-3.0 notice": _gnu("Lesser ", "3"),
+    "MIT text": (
+        TEMPLATES["MIT notice"] + ' THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, '
+        "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+        "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+        "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "MPL-2.0 notice": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+        "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means."
+    ),
+}
+
+
+@functools.cache
+def published() -> dict[str, str]:
+    """The templates of a scan: ``NOTICES`` and the full texts in the folder ``texts``, read on the driver."""
+    files = sorted((resources.files("tidemark.llm") / "texts").iterdir(), key=lambda f: f.name)
+    return NOTICES | {f.name.removesuffix(".txt") + " text": f.read_text("utf-8") for f in files if f.name.endswith(".txt")}
+
+
 def template_bigrams(templates: dict[str, str] = TEMPLATES) -> dict[str, list[str]]:
     """The bigrams of each template, by the same normal form and numbering as those of passages."""
     out = {}
@@ -81,21 +163,23 @@ def anchors(templates: dict[str, str], threshold: float) -> list[str]:
     more bigrams than may be missing, one of them is in the passage. The longest words come first.
     """
     chosen: set[str] = set()
-    for pairs in template_bigrams(templates).values():
+    for text in templates.values():
+        words = text.encode().translate(_PLAIN).decode().split()
+        pairs = list(zip(words, words[1:]))
         may_miss = len(pairs) - size_bounds(len(pairs), threshold)[0]
-        words = {w for p in pairs for w in p.split()[:2]}
-        covered = lambda: sum(bool(chosen & set(p.split()[:2])) for p in pairs)
-        for word in sorted(words, key=lambda w: (-len(w), w)):
-            if covered() > may_miss:
+        holders = defaultdict(set)
+        for i, pair in enumerate(pairs):
+            for word in pair:
+                holders[word].add(i)
+        covered = set().union(*[holders[w] for w in chosen if w in holders])
+        for word in sorted(holders, key=lambda w: (-len(w), w)):
+            if len(covered) > may_miss:
                 break
             chosen.add(word)
+            covered |= holders[word]
     return sorted(chosen)
 
 
-#: ASCII letters in small, digits and line feeds stay; all other bytes, those of other letters too, become spaces.
-_PLAIN = bytes(c if chr(c) in "abcdefghijklmnopqrstuvwxyz0123456789\n" else 32 for c in bytes(range(256)).lower())
-
-
 class Scanner:
     """Finds templates in one text at a time."""
 
@@ -112,10 +196,11 @@ class Scanner:
         self.size = {name: sum(pairs.values()) for name, pairs in self.pairs.items()}
         self.bounds = {name: size_bounds(n, threshold) for name, n in self.size.items()}
         #: templates by those that occur in their wording
-        self.within = {
-            name: {x for x in words if self.size.get(x, 0) > n and self._windows(name, self._places(words[x]).get(name, []))}
-            for name, n in self.size.items()
-        }
+        self.within: dict[str, set[str]] = defaultdict(set)
+        for longer, n in self.size.items():
+            for name, places in self._places(words[longer]).items():
+                if self.size[name] < n and self._windows(name, places):
+                    self.within[name].add(longer)
 
     def _places(self, words: list[bytes]) -> dict[str, list[tuple[int, tuple[bytes, bytes]]]]:
         """For each template its bigrams in the text, with their positions."""
@@ -130,42 +215,50 @@ class Scanner:
         """(score, begin, end) of the best windows in words, highest first, that share no word."""
         least, most = max(1, self.bounds[name][0]), self.bounds[name][1]
         pairs, size = self.pairs[name], self.size[name]
-        at = [i for i, _ in places]
+        if len(places) < least:
+            return []
+        at = np.array([i for i, _ in places])
+        starts = np.flatnonzero(at[least - 1 :] - at[: len(at) - least + 1] < most).tolist()
+        if not starts:
+            return []
+        # a place counts from starts behind the last one of its bigram that the template has no more of
+        spent, seen = np.full(len(at), -1), defaultdict(list)
+        for k, (_, pair) in enumerate(places):
+            if len(seen[pair]) >= pairs[pair]:
+                spent[k] = seen[pair][-pairs[pair]]
+            seen[pair].append(k)
 
         def best_from(first: int, limit: int) -> tuple[float, int, int, int] | None:
-            left, common, best = dict(pairs), 0, (0.0, 0)
-            for k in range(first, len(places)):
-                i, pair = places[k]
-                if i - at[first] >= most or i + 2 > limit:
-                    break
-                if left[pair]:
-                    left[pair] -= 1
-                    common += 1
-                    best = max(best, (2 * common / (i - at[first] + 1 + size), -i))
-            return (-best[0], at[first], 2 - best[1], first) if best[0] >= self.threshold else None
-
-        open_ = []
-        for first in range(len(at) - least + 1):
-            if at[first + least - 1] - at[first] < most:
-                open_.append(best_from(first, at[-1] + 2))
-        open_ = [x for x in open_ if x]
+            stop = np.searchsorted(at, min(at[first] + most, limit - 1))
+            sizes = at[first:stop] - at[first] + 1
+            if not len(sizes):
+                return None
+            scores = 2 * np.cumsum(spent[first:stop] < first) / (sizes + size)
+            k = int(scores.argmax())
+            best, begin = float(scores[k]), int(at[first])
+            return (-best, begin, begin + int(sizes[k]) + 1, first) if best >= self.threshold else None
+
+        # at first what a start could reach at most, with an end of 0; counted when it is the highest
+        common = np.minimum(size, np.searchsorted(at, at[starts] + most) - starts)
+        open_ = list(zip((-2 * common / (common + size)).tolist(), at[starts].tolist(), [0] * len(starts), starts))
         heapq.heapify(open_)
-        taken, out = bytearray(at[-1] + 2 if open_ else 0), []
+        taken, out = bytearray(int(at[-1]) + 2), []
         while open_:
             score, begin, end, first = heapq.heappop(open_)
-            other = taken.find(1, begin, end)
-            if other < 0:
+            other = taken.find(1, begin, end or len(taken))
+            if end and other < 0:
                 taken[begin:end] = b"\1" * (end - begin)
                 out.append((-score, begin, end))
-            elif other > begin and (again := best_from(first, other)):
-                heapq.heappush(open_, again)
+            elif other != begin and (best := best_from(first, other if other > 0 else len(taken))):
+                heapq.heappush(open_, best)
         return out
 
     def hits(self, text: bytes) -> list[tuple[str, float, bool, bytes]]:
         """(template, score, whether it counts, words) of passages and windows that reach the threshold.
 
         A window counts unless a passage that shares words with it is a hit of the same template, whose place
-        it only tells more exactly, or it is the part of a longer template's window that has its wording.
+        it only tells more exactly, or it is the part of a longer template's window that has its wording. Where the
+        longer one is of a size that could be the shorter one's text, the higher score decides.
         """
         plain = text.translate(_PLAIN)
         words = plain.split()
@@ -185,9 +278,10 @@ class Scanner:
                 if score >= self.threshold:
                     taken[begin:end] = b"\1" * (end - begin)
                     out.append((name, score, True, b" ".join(words[begin:end])))
-            longer = [w for x in self.within[name] for w in windows.get(x, [])]
+            most = self.bounds[name][1]
+            longer = [(s, self.size[x] > most, b, e) for x in self.within[name] for s, b, e in windows.get(x, [])]
             for score, begin, end in found:
-                if not any(b <= begin and end <= e for _, b, e in longer):
+                if not any((much or s >= score) and b <= begin and end <= e for s, much, b, e in longer):
                     out.append((name, score, taken.find(1, begin, end) < 0, b" ".join(words[begin:end])))
         return out
 
@@ -205,14 +299,14 @@ class Scanner:
         return sorted((b, e) for b, e in out if least <= e - b - 1 <= most)
 
 
-def passages(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def passages(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, template, score, counts, plain of the passages and windows that reach the threshold with a template."""
+    scanner = Scanner(templates or published(), threshold)
     id_ = docs.select("doc_id").schema.fields[0]
     added = T.StructType.fromDDL("template string, score double, counts boolean, plain string")
     schema = T.StructType([id_, *added.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates, threshold)
         for batch in batches:
             texts, rows, found = batch.column("text").cast(pa.large_binary()), [], []
             for i, text in enumerate(texts):
@@ -232,7 +326,7 @@ def passages(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document id: doc_id, license, score, n_hits.
 
     ``license`` is the template with the highest score in the document, ties to the first by name, null if
