@@ -41,6 +41,17 @@ def test_templates_learn_from_labels(spark):
     assert {(r["page_id"] < 40, r["verdict"]) for r in got} == {(True, "block"), (False, "allow")}
 
 
+def test_deep_paths_are_judged_by_all_their_segments(spark):
+    start = "http://h.com/a/b/c/d"
+    rows = [f"{start}/{s}/x{i}/e/f/g/{s}/y{i}" for s in ("good", "bad") for i in range(30)]
+    rows += [f"{start}/few/1/2/3/four/5/six", "http://h.com/" + "q/" * 300 + "9"]
+    labels = spark.createDataFrame([(i, i >= 30) for i in range(0, 60, 2)], "page_id long, bad boolean")
+    got = {r["page_id"]: (r["template"], r["verdict"]) for r in urls.filter_urls(pages(spark, rows), labels).collect()}
+    assert {got[i] for i in range(30)} == {("/a/b/c/d/good/*/e/f/g/good/*", "allow")}
+    assert {got[i] for i in range(30, 60)} == {("/a/b/c/d/bad/*/e/f/g/bad/*", "block")}
+    assert got[60][0] == "/a/b/c/d/few/*/*/*/four/*/six" and got[61][0] == "/q" * 300 + "/*"
+
+
 def test_alike_siblings_merge(spark):
     rows = [f"http://h.com/{s}/{i}" for s in ("aa", "bb", "cc") for i in range(30)]
     labels = spark.createDataFrame([(i, i >= 60) for i in range(90)], "page_id long, bad boolean")

@@ -8,6 +8,7 @@ labelled ones is high. Labels are the verdicts of the rules, or a table of (page
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ RULES = (
     ("org", "/fr/", "allow"),
 )
 
-#: Levels of the tree; what lies deeper is one open tail.
+#: Levels of the tree that are built before it is staged; those of the SQL, which knows no deeper ones.
 LEVELS = 4
 #: A segment varies if it is a number (with an ending), or if its place holds at least so many pages
 #: and so large a share of different segments.
@@ -60,10 +61,54 @@ def rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] = RUL
     return found, verdict
 
 
-def _segments() -> Column:
+def _next_level(tree: DataFrame, level: int) -> DataFrame:
+    """``tree`` with the segment of one more level, or a wildcard, at the end of its templates."""
+    tree = tree.withColumn("segment", F.get("segments", F.lit(level)))
+    children = tree.where(F.col("segment").isNotNull()).groupBy("host", "template", "segment")
+    children = children.agg(F.sum("pages").alias("pages"))
+    places = children.groupBy("host", "template").agg(
+        F.sum("pages").alias("all_pages"), F.count(F.lit(1)).alias("different")
+    )
+    varied = places.where(
+        (F.col("all_pages") >= LEAST_PAGES) & (F.col("different") >= LEAST_SHARE * F.col("all_pages"))
+    ).select("host", "template", F.lit(True).alias("varied"))
+    joined = tree.join(varied, ["host", "template"], "left")
+    wild = F.coalesce("varied", F.lit(False)) | F.col("segment").rlike(NUMBER)
+    name = F.when(wild, F.lit("*")).otherwise(F.col("segment"))
+    longer = F.when(F.col("segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), name))
+    return joined.select("host", "path", "pages", "known", "bad", "segments", longer.alias("template"))
+
+
+def _tree(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with the template of each path, level by level until no place can vary any more.
+
+    A place with fewer than ``LEAST_PAGES`` pages can't, nor can any below it, so what is left of such paths
+    follows at once and the number of levels isn't that of the deepest path, but of the deepest place with so many pages.
+    """
     parts = F.filter(F.split("path", "/", -1), lambda s: s != "")
-    head = F.slice(parts, 1, LEVELS)
-    return F.when(F.size(parts) > LEVELS, F.concat(head, F.array(F.lit("**")))).otherwise(head)
+    tree = nodes.withColumns({"segments": parts, "template": F.lit("")})
+    done, level = [], 0
+    while True:
+        for _ in range(LEVELS):
+            tree = _next_level(tree, level)
+            level += 1
+        tree = stage(tree, "url-templates")
+        deeper = F.size("segments") > level
+        places = tree.where(deeper).groupBy("host", "template").agg(F.sum("pages").alias("all_pages"))
+        places = places.where(F.col("all_pages") >= LEAST_PAGES).select("host", "template", F.lit(True).alias("large"))
+        rest = F.transform(
+            F.slice("segments", level + 1, F.greatest(F.size("segments"), F.lit(0))),
+            lambda s: F.concat(F.lit("/"), F.when(s.rlike(NUMBER), F.lit("*")).otherwise(s)),
+        )
+        whole = F.concat("template", F.array_join(rest, ""))
+        columns = ["host", "path", "pages", "known", "bad", whole.alias("template")]
+        if places.isEmpty():
+            done.append(tree.select(*columns))
+            return reduce(DataFrame.unionByName, done)
+        marked = stage(tree.join(places, ["host", "template"], "left"), "url-places")
+        open_ = deeper & F.coalesce("large", F.lit(False))
+        done.append(marked.where(~open_).select(*columns))
+        tree = marked.where(open_).drop("large")
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -77,27 +122,7 @@ def templates(pages: DataFrame) -> DataFrame:
         F.count("bad").alias("known"),
         F.sum(F.coalesce(F.col("bad").cast("long"), F.lit(0))).alias("bad"),
     )
-    tree = nodes.withColumns({"segments": _segments(), "template": F.lit("")})
-    for level in range(LEVELS):
-        segment = F.get("segments", F.lit(level))
-        tree = tree.withColumn("segment", segment)
-        children = tree.where(F.col("segment").isNotNull()).groupBy("host", "template", "segment")
-        children = children.agg(F.sum("pages").alias("pages"))
-        places = children.groupBy("host", "template").agg(
-            F.sum("pages").alias("all_pages"), F.count(F.lit(1)).alias("different")
-        )
-        varied = places.where(
-            (F.col("all_pages") >= LEAST_PAGES) & (F.col("different") >= LEAST_SHARE * F.col("all_pages"))
-        ).select("host", "template", F.lit(True).alias("varied"))
-        joined = tree.join(varied, ["host", "template"], "left")
-        wild = F.coalesce("varied", F.lit(False)) | F.col("segment").rlike(NUMBER)
-        name = F.when(wild, F.lit("*")).otherwise(F.col("segment"))
-        longer = F.when(F.col("segment").isNull(), F.col("template")).otherwise(
-            F.concat("template", F.lit("/"), name)
-        )
-        tree = joined.select("host", "path", "pages", "known", "bad", "segments", longer.alias("template"))
-    tail = F.when(F.size("segments") > LEVELS, F.lit("/**")).otherwise("")
-    tree = stage(tree.withColumn("template", F.concat("template", tail)).drop("segments"), "url-templates")
+    tree = _tree(nodes)
     # siblings differ in their last literal segment only; {} stands for it
     sibling = F.regexp_replace("template", r"[^/*{}]+((/[*]+)*)$", r"{}$1")
     branches = tree.groupBy("host", "template").agg(
