@@ -79,3 +79,18 @@ def test_empty_table_and_texts_without_words(spark):
     assert mixing.mix(empty).collect() == [] and mixing.mixed_texts(empty).collect() == []
     got = mixing.mix(documents(spark, [(1, None, "a"), (2, " ", "b")])).collect()
     assert [(r["taken"], r["target"]) for r in got] == [(0, 0.0)] * 2
+
+
+@pytest.mark.parametrize("carry", [False, True])
+def test_rows_without_words_meet_in_no_window(spark, carry):
+    rows = [(i, None if i % 2 else " \n", "a") for i in range(400)] + [(i, "some words here", "b") for i in range(400, 500)]
+    docs = documents(spark, rows)
+    mixed = mixing.mix(docs, carry=carry)
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    below = plan[next(i for i, line in enumerate(plan) if "- Window [" in line) :]
+    filters = [line for line in below if "Filter" in line]
+    assert filters and "NOT" not in filters[0] and ("> 0" in filters[0] or "RLIKE" in filters[0])
+    got = {r["doc_id"]: r for r in mixed.collect()}
+    assert set(got) == set(range(500))
+    assert all((got[i]["size"], got[i]["taken"], got[i]["passes"], got[i]["ranges"]) == (0, 0, 0, []) for i in range(400))
+    assert all(got[i]["source_size"] == (300 if i >= 400 else 0) for i in range(500))

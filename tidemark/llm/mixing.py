@@ -192,7 +192,13 @@ def mix(docs: DataFrame, seed: int = SEED, carry: bool = True) -> DataFrame:
     quotas = quotas.withColumns(
         {"_stride": stride.cast("long") % F.col("_blocks"), "_offset": F.pmod(F.xxhash64(draw), F.col("_blocks"))}
     )
-    own = without(docs, ADDED).withColumn("size", word_count(F.col("text"))) if carry else light
+    # rows without words take no part in any order: however many, none of them meets another
+    if carry:
+        worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+        own = without(docs, ADDED).where(worded).withColumn("size", word_count(F.col("text")))
+        empty = without(docs, ADDED).where(~worded)
+    else:
+        own, empty = light.where("size > 0"), light.where("size = 0").drop("size")
     tie = [F.xxhash64("text")] if carry else []
     order = Window.partitionBy("_part").orderBy("_turn", "doc_id", "size", *tie)
     before = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -203,7 +209,16 @@ def mix(docs: DataFrame, seed: int = SEED, carry: bool = True) -> DataFrame:
     extra = F.aggregate("ranges", F.lit(0).cast("long"), lambda a, r: a + r["to"] - r["at"])
     taken = (F.col("passes") * F.col("size") + extra).cast("long")
     kept = [quoted(c) for c in (without(docs, ADDED).columns if carry else ["doc_id", "source"])]
-    return ranged.select(*kept, "size", "source_size", "target", taken.alias("taken"), "passes", "ranges")
+    empty = empty.join(of, F.col("source").eqNullSafe(F.col("_source"))).withColumns(
+        {
+            "size": F.lit(0).cast("long"),
+            "taken": F.lit(0).cast("long"),
+            "passes": F.lit(0).cast("int"),
+            "ranges": F.array().cast("array<struct<at:bigint,to:bigint>>"),
+        }
+    )
+    ranged = ranged.withColumn("taken", taken)
+    return ranged.select(*kept, *ADDED).union(empty.select(*kept, *ADDED))
 
 
 def mixed_texts(docs: DataFrame, seed: int = SEED) -> DataFrame:
