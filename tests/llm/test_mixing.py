@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from plain import AWKWARD, SCHEMA, documents, words
 
@@ -94,3 +95,31 @@ def test_rows_without_words_meet_in_no_window(spark, carry):
     assert set(got) == set(range(500))
     assert all((got[i]["size"], got[i]["taken"], got[i]["passes"], got[i]["ranges"]) == (0, 0, 0, []) for i in range(400))
     assert all(got[i]["source_size"] == (300 if i >= 400 else 0) for i in range(500))
+
+
+@pytest.mark.parametrize("sizes", [(300, 60, 700), (60, 500, 20), (5, 1, 2), (1000, 3000, 129)])
+def test_small_sources_meet_their_targets(spark, sizes):
+    rows, left = [], dict(zip("abc", sizes))
+    for source, n in left.items():
+        while n:
+            own = min(n, 37)
+            rows.append((len(rows), "word " * own, source))
+            n -= own
+    docs = documents(spark, rows)
+    got = mixing.mix(docs).toPandas()
+    each = got.groupby("source").agg(target=("target", "max"), taken=("taken", "sum"))
+    assert ((each["taken"] - each["target"]).abs() <= 1).all(), each
+    assert (got["taken"] <= 3 * got["size"]).all()
+    assert sum(len(words(r["text"])) for r in mixing.mixed_texts(docs).collect()) == got["taken"].sum()
+
+
+def test_plans_of_many_shards_meet_their_targets():
+    draw = np.random.default_rng(3)
+    for _ in range(50):
+        words_ = draw.integers(0, draw.choice([50, 400, 100_000]), draw.integers(1, 40))
+        goal = float(draw.uniform(0, 3) * words_.sum())
+        plan = mixing.plan_shards({0: goal}, pd.DataFrame({"_n": 0, "_part": range(len(words_)), "words": words_}))
+        taken = (plan["quota"] * plan["words"] / plan["blocks"])[words_ > 0].sum() + plan["rest"].sum()
+        assert abs(taken - goal) <= 1, (words_, goal, taken)
+        full = (plan["quota"] == 3 * plan["blocks"]) & (plan["rest"] > 0)
+        assert (plan["quota"] <= 3 * plan["blocks"]).all() and not full.any()

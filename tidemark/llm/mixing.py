@@ -1,9 +1,10 @@
-"""Mixing sources to target weights with Sainte-Laguë quotas of equal-token blocks.
+"""Mixing sources to target weights with blocks of equal tokens, dealt to shards by Sainte-Laguë quotas.
 
 Every source's words are dealt into shards of about the same size, each a sequence of its documents in
-a seeded order, cut into blocks of equal length. Highest quotients give each source a whole number of blocks,
-then each of its shards. A shard with quota q and n blocks takes all blocks q // n times and
-q % n of them once more, chosen by a seeded stride that is coprime to n. Only sums per source
+a seeded order, cut into blocks of equal length. A source takes the whole blocks of its target, which highest
+quotients deal to its shards, and what is left of the target as the first words of further blocks. A shard with
+quota q and n blocks takes all blocks q // n times and q % n of them once more, chosen by a seeded stride that is
+coprime to n; the block next in turn is the one taken in part. Only sums per source
 and per shard reach the driver; there are at most ``MAX_SHARDS`` shards beyond one per source.
 """
 
@@ -12,6 +13,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -102,34 +104,57 @@ def _order(source: tuple[str | None, int]) -> tuple[bool, str]:
 
 
 def plan_shards(target: dict[int, float], shards: pd.DataFrame, block: int = BLOCK_WORDS) -> pd.DataFrame:
-    """``shards`` (_n: number of the source, _part, words) with blocks, their number, and quota."""
+    """``shards`` (_n: number of the source, _part, words) with blocks, their number, quota and rest.
+
+    ``rest`` is the number of words that are taken of one block beyond the quota, less than that block
+    has or all of it.
+    """
     shards = shards.sort_values(["_n", "_part"]).reset_index(drop=True)
     shards["words"] = np.maximum(shards["words"].astype(np.int64), 0)
     shards["blocks"] = np.maximum(1, np.round(shards["words"] / block)).astype(np.int64)
-    shards["quota"] = np.int64(0)
-    of = {n: rows.index.to_numpy() for n, rows in shards.groupby("_n")}
-    if of:
-        total = {n: shards.loc[at, ["words", "blocks"]].sum() for n, at in of.items()}
-        # a source's blocks are as long as its shards allow, so its weight is counted in those
-        want = [target[n] * t["blocks"] / t["words"] if t["words"] else 0.0 for n, t in total.items()]
-        most = [MOST_REPEATS * t["blocks"] for t in total.values()]
-        quotas = highest_quotients(np.array(want), np.array(most), int(round(sum(want))))
-        for at, quota in zip(of.values(), quotas):
-            words, limit = shards.loc[at, "words"], MOST_REPEATS * shards.loc[at, "blocks"]
-            shards.loc[at, "quota"] = highest_quotients(words.to_numpy(), limit.to_numpy(), int(quota))
+    shards["quota"], shards["rest"] = np.int64(0), np.int64(0)
+    for n, rows in shards.groupby("_n"):
+        words, blocks = rows["words"].to_numpy(), rows["blocks"].to_numpy()
+        if not words.sum():
+            continue
+        limit, length = MOST_REPEATS * blocks, words / blocks
+        # a source's blocks are as long as its shards allow, so its target is counted in those
+        whole = int(target[n] * blocks.sum() / words.sum() + 1e-9)
+        quota = highest_quotients(words, limit, whole)
+        rest = np.zeros(len(words), np.int64)
+        left = int(round(target[n] - (quota * length).sum()))
+        # shards with blocks longer than average can exceed the target by a little
+        for i in np.argsort(-length, kind="stable"):
+            if left >= 0:
+                break
+            back = min(int(quota[i]), ceil(-left / length[i])) if words[i] else 0
+            quota[i] -= back
+            left += int(round(back * length[i]))
+        for i in np.flatnonzero((quota < limit) & (words >= blocks)):
+            if left <= 0:
+                break
+            rest[i] = min(left, words[i] // blocks[i])
+            left -= rest[i]
+        shards.loc[rows.index, "quota"], shards.loc[rows.index, "rest"] = quota, rest
     shards["words"] = np.maximum(shards["words"], 1)
     return shards
 
 
 def _once_more() -> Column:
-    """Word ranges (at, to) of the document in the blocks that are taken once more."""
+    """Word ranges (at, to) of the document in the blocks that are taken once more, the last one in part."""
 
     def edge(b: Column) -> Column:
         return F.floor(b * F.col("_words") / F.col("_blocks")).cast("long")
 
+    def turn(b: Column) -> Column:
+        return (b * F.col("_stride") + F.col("_offset")) % F.col("_blocks")
+
     def chosen(b: Column) -> Column:
-        turn = (b * F.col("_stride") + F.col("_offset")) % F.col("_blocks")
-        return turn < F.col("_quota") % F.col("_blocks")
+        return turn(b) <= F.col("_quota") % F.col("_blocks")
+
+    def stop(b: Column) -> Column:
+        part = F.least(edge(b) + F.col("_rest"), edge(b + 1))
+        return F.when(turn(b) < F.col("_quota") % F.col("_blocks"), edge(b + 1)).otherwise(part)
 
     end = F.col("_begin") + F.col("size")
     first = F.floor(F.col("_begin") * F.col("_blocks") / F.col("_words")).cast("long") - 1
@@ -139,7 +164,7 @@ def _once_more() -> Column:
         F.filter(near, chosen),
         lambda b: F.struct(
             (F.greatest(edge(b), F.col("_begin")) - F.col("_begin")).alias("at"),
-            (F.least(edge(b + 1), end) - F.col("_begin")).alias("to"),
+            (F.least(stop(b), end) - F.col("_begin")).alias("to"),
         ),
     )
     ranges = F.filter(ranges, lambda r: r["at"] < r["to"])
@@ -185,8 +210,8 @@ def mix(docs: DataFrame, seed: int = SEED, carry: bool = True) -> DataFrame:
 
     sums = dealt(light).groupBy("_n", "_part").agg(F.sum("size").alias("words")).toPandas()
     plan = plan_shards({n: t for n, _, _, t, _ in known}, sums)
-    rows = list(plan[["_part", "words", "blocks", "quota"]].itertuples(index=False, name=None))
-    quotas = _small(spark, rows, "_at long, _words long, _blocks long, _quota long")
+    rows = list(plan[["_part", "words", "blocks", "quota", "rest"]].itertuples(index=False, name=None))
+    quotas = _small(spark, rows, "_at long, _words long, _blocks long, _quota long, _rest long")
     draw = F.xxhash64(F.lit(seed + 2), F.col("_at"))
     stride = F.get(F.array(*[F.lit(s) for s in STRIDES]), F.pmod(draw, F.lit(len(STRIDES))).cast("int"))
     quotas = quotas.withColumns(
