@@ -77,6 +77,33 @@ def test_copies_ties_and_awkward_vectors(spark):
     assert {r["query_id"] for r in got} == {0, 500}
 
 
+@pytest.mark.parametrize("shard_rows", [1 << 14, 40])
+def test_ids_with_several_vectors(spark, shard_rows):
+    draw = np.random.default_rng(5)
+    rows = [(0, [1.0, 0.0, 0.0]), (0, [0.0, 1.0, 0.5])]
+    rows += [(7, [4.0 + i / 64, 0.0, 0.0]) for i in range(100)] + [(8, [3.0, i / 64, 3.0]) for i in range(100)]
+    rows += [(int(i), [float(x) for x in draw.integers(-64, 65, 3) / 64]) for i in draw.integers(10, 60, 150)]
+    df = whole(vectors(spark, rows))
+    got = topk.top_k(df, df.where("vec_id = 0"), 5, shard_rows, 5).collect()
+    score: dict[int, float] = {}
+    for i, v in rows[2:]:
+        score[i] = max([score.get(i, -1e9), *[sum(int(256 * a) * int(256 * b) for a, b in zip(v, q)) for _, q in rows[:2]]])
+    want = sorted((-s, i) for i, s in score.items())[:5]
+    assert [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"])] == [(i, -s) for s, i in want]
+
+    near = [(0, [4.0, 0.0, 0.0]), *rows[2:]]
+    df = ann.as_vectors(vectors(spark, near))
+    index = ann.build_index(df, 5, shard_rows)
+    got = ann.search_index(index, df.where("vec_id = 0"), 5).collect()
+    far: dict[int, float] = {}
+    for i, v in near[1:]:
+        far[i] = min(far.get(i, 1e9), float(np.linalg.norm(np.subtract(v, near[0][1]))))
+    want = sorted((d, i) for i, d in far.items())[:5]
+    mine = sorted(got, key=lambda r: r["rank"])
+    assert [r["vec_id"] for r in mine] == [i for _, i in want]
+    assert [r["score"] for r in mine] == pytest.approx([d for d, _ in want])
+
+
 def test_index_of_an_empty_table(spark):
     none = ann.as_vectors(vectors(spark, BAD))
     assert ann.search_index(ann.build_index(none, 10), none, 10).collect() == []

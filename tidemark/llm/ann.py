@@ -189,7 +189,8 @@ def search_index(
     """query_id, rank (from 1), vec_id, score: for each query the k nearest that the shards' beams find.
 
     ``score`` is the Euclidean distance in doubles. A query's own id is no candidate; ties go to the
-    smaller id. A vector's shards are those of its length.
+    smaller id. A vector's shards are those of its length. An id with several vectors is returned once, with the
+    nearest of them, and as a query asks with each.
     """
     blocks = -(-max(1, queries.count()) // query_rows)
     shards = index.groupBy(F.col("dims").alias("q_dims"), F.col("shard").alias("q_shard")).count()
@@ -210,13 +211,23 @@ def search_index(
         for part in np.array_split(np.arange(len(queries)), -(-len(queries) // BATCH)):
             some = queries.iloc[part]
             vectors, own = np.stack(some["vector"].to_numpy()), some["vec_id"].to_numpy()
-            found, _ = beam_search(near, norms, links, entry, vectors.astype(np.float32), max(beam, k + 1))
-            score = np.sqrt(((points[found] - vectors[:, None, :]) ** 2).sum(2))
-            score[found < 0] = np.inf
-            for q, nodes, d in zip(own, found, score):
-                pairs = [(x, int(i)) for x, node in sorted(zip(d, nodes)) if node >= 0 for i in names[node] if i != q]
-                pairs = sorted(pairs)[:k]
-                out += [(q, i, x) for x, i in pairs]
+            width = max(beam, k + 1)
+            while len(vectors):
+                found, _ = beam_search(near, norms, links, entry, vectors.astype(np.float32), width)
+                score = np.sqrt(((points[found] - vectors[:, None, :]) ** 2).sum(2))
+                score[found < 0] = np.inf
+                short = []
+                for row, (q, nodes, d) in enumerate(zip(own, found, score)):
+                    pairs = sorted((x, int(i)) for x, node in zip(d, nodes) if node >= 0 for i in names[node] if i != q)
+                    nearest: dict[int, float] = {}
+                    for x, i in pairs:
+                        nearest.setdefault(i, x)
+                    if len(nearest) < k and width < len(points):
+                        short.append(row)
+                    else:
+                        out += [(q, i, x) for i, x in list(nearest.items())[:k]]
+                # the beam is full of vectors of a few ids: a wider one for these queries
+                vectors, own, width = vectors[short], own[short], min(4 * width, len(points))
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
     asked = asked.groupBy("q_dims", "q_shard", "q_block")

@@ -37,9 +37,10 @@ class Shard:
         self.ids, self.vectors = ids, vectors
         self.order = np.argsort(vectors, axis=0, kind="stable")
         self.sorted = np.take_along_axis(vectors, self.order, 0)
+        self.repeated = len(np.unique(ids)) < len(ids)
 
     def top(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the k best vectors whose id isn't ``own``, ties to the smaller id."""
+        """(ids, scores) of the k ids with the best vectors, but for ``own``, ties to the smaller id."""
         n = len(self.ids)
         up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
         seen = np.zeros(n, bool)
@@ -61,13 +62,15 @@ class Shard:
             if len(best) == k:
                 near = got >= score[-1]
                 new, got = new[near], got[near]
-            if len(new) > k:
+            if len(new) > k and not self.repeated:
                 least = np.partition(got, len(got) - k)[len(got) - k]
                 near = got >= least
                 new, got = new[near], got[near]
             best, score = np.append(best, self.ids[new]), np.append(score, got)
-            first = np.lexsort((best, -score))[:k]
-            best, score = best[first], score[first]
+            first = np.lexsort((best, -score))
+            if self.repeated:  # the best vector of each id
+                first = first[np.sort(np.unique(best[first], return_index=True)[1])]
+            best, score = best[first[:k]], score[first[:k]]
             bound = query[up] @ self.sorted[n - end, up] + query[down] @ self.sorted[end - 1, down]
             if len(best) == k and score[-1] > bound:
                 break
@@ -132,7 +135,8 @@ def top_k(
 
     Both tables have vec_id and ``vector``, an array of whole numbers. A query's own id is no candidate; ties
     go to the smaller id. Vectors of another length than the query's aren't compared with it. Rows
-    that repeat an id and vector count once, as do rows without an id not at all.
+    that repeat an id and vector count once, as do rows without an id not at all. An id with several vectors is
+    returned once, with the best of them, and as a query asks with each.
     """
     known = [
         df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("vector").cast("array<double>").alias("vector"))
