@@ -2,13 +2,14 @@
 
 Each permutation of the shingle hashes gives two signature values, its minimum and its maximum, so 72
 values cost 36 hash evaluations. Bands of three values make buckets. Texts with the same
-shingle set are one class from the start. A bucket's classes are never paired with each other: each is
+shingle set are one class from the start. At first a bucket's classes aren't paired with each other: each is
 held against one hub, on full sets. Two classes that are both linked to the hub are connected. If one
 isn't, the two can only be linked if they share a shingle that the hub lacks, or if both lie almost
 wholly in the hub; so new buckets are made of the shingles outside the hub and the size classes
 inside it, where components still differ. These are short; their classes are held against 8, 512, 32768 .. hubs a
-round until a bucket is connected or done. A large group of near copies costs a star and
-short lists instead of a square, and no link between components is left out.
+round until a bucket is connected or done, which for one that stays open comes to all pairs of
+unconnected members. A large group of near copies costs a star and
+short lists instead of a square unless it stays open, and no link between components is left out.
 """
 
 from __future__ import annotations
