@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, licenses, linededup, mixing, neardup, quality, topk, toxicity, urls
+from tidemark.llm import ann, bpe, decontaminate, licenses, linededup, mixing, neardup, quality, tokenalign
+from tidemark.llm import topk, toxicity, urls, whitening
 from tidemark.llm.common import table
 
 
@@ -85,6 +86,42 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
 
 
+def vocabularies() -> tokenalign.Vocabularies:
+    """The two public vocabularies that are aligned."""
+    import public_tokenizers
+
+    paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return tokenalign.Vocabularies.read(*paths)
+
+
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = tokenalign.align(docs, vocabularies())
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    counted = tokenalign.count_links(aligned.withColumn("groups_sha256", digest).drop("groups"))
+    return counted.select("row.doc_id", *tokenalign.COUNTS, "n_best", "count_sum", "groups_sha256")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = whitening.whole_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return whitening.whiten(vectors)
+
+
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    names = F.array_join(F.array_sort(F.transform("item_ids", lambda i: i.cast("string"))), ",")
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(names, 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -98,5 +135,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_top_k,
         op9_ann,
         op10_line_dedup,
+        op11_token_align,
+        op12_whitening,
+        op13_decontaminate,
     )
 }

@@ -13,7 +13,14 @@ RUN = 1 << 20
 #: For bytes: white space is 1 in the first table, A-Z become a-z and each byte 64 random bits in the second.
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BITS = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def random_bytes(seed: int) -> np.ndarray:
+    """An odd 64-bit number for each value of a byte."""
+    return np.random.default_rng(seed).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+_BITS = random_bytes(20)
 _BITS[65:91] = _BITS[97:123]
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 
@@ -25,7 +32,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
+    """base^0, base^1, .. modulo 2^64."""
     out = np.ones(n, np.uint64)
     out[1:] = np.uint64(base)
     return np.multiply.accumulate(out)
@@ -36,9 +44,9 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inside = np.concatenate([[False], ~_SPACE[data], [False]])
     turn = np.flatnonzero(inside[1:] != inside[:-1])
     begin, end = turn[::2], turn[1::2]
-    up = _powers(_BASE, len(data) + 1)
+    up = powers(_BASE, len(data) + 1)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BITS[data] * up[: len(data)], dtype=np.uint64)])
-    back = _powers(pow(_BASE, -1, 1 << 64), len(data) + 1)
+    back = powers(pow(_BASE, -1, 1 << 64), len(data) + 1)
     return mix64((total[end] - total[begin]) * back[begin] + (end - begin).astype(np.uint64)), begin
 
 

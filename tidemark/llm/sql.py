@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import licenses, urls
+from tidemark.llm import decontaminate, licenses, urls
 from tidemark.llm.common import UPPER
 
 _LOWER = f"'{UPPER}', '{UPPER.lower()}'"
@@ -169,10 +169,41 @@ FROM marked GROUP BY doc_id
 """
 
 
+_WORDS = f"regexp_extract_all(translate(text, {_LOWER}), '{decontaminate.WORD}')"
+_DECONTAMINATE = f"""
+WITH words AS (
+  SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents
+), items AS (
+  SELECT item_id, {_WORDS} AS w FROM benchmark
+), starts AS (
+  SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item_id, array_to_string(w[i:i + 9], ' ') AS said, least(len(w), 10) AS n FROM starts
+), lengths AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words, lengths WHERE len(w) >= n
+), hits AS (
+  SELECT doc_id, i, p.n, item_id
+  FROM (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS said FROM places) p
+  JOIN windows USING (said, n)
+), covered AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM hits)
+  GROUP BY doc_id
+), held AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN held USING (doc_id)
+"""
+
+
 SQL = {
     "op2_license_scan": _license_scan(),
     "op5_near_dedup": _NEAR_DEDUP,
     "op6_url_filter": _url_filter(),
     "op8_top_k": _TOP_K,
     "op10_line_dedup": _LINE_DEDUP,
+    "op13_decontaminate": _DECONTAMINATE,
 }
