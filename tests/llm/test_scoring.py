@@ -87,3 +87,37 @@ def test_dual_descent_separates():
     weight, bias = quality.dual_descent(starts, columns, np.array([1, 0, 1, 0]), np.ones(3), cost=10.0)
     margin = [weight[columns[a:b]].sum() + bias for a, b in zip(starts[:-1], starts[1:])]
     assert margin[0] > 0 > margin[1] and margin[2] > 0 > margin[3]
+
+
+def test_sample_is_drawn_from_ids_with_a_text(spark):
+    """Labels of ids that the documents lack don't use up the sample, and a rare class fills its half."""
+    docs = documents(spark, [(i, f"text {i % 90}", "a") for i in range(100)] + [(1, "again", "a")] * 30)
+    labels = spark.range(100_000).selectExpr("id AS doc_id", "int(id % 10 = 0) AS toxic")
+    got = ngrams.labelled_sample(docs, labels, "toxic", lambda i: i >= 0, 60).collect()
+    assert len(got) == 60 and sum(r["y"] for r in got) == 10
+    got = ngrams.labelled_sample(docs, labels, "toxic", lambda i: i >= 0, 12).collect()
+    assert len(got) == 12 and sum(r["y"] for r in got) == 6
+
+
+@pytest.mark.parametrize("module", [toxicity, quality])
+def test_scores_equal_plain(spark, module):
+    """The n-grams, features and scores of a few hundred texts, one at a time in plain Python."""
+    sf = "/root/testdata/sf0.001"
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = module.fit(docs, table(spark, sf, "labels"))
+    got = {r["doc_id"]: r["score"] for r in module.score(docs, model).collect()}
+    mask = 0xFFFFFFFF
+    for doc_id, text in docs.collect():
+        padded = " " + ((text or "").lower() if module.GRAMS.lower else text or "") + " " if text else " "
+        seen = set()
+        for n in range(module.GRAMS.least, module.GRAMS.most + 1):
+            for at in range(len(padded) - n + 1):
+                h = 0
+                for c in padded[at : at + n]:
+                    h = (h * 0x01000193 + ord(c)) & mask
+                h = ((h ^ (h >> 15)) * 0x9E3779B1 + n) & mask
+                seen.add(((h * 0x85EBCA6B) & mask) >> (32 - ngrams.BITS))
+        z = sum(model.weight[model.index[h]] for h in seen if model.index[h] >= 0) + model.bias
+        if module is quality:
+            z = z * model.slope + model.shift
+        assert got[doc_id] == pytest.approx(1 / (1 + np.exp(-np.clip(z, -40, 40))), abs=1e-9)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import map_arrow, quoted, without
+from tidemark.llm.common import free_name, quoted, with_arrow, without
 from tidemark.session import stage
 
 #: Characters of a chunk, without the overlap with the next one.
@@ -105,14 +105,16 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, chunk: int = CHUNK, over
     long = F.coalesce(F.length("text"), F.lit(0)) > chunk
     codec = _once(ranks, pattern)
 
-    def make(batch: pa.RecordBatch) -> list[pa.Array]:
-        ids = [codec().encode(t) if t else b"" for t in batch.column("text").to_pylist()]
+    def make(texts: pa.Array) -> list[pa.Array]:
+        ids = [codec().encode(t) if t else b"" for t in texts.to_pylist()]
         return [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
 
-    short = map_arrow(source.where(~long), make, [IDS, N_TOKENS])
-    keyed = source.where(long).withColumn("_key", F.sha2(F.encode("text", "utf-8"), 256))
-    ids = _encode_long(keyed.select("_key", "text"), ranks, pattern, chunk, overlap)
-    joined = keyed.join(ids, "_key").withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
+    short = with_arrow(source.where(~long), "text", make, [IDS, N_TOKENS])
+    key = free_name(source, "_key")
+    keyed = source.where(long).withColumn(key, F.sha2(F.encode("text", "utf-8"), 256))
+    ids = _encode_long(keyed.select(F.col(key).alias("_key"), "text"), ranks, pattern, chunk, overlap)
+    joined = keyed.join(ids.withColumnRenamed("_key", key), key)
+    joined = joined.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
     return short.unionByName(joined.select(*[quoted(c) for c in source.columns], "ids", "n_tokens"))
 
 
@@ -195,8 +197,7 @@ def decode(encoded: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     """``encoded`` with ``decoded``: the bytes of its ids in a row. Null ids decode to nothing."""
     codec = _once(ranks, pattern)
 
-    def make(batch: pa.RecordBatch) -> list[pa.Array]:
-        ids = batch.column("ids").to_pylist()
-        return [pa.array([codec().decode(x) if x else b"" for x in ids], pa.binary())]
+    def make(ids: pa.Array) -> list[pa.Array]:
+        return [pa.array([codec().decode(x) if x else b"" for x in ids.to_pylist()], pa.binary())]
 
-    return map_arrow(encoded, make, [DECODED])
+    return with_arrow(encoded, "ids", make, [DECODED])

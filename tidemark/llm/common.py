@@ -36,25 +36,35 @@ def lower_ascii(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
-def map_arrow(df: DataFrame, make, added: Sequence[T.StructField], drop: Sequence[str] = ()) -> DataFrame:
-    """``df`` plus columns that ``make(batch) -> list of Arrow arrays`` computes for each batch.
+def free_name(df: DataFrame, wish: str) -> str:
+    """``wish``, with underscores added until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
 
-    Columns of the same name are replaced, those in ``drop`` are read but not passed on.
+
+def with_arrow(df: DataFrame, column: str, make, added: Sequence[T.StructField]) -> DataFrame:
+    """``df`` plus columns that ``make(Arrow array) -> list of Arrow arrays`` computes from one column.
+
+    Columns of the same name are replaced. Only ``column`` goes to the Python workers, and only what
+    is made comes back; all other columns stay in the JVM.
     """
     names = [f.name for f in added]
-    source = without(df, names)
-    gone = {d.lower() for d in drop}
-    kept = [f for f in source.schema.fields if f.name.lower() not in gone]
-    schema = T.StructType([*kept, *added])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, len(whole), SLICE):
-                batch = whole.slice(at, SLICE)
-                old = [batch.column(f.name) for f in kept]
-                yield pa.RecordBatch.from_arrays([*old, *make(batch)], [*[f.name for f in kept], *names])
-
-    return source.mapInArrow(run, schema)
+    source = df if column in names else without(df, names)
+    made = free_name(source, "made")
+
+    @F.arrow_udf(T.StructType(list(added)))
+    def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for whole in arrays:
+            parts = [make(whole.slice(at, SLICE)) for at in range(0, max(len(whole), 1), SLICE)]
+            yield pa.StructArray.from_arrays([pa.concat_arrays(x) for x in zip(*parts)], names)
+            del whole, parts
+            pa.default_memory_pool().release_unused()
+
+    computed = source.withColumn(made, run(quoted(column)))
+    kept = [quoted(c) for c in without(source, names).columns]
+    return computed.select(*kept, *[F.col(made)[n].alias(n) for n in names])
 
 
 def groups(lengths: Sequence[int], most: int) -> Iterator[tuple[int, int]]:

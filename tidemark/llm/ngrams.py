@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import groups
@@ -96,20 +96,32 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+def _labelled(docs: DataFrame, labels: DataFrame, label: str, train) -> DataFrame:
+    """doc_id, y of the labelled training ids that ``docs`` has a text of."""
+    there = docs.where(F.col("text").isNotNull()).select("doc_id")
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & train(F.col("doc_id")))
+    return known.groupBy("doc_id").agg(F.max(label).cast("int").alias("y")).join(there, "doc_id", "left_semi")
+
+
+def prior_shift(docs: DataFrame, labels: DataFrame, label: str, train, positives: int, negatives: int) -> float:
+    """What to add to the log-odds learnt from an evenly filled sample, for the classes' shares of all labels."""
+    counts = {r["y"]: r["count"] for r in _labelled(docs, labels, label, train).groupBy("y").count().collect()}
+    return float(np.log(counts[1] / counts[0]) - np.log(positives / negatives))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train, most: int) -> DataFrame:
     """At most ``most`` labelled training rows as (text, y), the same ones on every run.
 
-    Rows are chosen by a hash of their id, so the choice doesn't depend on order or layout. The
-    chosen ids are at most ``most`` by construction and may be broadcast.
+    Only ids that ``docs`` holds are chosen from. Each class fills half of the rows, or the other class what
+    it leaves free. Rows are chosen by a hash of their id, so the choice doesn't depend on order or layout; of
+    rows that repeat an id the smallest text counts. The chosen ids are at most ``most`` and may be broadcast.
     """
-    ids = (
-        labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & train(F.col("doc_id")))
-        .groupBy("doc_id")
-        .agg(F.max(label).cast("int").alias("y"))
-        .orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id")
-        .limit(most)
-    )
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "y")
+    ids = _labelled(docs, labels, label, train).withColumn("draw", F.xxhash64("doc_id", F.lit(17)))
+    one, zero = (ids.where(F.col("y") == y).orderBy("draw", "doc_id").limit(most) for y in (1, 0))
+    turn = F.row_number().over(Window.partitionBy("y").orderBy("draw", "doc_id"))  # over 2 * most rows at most
+    chosen = one.unionByName(zero).withColumn("turn", turn).orderBy("turn", "y").limit(most).select("doc_id", "y")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y")).select("text", "y")
 
 
 def class_counts(sample: DataFrame, grams: Grams) -> pd.DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import ngrams
-from tidemark.llm.common import map_arrow
+from tidemark.llm.common import with_arrow
 from tidemark.session import stage
 
 GRAMS = ngrams.Grams(2, 4, lower=False)
@@ -44,8 +44,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, features: i
     Labels other than 0 and 1, and ids without a text, are left out. Without any labelled text the
     model gives every text 0.5; with one class only, that class's smoothed share.
     """
-    sample = ngrams.labelled_sample(docs, labels, "quality", lambda i: ~held_out(i), rows)
-    sample = stage(sample, "quality-sample")
+    rule = (docs, labels, "quality", lambda i: ~held_out(i))
+    sample = stage(ngrams.labelled_sample(*rule, rows), "quality-sample")
     found = ngrams.select(ngrams.class_counts(sample, GRAMS), GRAMS, features)
     starts, columns, y = ngrams.rows_of(sample, found)
     if not (found.positives and found.negatives):
@@ -55,6 +55,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, features: i
     row = np.repeat(np.arange(len(y)), np.diff(starts))
     margin = np.bincount(row, weights=(weight * found.ratio)[columns], minlength=len(y)) + bias
     slope, shift = _sigmoid(margin, y)
+    shift += ngrams.prior_shift(*rule, found.positives, found.negatives)
     return Model(GRAMS, found.index, weight * found.ratio, bias, slope, shift)
 
 
@@ -113,10 +114,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     that are called score or predicted already are replaced. One pass without a shuffle.
     """
 
-    def make(batch: pa.RecordBatch) -> list[pa.Array]:
-        z = ngrams.margins(model.weight, model.grams, model.index, batch.column("text").to_pylist())
+    def make(texts: pa.Array) -> list[pa.Array]:
+        z = ngrams.margins(model.weight, model.grams, model.index, texts.to_pylist())
         p = 1 / (1 + np.exp(-np.clip((z + model.bias) * model.slope + model.shift, -40, 40)))
         return [pa.array(p), pa.array((p >= 0.5).astype(np.int32))]
 
     fields = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
-    return map_arrow(docs, make, fields)
+    return with_arrow(docs, "text", make, fields)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import ngrams
-from tidemark.llm.common import map_arrow
+from tidemark.llm.common import quoted, with_arrow
 from tidemark.session import stage
 
 GRAMS = ngrams.Grams(3, 5, lower=True)
@@ -42,14 +42,15 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, features: i
     Labels other than 0 and 1, and ids without a text, are left out. Without any labelled text the
     model gives every text 0.5; with one class only, that class's smoothed share.
     """
-    sample = ngrams.labelled_sample(docs, labels, "toxic", lambda i: ~held_out(i), rows)
-    sample = stage(sample, "toxicity-sample")
+    rule = (docs, labels, "toxic", lambda i: ~held_out(i))
+    sample = stage(ngrams.labelled_sample(*rule, rows), "toxicity-sample")
     found = ngrams.select(ngrams.class_counts(sample, GRAMS), GRAMS, features)
     starts, columns, y = ngrams.rows_of(sample, found)
     prior = float(np.log((found.positives + 1) / (found.negatives + 1)))
     if not (found.positives and found.negatives):
         return Model(GRAMS, found.index, np.zeros(len(found.ratio)), prior)
     weight, bias = _logistic(starts, columns, y, found.ratio, prior)
+    bias += ngrams.prior_shift(*rule, found.positives, found.negatives)
     return Model(GRAMS, found.index, weight * found.ratio, bias)
 
 
@@ -88,16 +89,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     that are called score or predicted already are replaced. One pass without a shuffle.
     """
 
-    def make(batch: pa.RecordBatch) -> list[pa.Array]:
-        z = ngrams.margins(model.weight, model.grams, model.index, batch.column("text").to_pylist())
+    def make(texts: pa.Array) -> list[pa.Array]:
+        z = ngrams.margins(model.weight, model.grams, model.index, texts.to_pylist())
         p = 1 / (1 + np.exp(-np.clip(z + model.bias, -40, 40)))
         return [pa.array(p), pa.array((p >= 0.5).astype(np.int32))]
 
     fields = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
-    return map_arrow(docs, make, fields)
+    return with_arrow(docs, "text", make, fields)
 
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     """The documents that the model doesn't call toxic, with their own columns."""
-    scored = score(docs.select("*", F.lit(None).alias("_seen")), model)
-    return scored.where("predicted = 0").select(*docs.columns)
+    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"), "text")
+    return score(rows, model).where("predicted = 0").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
