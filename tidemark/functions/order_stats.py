@@ -16,8 +16,9 @@ from pyspark.sql.window import Window as W
 
 from tidemark.session import stage
 
-VALUES_PER_RANGE = 1_000_000
-MAX_RANGES = 4096
+VALUES_PER_RANGE = 100_000
+#: Ranges that the driver names the ends of; finer ones are cut where the values are.
+COARSE = 1024
 
 
 def value_counts(
@@ -48,9 +49,7 @@ def running_counts(
     ``counts`` holds one row per ``(by.., value)`` with a bigint ``n``; other columns are kept.
     It is read up to four times, so it should be staged.
     """
-    ranges = min(MAX_RANGES, -(-counts.count() // values_per_range))
-    bounds = _range_bounds(counts, ranges)
-    if not bounds:
+    if counts.count() <= values_per_range:
         inside = W.partitionBy(*by).orderBy("value").rowsBetween(W.unboundedPreceding, -1)
         return counts.withColumns(
             {
@@ -59,8 +58,7 @@ def running_counts(
             }
         )
 
-    splits = [float("-inf"), *bounds, float("inf")]
-    rows = Bucketizer(splits=splits, inputCol="value", outputCol="range").transform(counts)
+    rows = value_ranges(counts, values_per_range)
     keys = [*by, "range"]
     per_range = rows.groupBy(*keys).agg(F.sum("n").alias("in_range"))
     upto = W.partitionBy(*by).orderBy("range").rowsBetween(W.unboundedPreceding, -1)
@@ -77,14 +75,35 @@ def running_counts(
     )
 
 
-def _range_bounds(rows: DataFrame, ranges: int) -> list[float]:
-    """Inner limits of ranges holding similar numbers of distinct values; at most MAX_RANGES."""
-    if ranges < 2:
-        return []
-    shares = [i / ranges for i in range(1, ranges)]
-    accuracy = max(10_000, 20 * ranges)
-    found = rows.agg(F.percentile_approx("value", shares, accuracy)).first()[0]
-    return sorted(set(found or []))
+def value_ranges(counts: DataFrame, values_per_range: int = VALUES_PER_RANGE) -> DataFrame:
+    """``counts`` with ``range``, which rises with ``value``: ranges of some ``values_per_range`` rows.
+
+    Up to COARSE ranges are cut by quantiles of the whole column, named by the driver. If more are needed, each
+    of these is cut again by quantiles of its own values, found where they are and joined back by range,
+    so what the driver sees doesn't grow with the column.
+    """
+    wanted = -(-counts.count() // values_per_range)
+    if wanted < 2:
+        return counts.withColumn("range", F.lit(0).cast("bigint"))
+    coarse = min(wanted, COARSE)
+    splits = _cuts(counts.agg(_quantiles(coarse)).first()[0])
+    rows = Bucketizer(splits=splits, inputCol="value", outputCol="range").transform(counts)
+    rows = rows.withColumn("range", F.col("range").cast("bigint"))
+    finer = -(-wanted // coarse)
+    if finer < 2:
+        return rows
+    inner = rows.groupBy("range").agg(_quantiles(finer).alias("cuts"))
+    place = F.size(F.filter("cuts", lambda c: c <= F.col("value")))
+    return rows.join(inner, "range").withColumn("range", F.col("range") * (finer + 1) + place).select(*rows.columns)
+
+
+def _quantiles(parts: int):
+    shares = [i / parts for i in range(1, parts)]
+    return F.percentile_approx("value", shares, max(10_000, 20 * parts))
+
+
+def _cuts(found: list[float] | None) -> list[float]:
+    return [float("-inf"), *sorted(set(found or [])), float("inf")]
 
 
 def quantiles_of_counts(

@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from tidemark.functions.draws import poisson
 from tidemark.functions.exprs import money_sum, ratio, round_even, zero_sum
-from tidemark.functions.order_stats import quantiles, running_counts, value_counts
+from tidemark.functions.order_stats import VALUES_PER_RANGE, running_counts, value_counts, value_ranges
 from tidemark.functions.tails import chi_square_tail, normal_two_sided
 from tidemark.operators.distributions import histogram_bins
 from tidemark.session import stage
@@ -177,6 +178,7 @@ def mann_whitney(
     group: str,
     arms: Sequence[str] = ("A", "B"),
     weight: str | None = None,
+    values_per_range: int = VALUES_PER_RANGE,
 ) -> DataFrame:
     """Two-sided Mann-Whitney U test with midranks, tie and continuity correction; one row.
 
@@ -197,7 +199,7 @@ def mann_whitney(
     whole = lambda c: c.cast("decimal(38,0)")
     n = whole(F.col("n"))
     twice_rank = whole(2 * F.col("before") + F.col("n") + 1)
-    sums = running_counts(stage(counts, "value-counts")).agg(
+    sums = running_counts(stage(counts, "value-counts"), (), values_per_range).agg(
         F.sum("n_a").alias("n_a"),
         F.sum("n_b").alias("n_b"),
         F.sum(whole(F.col("n_a")) * twice_rank).cast("double").alias("twice_rank_sum"),
@@ -219,18 +221,10 @@ def mann_whitney(
 # bootstrap
 
 
-def _weights(iterations: int, seed: int):
-    """Resampling weights of one distinct value in every iteration.
-
-    Drawing each of its ``lam`` rows a Poisson(1) number of times gives Poisson(lam) copies. The
-    generator is keyed by seed and value, so neither partitioning nor a repeated task changes it.
-    """
-
-    def draw(key: int, lam: float) -> np.ndarray:
-        words = np.array([seed, key], dtype=np.int64).view(np.uint64)
-        return np.random.Generator(np.random.Philox(key=words)).poisson(lam, iterations)
-
-    return draw
+#: Distinct values that a task draws for, and those of a range that a median is searched in.
+VALUES_PER_TASK = 4096
+#: Draws that are held at a time.
+DRAWS = 1 << 18
 
 
 def _resample_inputs(
@@ -241,17 +235,113 @@ def _resample_inputs(
     literal_n: bool,
     weight: str | None,
 ) -> DataFrame:
+    """arm, value, lam (mean number of copies of its rows), key (what its draws depend on), staged."""
     rows = df.where(F.col(group).isin(*arms)).withColumn("arm", F.col(group).cast("string"))
-    counts = value_counts(rows, value, ["arm"], weight)
+    counts = stage(value_counts(rows, value, ["arm"], weight), "value-counts")
     lam = F.col("n").cast("double")
     if literal_n:
-        counts = stage(counts, "value-counts")
         size = lambda arm: F.sum(F.when(F.col("arm") == str(arm), F.col("n")).otherwise(0))
         share = counts.agg(ratio(size(arms[0]), size(arms[1]))).scalar()
         lam = F.when(F.col("arm") == str(arms[1]), lam * share).otherwise(lam)
-    spread = df.sparkSession.sparkContext.defaultParallelism
-    key = F.xxhash64("arm", "value")
-    return counts.select("arm", "value", lam.alias("lam"), key.alias("key")).repartition(spread, "key")
+    text = F.concat_ws("|", "arm", F.col("value").cast("string"))
+    key = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
+    return counts.select("arm", "value", lam.alias("lam"), key.alias("key"))
+
+
+def _tasks(inputs: DataFrame, by: str) -> DataFrame:
+    """As many partitions as the values need, whatever the cluster looks like when the plan is made."""
+    return inputs.repartition(max(1, -(-inputs.count() // VALUES_PER_TASK)), by)
+
+
+def _drawn(batch: pd.DataFrame, iterations: np.ndarray, seed: int) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Slices of a batch with their matrix of copies (rows x iterations)."""
+    step = max(1, DRAWS // max(1, len(iterations)))
+    for start in range(0, len(batch), step):
+        part = batch.iloc[start : start + step]
+        yield part, poisson(part["key"].to_numpy(), part["lam"].to_numpy(), iterations, seed)
+
+
+def _copies_by(inputs: DataFrame, keys: Sequence[str], iterations: int, seed: int) -> DataFrame:
+    """(keys.., iteration, total, count): the drawn copies and the sum of their values.
+
+    A task passes on one row for each of its keys and iteration, whatever the number of values.
+    """
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            for key, rows in batch.groupby(list(keys)):
+                for part, copies in _drawn(rows, np.arange(iterations), seed):
+                    total, count = held.get(key, (0, 0))
+                    held[key] = (total + part["value"].to_numpy() @ copies, count + copies.sum(0))
+        for key, (total, count) in held.items():
+            named = dict(zip(keys, key))
+            yield pd.DataFrame({**named, "iteration": np.arange(iterations), "total": total, "count": count})
+
+    kinds = ", ".join(f"{k} {inputs.schema[k].dataType.simpleString()}" for k in keys)
+    parts = inputs.mapInPandas(sums, f"{kinds}, iteration int, total double, count bigint")
+    return parts.groupBy(*keys, "iteration").agg(F.sum("total").alias("total"), F.sum("count").alias("count"))
+
+
+def _copies(inputs: DataFrame, seed: int, all_iterations: int | None = None) -> DataFrame:
+    """(arm, iteration, value, weight) for every value and iteration that draws it.
+
+    Without ``all_iterations``, each row names its own in a column ``iterations``, has a range, and keeps it.
+    """
+    kept = ["arm", "value"] if all_iterations else ["arm", "value", "range"]
+
+    def copies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            alike = [(None, batch)] if all_iterations else batch.groupby("picked")
+            for _, rows in alike:
+                wanted = np.arange(all_iterations) if all_iterations else np.asarray(rows["iterations"].iloc[0])
+                for part, weight in _drawn(rows, wanted, seed):
+                    row, column = np.nonzero(weight)
+                    own = {c: part[c].to_numpy()[row] for c in kept}
+                    yield pd.DataFrame({**own, "iteration": wanted[column], "weight": weight[row, column]})
+
+    schema = "arm string, value double, " + ("" if all_iterations else "range bigint, ")
+    return inputs.mapInPandas(copies, schema + "iteration int, weight bigint")
+
+
+def _middle_copies(inputs: DataFrame, iterations: int, seed: int, values_per_range: int) -> DataFrame:
+    """(arm, iteration, value, weight, before, total) of the values around each iteration's middle.
+
+    First pass: copies per iteration and range of values. Second pass: only the one or two ranges that hold
+    the middle of an iteration are drawn once more, value by value. So there are as many rows as a range has
+    values, times the iterations, however many values the column has.
+    """
+    ranged = stage(value_ranges(inputs, values_per_range), "value-ranges")
+    per_range = _copies_by(_tasks(ranged, "range"), ["arm", "range"], iterations, seed).drop("total")
+    line = W.partitionBy("arm", "iteration").orderBy("range")
+    before = F.coalesce(F.sum("count").over(line.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    total = F.sum("count").over(W.partitionBy("arm", "iteration"))
+    holds = lambda place: (F.col("before") <= place) & (place < F.col("before") + F.col("count"))
+    last = F.col("total") - 1
+    picked = stage(
+        per_range.withColumns({"before": before, "total": total})
+        .where(holds(F.floor(last / 2)) | holds(F.ceil(last / 2)))
+        .select("arm", "range", "iteration", "before", "total"),
+        "median-ranges",
+    )
+    wanted = picked.groupBy("arm", "range").agg(
+        F.sort_array(F.collect_list("iteration")).alias("iterations"),
+        F.concat_ws("|", "arm", "range").alias("picked"),
+    )
+    again = stage(ranged.join(wanted, ["arm", "range"]), "median-values")
+    return _copies(_tasks(again, "key"), seed).join(picked, ["arm", "range", "iteration"])
+
+
+def _medians(inputs: DataFrame, iterations: int, seed: int, values_per_range: int) -> DataFrame:
+    rows = stage(_middle_copies(inputs, iterations, seed, values_per_range), "median-copies")
+    line = W.partitionBy("arm", "iteration", "range").orderBy("value").rowsBetween(W.unboundedPreceding, -1)
+    begin = F.col("before") + F.coalesce(F.sum("weight").over(line), F.lit(0))
+    holds = lambda place: (F.col("begin") <= place) & (place < F.col("begin") + F.col("weight"))
+    last = F.col("total") - 1
+    at = lambda place: F.max(F.when(holds(place), F.col("value")))
+    ends = rows.withColumn("begin", begin).groupBy("arm", "iteration")
+    ends = ends.agg(at(F.floor(last / 2)).alias("lo"), at(F.ceil(last / 2)).alias("hi"))
+    return ends.select("arm", "iteration", (F.col("lo") + (F.col("hi") - F.col("lo")) * 0.5).alias("statistic"))
 
 
 def bootstrap_differences(
@@ -264,63 +354,30 @@ def bootstrap_differences(
     seed: int = 0,
     literal_n: bool = False,
     weight: str | None = None,
+    values_per_range: int = VALUES_PER_TASK,
 ) -> DataFrame:
     """(iteration, difference): statistic of the first arm minus that of the second, resampled.
 
-    Works on distinct values with their counts. For the mean, each task adds up its own values
-    for all iterations and passes on one row per arm and iteration. ``statistic`` may also be
-    "median", or a function from a value and a weight column to a Spark aggregate; these get one
-    row per value and iteration, spread by iteration and value range.
+    Works on distinct values with their counts: drawing each of n equal rows a Poisson(1) number of times
+    gives Poisson(n) copies. A draw depends on seed, arm, value and iteration only, so neither
+    partitioning nor a repeated task changes it. For the mean, each task adds up its own values for all
+    iterations and passes on one row per arm and iteration. For "median" it does so per range of values, and
+    only the range that holds the middle is looked at closely. ``statistic`` may also be a function from a value
+    and a weight column to a Spark aggregate, which gets one row per value and iteration.
 
     ``literal_n=True`` draws as many rows for the second arm as the first one has. ``weight``
     names a column that says how often a row counts.
     """
     inputs = _resample_inputs(df, value, group, arms, literal_n, weight)
-    draw = _weights(iterations, seed)
-
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-        for batch in batches:
-            for arm, x, lam, key in batch.itertuples(index=False):
-                weight = draw(key, lam)
-                total, count = held.get(arm, (0, 0))
-                held[arm] = (total + weight * x, count + weight)
-        for arm, (total, count) in held.items():
-            yield pd.DataFrame(
-                {"arm": arm, "iteration": np.arange(iterations), "total": total, "count": count}
-            )
-
-    def copies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for start in range(0, len(batch), 100):
-                part = batch.iloc[start : start + 100]
-                weight = np.array([draw(key, lam) for lam, key in zip(part.lam, part.key)])
-                row, drawn = np.nonzero(weight)
-                yield pd.DataFrame(
-                    {
-                        "arm": part.arm.to_numpy()[row],
-                        "iteration": drawn,
-                        "value": part.value.to_numpy()[row],
-                        "weight": weight[row, drawn],
-                    }
-                )
-
     if statistic == "mean":
-        parts = inputs.mapInPandas(sums, "arm string, iteration int, total double, count bigint")
-        by_arm = parts.groupBy("arm", "iteration").agg(
-            F.try_divide(F.sum("total"), F.sum("count")).alias("statistic")
-        )
+        sums = _copies_by(_tasks(inputs, "key"), ["arm"], iterations, seed)
+        by_arm = sums.withColumn("statistic", F.try_divide("total", "count"))
+    elif statistic == "median":
+        by_arm = _medians(inputs, iterations, seed, values_per_range)
     else:
-        rows = inputs.mapInPandas(
-            copies, "arm string, iteration int, value double, weight bigint"
-        )
-        keys = ["arm", "iteration"]
-        if statistic == "median":
-            found = quantiles(rows, "value", [0.5], keys, "weight")
-            by_arm = found.select(*keys, F.col("quantiles")[0].alias("statistic"))
-        else:
-            aggregate = statistic(F.col("value"), F.col("weight"))
-            by_arm = rows.groupBy(*keys).agg(aggregate.alias("statistic"))
+        aggregate = statistic(F.col("value"), F.col("weight"))
+        copies = _copies(_tasks(inputs, "key"), seed, iterations)
+        by_arm = copies.groupBy("arm", "iteration").agg(aggregate.alias("statistic"))
     of = lambda arm: F.max(F.when(F.col("arm") == str(arm), F.col("statistic")))
     return by_arm.groupBy("iteration").agg((of(arms[0]) - of(arms[1])).alias("difference"))
 

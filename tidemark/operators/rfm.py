@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import money_sum, whole_days
-from tidemark.functions.order_stats import quantiles
+from tidemark.functions.order_stats import VALUES_PER_RANGE, quantiles
 from tidemark.operators.commerce import successful
 from tidemark.session import stage
 
@@ -78,7 +78,7 @@ def staged_base(customers: DataFrame, orders: DataFrame, items: DataFrame) -> Da
     return rfm_base(stage(customer_totals(customers, orders, items), "rfm"))
 
 
-def quintile_row(base: DataFrame) -> DataFrame:
+def quintile_row(base: DataFrame, values_per_range: int = VALUES_PER_RANGE) -> DataFrame:
     """One row with three arrays of quintile bounds.
 
     Recency has as many distinct values as the shop has days and frequency few, so Spark's exact
@@ -88,15 +88,15 @@ def quintile_row(base: DataFrame) -> DataFrame:
         F.percentile("recency", QUINTILES).alias("recency"),
         F.percentile("frequency", QUINTILES).alias("frequency"),
     )
-    money = quantiles(base, "monetary", QUINTILES).scalar()
+    money = quantiles(base, "monetary", QUINTILES, values_per_range=values_per_range).scalar()
     return days.withColumn("monetary", money)
 
 
-def rfm_quintiles(base: DataFrame) -> DataFrame:
+def rfm_quintiles(base: DataFrame, values_per_range: int = VALUES_PER_RANGE) -> DataFrame:
     """Quintile bounds as rows: quantile, recency, frequency, monetary."""
     shares = F.array(*[F.lit(q) for q in QUINTILES]).alias("quantile")
     zipped = F.arrays_zip(shares, "recency", "frequency", "monetary")
-    return quintile_row(base).select(F.inline(zipped))
+    return quintile_row(base, values_per_range).select(F.inline(zipped))
 
 
 def _score(value: str, bounds: Column, scores: list[int]) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.functions import draws
 from tidemark.sources.fixtures import CUSTOMER, with_views
 
 SQL: dict[str, str] = {}
@@ -504,6 +505,7 @@ sql(
         for q in (0.2, 0.4, 0.6, 0.8)
     ),
 )
+SQL["rfm_quintiles_ranged"] = SQL["rfm_quintiles"]
 sql(
     "frequency_counts",
     RFM_VIEWS,
@@ -671,10 +673,10 @@ SELECT round(x, 6) AS statistic, CAST(1 AS BIGINT) AS dof, """
     + two_sided("sqrt(x)", "test")
     + " AS p_value FROM test",
 )
-for key, rows in (("mann_whitney", "users"), ("mann_whitney_payers", "payers")):
-    ab(
-        key,
-        f""", ranked AS (
+
+
+def mann_whitney(rows: str) -> str:
+    return f"""ranked AS (
   SELECT grp, rank() OVER (ORDER BY rev) + (count(*) OVER (PARTITION BY rev) - 1) / 2 AS midrank FROM {rows}),
 sizes AS (SELECT count(*) FILTER (grp = 'A') AS n_a, count(*) FILTER (grp = 'B') AS n_b FROM {rows}),
 tied AS (SELECT CAST(sum(t * t * t - t) AS DOUBLE) AS ties FROM (SELECT CAST(count(*) AS HUGEINT) AS t FROM {rows} GROUP BY rev)),
@@ -685,8 +687,94 @@ test AS (
          / sqrt(n_a * n_b / 12 * (n_a + n_b + 1 - ties / ((n_a + n_b) * (n_a + n_b - 1)))) AS z
   FROM sizes, tied, first)
 SELECT n_a, n_b, CAST(u AS DOUBLE) AS u, ties, round(z, 6) AS z,
-       {two_sided("greatest(z, 0)", "test")} AS p_value FROM test""",
+       {two_sided("greatest(z, 0)", "test")} AS p_value FROM test"""
+
+
+ab("mann_whitney", ", " + mann_whitney("users"))
+ab("mann_whitney_payers", ", " + mann_whitney("payers"))
+sql(
+    "mann_whitney_ranged",
+    "event_values",
+    f"""WITH compared AS (
+  SELECT CASE event_type WHEN 'view' THEN 'A' ELSE 'B' END AS grp, value AS rev FROM event_values
+  WHERE value IS NOT NULL),
+{mann_whitney("compared")}""",
+)
+
+# bootstrap: the same draws, which depend on arm, value and iteration only
+
+WRAP = "18446744073709551616::UHUGEINT"
+
+
+def mixed(name: str, source: str, x: str, kept: str) -> str:
+    """Steps that take ``x`` of ``source`` through the finisher of splitmix64, modulo 2^64."""
+    return f"""{name}1 AS (SELECT {kept}, ({x}) % {WRAP} AS x FROM {source}),
+{name}2 AS (SELECT {kept}, xor(x, x // 1073741824) * {draws.FIRST}::UHUGEINT % {WRAP} AS x FROM {name}1),
+{name}3 AS (SELECT {kept}, xor(x, x // 134217728) * {draws.SECOND}::UHUGEINT % {WRAP} AS x FROM {name}2),
+{name} AS (SELECT {kept}, xor(x, x // 2147483648) AS x FROM {name}3)"""
+
+
+def resampled(rows: str) -> str:
+    """copies: arm, value, iteration and how often it is drawn; a Poisson count by inversion."""
+    return f"""counts AS (
+  SELECT grp AS arm, CAST(rev AS DOUBLE) AS value, count(*) AS n FROM {rows} WHERE grp IN ('A', 'B') GROUP BY ALL),
+keyed AS (SELECT *, CAST(CAST('0x' || substr(md5(arm || '|' || value), 1, 15) AS UBIGINT) AS UHUGEINT) AS key FROM counts),
+{mixed("starts", "keyed", "key", "arm, value, n")},
+rounds AS (SELECT *, unnest(range(1000)) AS iteration FROM starts),
+{mixed("drawn", "rounds", f"x + (iteration + 1)::UHUGEINT * {draws.STEP}::UHUGEINT", "arm, value, n, iteration")},
+counted AS (
+  SELECT n, unnest(range(CAST(greatest(0, floor(n - 12 * sqrt(n) - 30)) AS BIGINT),
+                         CAST(ceil(n + 12 * sqrt(n) + 30) AS BIGINT) + 1)) AS k
+  FROM (SELECT DISTINCT n FROM counts)),
+likely AS (SELECT n, k, exp(k * ln(n) - n - lgamma(k + 1)) AS p FROM counted),
+poisson AS (
+  SELECT n, k, sum(p) OVER (PARTITION BY n ORDER BY k) / sum(p) OVER (PARTITION BY n) AS upto FROM likely),
+copies AS (
+  SELECT arm, value, iteration, k AS weight
+  FROM (SELECT *, CAST(x // 2048 AS DOUBLE) / 9007199254740992 AS u FROM drawn) d
+  ASOF JOIN poisson p ON d.n = p.n AND d.u < p.upto)"""
+
+
+MEAN = "SELECT arm, iteration, sum(value * weight) / nullif(sum(weight), 0) AS statistic FROM copies GROUP BY ALL"
+MEDIAN = """SELECT arm, iteration, (min(value) FILTER (upto > (total - 1) // 2) + min(value) FILTER (upto > total // 2)) / 2 AS statistic
+  FROM (SELECT *, sum(weight) OVER (PARTITION BY arm, iteration ORDER BY value) AS upto,
+               sum(weight) OVER (PARTITION BY arm, iteration) AS total FROM copies WHERE weight > 0)
+  GROUP BY ALL"""
+
+
+def differences(rows: str, statistic: str) -> str:
+    return f"""{resampled(rows)},
+by_arm AS ({statistic}),
+differences AS (
+  SELECT iteration, max(statistic) FILTER (arm = 'A') - max(statistic) FILTER (arm = 'B') AS difference
+  FROM by_arm GROUP BY iteration),
+summary AS (
+  SELECT count(difference) AS iterations, avg(difference) AS mean, stddev_pop(difference) AS std,
+         quantile_cont(difference, 0.025) AS low, quantile_cont(difference, 0.975) AS high FROM differences)"""
+
+
+for key, rows, statistic in (
+    ("bootstrap_ab", "users", MEAN),
+    ("bootstrap_ab_payers", "payers", MEAN),
+    ("bootstrap_median", "payers", MEDIAN),
+):
+    ab(
+        key,
+        f""", {differences(rows, statistic)}
+SELECT iterations, round(mean, 6) AS mean, round(std, 6) AS std, round(low, 6) AS low, round(high, 6) AS high,
+       {two_sided("abs(mean / std)", "summary")} AS p_value FROM summary""",
     )
+ab(
+    "bootstrap_histogram",
+    f""", {differences("users", MEAN)},
+span AS (SELECT min(difference) AS lo, (max(difference) - min(difference)) / 50 AS width FROM differences),
+bins AS (
+  SELECT least(floor((difference - lo) / width), 49) AS bin, lo, width FROM differences, span
+  WHERE difference IS NOT NULL)
+SELECT CAST(bin AS BIGINT) AS bin, round(lo + bin * width, 6) AS bin_start, round(lo + (bin + 1) * width, 6) AS bin_end,
+       count(*) AS n, any_value(lo + bin * width <= low OR lo + bin * width >= high) AS is_tail
+FROM bins, summary GROUP BY bin, lo, width""",
+)
 
 # courses
 

@@ -352,6 +352,11 @@ def rfm_quintiles(t: Tables) -> DataFrame:
     return segments.rfm_quintiles(_rfm_base(t))
 
 
+@query
+def rfm_quintiles_ranged(t: Tables) -> DataFrame:
+    return segments.rfm_quintiles(_rfm_base(t), values_per_range=100)
+
+
 @query
 def frequency_counts(t: Tables) -> DataFrame:
     return segments.frequency_counts(_rfm_base(t))
@@ -485,6 +490,12 @@ def mann_whitney_payers(t: Tables) -> DataFrame:
     return abtest.mann_whitney(_paying(t), "rev", "grp", weight="times")
 
 
+@query
+def mann_whitney_ranged(t: Tables) -> DataFrame:
+    arms = ("view", "click")
+    return abtest.mann_whitney(t.event_values, "value", "event_type", arms, values_per_range=100)
+
+
 def _differences(users: DataFrame, **options) -> DataFrame:
     return abtest.bootstrap_differences(users, "rev", "grp", weight="times", **options)
 
@@ -501,7 +512,7 @@ def bootstrap_ab_payers(t: Tables) -> DataFrame:
 
 @query
 def bootstrap_median(t: Tables) -> DataFrame:
-    return abtest.bootstrap_summary(_differences(_paying(t), statistic="median"))
+    return abtest.bootstrap_summary(_differences(_paying(t), statistic="median", values_per_range=2))
 
 
 @query

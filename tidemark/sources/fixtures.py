@@ -39,6 +39,7 @@ FROM {{events}} WHERE event_type IN ('signup', 'error', 'purchase')""",
     "started_feed": f"SELECT user_id, ts AS time FROM {{events}} WHERE event_type IN ('view', 'click') AND {_STARTED}",
     "started_messages": f"""
 SELECT user_id, ts AS time FROM {{events}} WHERE event_type IN ('signup', 'error', 'purchase') AND {_STARTED}""",
+    "event_values": "SELECT event_type, value FROM {events} WHERE event_type IN ('view', 'click')",
     "peas": f"""
 SELECT user_id AS st_id, ts AS timest, event_id % 4 = 0 AS correct, {_SUBJECT}
 FROM {{events}}""",
