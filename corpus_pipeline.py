@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import linededup, mixing, neardup, queries, toxicity
 from tidemark.llm.common import table
-from tidemark.session import scratch_path
+from tidemark.session import delete_path, scratch_path
 
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,10 +48,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``, each written as Parquet to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages on ``documents``, each written as Parquet to the shared folder and read again.
+
+    A stage's folder goes once the next one is written.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            delete_path(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

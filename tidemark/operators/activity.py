@@ -190,3 +190,37 @@ def active_users(
         .agg(_distinct("user_id", exact).alias("unique_users"))
         .orderBy("date", *by)
     )
+
+
+# distinct users of any stretch of days, from one sketch a day
+
+#: log2 of a sketch's cells, and what an estimate may be off by: three standard errors.
+SKETCH_BITS = 14
+SKETCH_ERROR = 3 * 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def daily_sketches(
+    feed: DataFrame, messages: DataFrame, as_of: dt.date, days: int = 1, by: Sequence[str] = ()
+) -> DataFrame:
+    """date, by.., users: a mergeable sketch of the day's distinct users of feed or messenger.
+
+    To be stored: a day costs some 16 KB for each set of attributes, whatever its number of events.
+    """
+    columns = ["user_id", "time", *by]
+    span = (days_before(as_of, days), as_of)
+    both = time_range(feed.select(*columns), "time", *span).unionByName(
+        time_range(messages.select(*columns), "time", *span)
+    )
+    users = F.hll_sketch_agg("user_id", F.lit(SKETCH_BITS)).alias("users")
+    return both.where(F.col("user_id").isNotNull()).groupBy(F.to_date("time").alias("date"), *by).agg(users)
+
+
+def users_of_sketches(sketches: DataFrame, as_of: dt.date, days: int = 1, by: Sequence[str] = ()) -> DataFrame:
+    """by.., estimated_users: distinct users of the ``days`` days before ``as_of``, from stored sketches.
+
+    Users of several days or attributes count once. Off by SKETCH_ERROR as a share at most, but in one of some
+    three hundred cases.
+    """
+    inside = sketches.where((F.col("date") >= F.lit(days_before(as_of, days))) & (F.col("date") < F.lit(as_of)))
+    union = F.hll_union_agg("users")
+    return inside.groupBy(*by).agg(F.hll_sketch_estimate(union).alias("estimated_users"))

@@ -30,41 +30,42 @@ def _closed_buckets(df: DataFrame, now: dt.datetime) -> DataFrame:
 
 
 def label_buckets(buckets: DataFrame) -> DataFrame:
-    """Add the date and the HH:mm label of each bucket, in time order."""
+    """Add the date and the HH:mm label of each bucket."""
     rest = [c for c in buckets.columns if c != "ts"]
     return buckets.select(
         "ts", F.to_date("ts").alias("date"), F.date_format("ts", "HH:mm").alias("hm"), *rest
-    ).orderBy("ts")
+    )
 
 
-def feed_buckets(feed: DataFrame, now: dt.datetime) -> DataFrame:
-    """Users, likes, views and ctr per closed bucket since yesterday's midnight."""
+def count_feed(events: DataFrame) -> DataFrame:
+    """Users, likes, views and ctr per ``ts``, the bucket that each event is marked with."""
     seen = F.col("user_id").isNotNull()
-    counted = (
-        _closed_buckets(feed, now)
-        .groupBy("ts")
-        .agg(
-            F.count_distinct("user_id").alias("users_feed"),
-            F.count_if(seen & is_like()).alias("likes"),
-            F.count_if(seen & is_view()).alias("views"),
-        )
+    counted = events.groupBy("ts").agg(
+        F.count_distinct("user_id").alias("users_feed"),
+        F.count_if(seen & is_like()).alias("likes"),
+        F.count_if(seen & is_view()).alias("views"),
     )
     return label_buckets(counted.withColumn("ctr", round_even(ratio("likes", "views"), 3)))
 
 
-def message_buckets(messages: DataFrame, now: dt.datetime) -> DataFrame:
-    """Users and messages per closed bucket since yesterday's midnight."""
-    counted = (
-        _closed_buckets(messages, now)
-        .groupBy("ts")
-        .agg(
-            F.count_distinct("user_id").alias("users_message"),
-            F.count("user_id").alias("messages"),
-        )
+def count_messages(events: DataFrame) -> DataFrame:
+    """Users and messages per ``ts``, the bucket that each event is marked with."""
+    counted = events.groupBy("ts").agg(
+        F.count_distinct("user_id").alias("users_message"), F.count("user_id").alias("messages")
     )
     return label_buckets(counted)
 
 
+def feed_buckets(feed: DataFrame, now: dt.datetime) -> DataFrame:
+    """Users, likes, views and ctr per closed bucket since yesterday's midnight."""
+    return count_feed(_closed_buckets(feed, now))
+
+
+def message_buckets(messages: DataFrame, now: dt.datetime) -> DataFrame:
+    """Users and messages per closed bucket since yesterday's midnight."""
+    return count_messages(_closed_buckets(messages, now))
+
+
 def fill_gaps(buckets: DataFrame) -> DataFrame:
     """Add the buckets in which nothing happened, with null metrics."""
     span = buckets.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))

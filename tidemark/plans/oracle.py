@@ -208,6 +208,17 @@ sql(
     f"WITH {RETENTION.strip()} SELECT {day('start_day')}, {day('day')}, users FROM kept",
 )
 SQL["app_retention_90"] = SQL["app_retention"].replace("DATE '2024-01-23'", "DATE '2023-11-01'")
+SQL["retention_incremental"] = SQL["app_retention"]
+sql(
+    "dau_sketch_rollup",
+    "feed_actions message_actions",
+    """WITH everything AS (
+  SELECT user_id, time, source FROM feed_actions UNION ALL SELECT user_id, time, source FROM message_actions)
+SELECT days, source, count(DISTINCT user_id) AS users, true AS agrees
+FROM everything, (VALUES (1), (7), (30)) spans(days)
+WHERE time < DATE '2024-01-30' AND time >= DATE '2024-01-30' - CAST(days AS INT)
+GROUP BY days, source""",
+)
 DAYS = [f"2024-01-{d}" for d in range(23, 31)]
 sql(
     "app_retention_pivot",
@@ -327,6 +338,8 @@ for key, view, buckets, metrics in (
 WHERE ts + INTERVAL '15 minutes' <= (SELECT max(time) FROM {view})""",
     )
 
+sql("stream_late_buckets", FEED, f"WITH {ALL_FEED_BUCKETS.strip()} SELECT {LABELS}, users_feed, likes, views, ctr FROM buckets")
+
 # advertising
 
 RATIOS = """clicks / nullif(impressions, 0) AS CTR, spend / nullif(installs, 0) AS CPI,
@@ -449,6 +462,7 @@ table_ AS (
   FROM dated JOIN firsts USING (customer_unique_id) GROUP BY ALL)"""
 COHORT_COLUMNS = f"{day('cohort_group')}, {day('order_month')}, unique_customers, cohort_period"
 sql("cohorts", "customers orders_ds", f"WITH {COHORTS} SELECT {COHORT_COLUMNS} FROM table_")
+SQL["cohorts_incremental"] = SQL["cohorts"]
 sql(
     "cohort_pivot",
     "customers orders_ds",

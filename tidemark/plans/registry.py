@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.exprs import days_before, time_range
 from tidemark.operators import (
     abtest,
     activity,
@@ -21,12 +24,16 @@ from tidemark.operators import (
 from tidemark.operators import cohorts as cohort_tables
 from tidemark.operators import rfm as segments
 from tidemark.plans import jobs
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, stage
 from tidemark.sources import files, fixtures, profile, sinks
 from tidemark.sources.fixtures import AS_OF, CUSTOMER, NOW
 from tidemark.streaming import alerts as streams
 
 
+# between the two lots of orders of `cohorts_incremental`
+SECOND_LOT = dt.datetime(1995, 6, 17)
+
+
 class Tables:
     """The views of one test directory, as attributes."""
 
@@ -188,6 +195,36 @@ def app_retention_pivot(t: Tables) -> DataFrame:
     return retention.retention_matrix(app_retention(t), AS_OF)
 
 
+@query
+def retention_incremental(t: Tables) -> DataFrame:
+    """The state is built once, then moved on day by day; each run reads one day of events."""
+    path = scratch_path(t.spark, "retention-state")
+    for back in (3, 2, 1, 0):
+        day = days_before(AS_OF, back)
+        state = retention.advance_state(t.spark, path, t.started_feed, t.started_messages, day)
+    return retention.retention_of_state(state, AS_OF)
+
+
+SKETCHED_DAYS = (1, 7, 30)
+
+
+@query
+def dau_sketch_rollup(t: Tables) -> DataFrame:
+    """Users of several stretches of days: counted exactly, and whether the stored sketches agree."""
+    sketches = activity.daily_sketches(t.feed_actions, t.message_actions, AS_OF, max(SKETCHED_DAYS), ["source"])
+    sketches = stage(sketches, "daily-sketches")
+    columns = ["user_id", "time", "source"]
+    both = t.feed_actions.select(*columns).unionByName(t.message_actions.select(*columns))
+    found = []
+    for days in SKETCHED_DAYS:
+        rows = time_range(both, "time", days_before(AS_OF, days), AS_OF)
+        exact = rows.groupBy("source").agg(F.count_distinct("user_id").alias("users"))
+        estimated = activity.users_of_sketches(sketches, AS_OF, days, ["source"])
+        off = F.abs(F.col("estimated_users") - F.col("users")) <= F.col("users") * activity.SKETCH_ERROR
+        found.append(exact.join(estimated, "source").select(F.lit(days).alias("days"), "source", "users", off.alias("agrees")))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 # alerts
 
 
@@ -328,6 +365,15 @@ def cohort_pivot(t: Tables) -> DataFrame:
     return cohort_tables.cohort_matrix(cohorts(t))
 
 
+@query
+def cohorts_incremental(t: Tables) -> DataFrame:
+    """Orders come in two lots; months of the first are kept and merged with those of the second."""
+    early = t.orders_ds.where(F.col("order_purchase_timestamp") < SECOND_LOT)
+    late = t.orders_ds.where(F.col("order_purchase_timestamp") >= SECOND_LOT)
+    kept = stage(cohort_tables.customer_months(t.customers, early), "customer-months")
+    return cohort_tables.cohorts_of_months(cohort_tables.customer_months(t.customers, late, kept))
+
+
 @query
 def cohort_retention(t: Tables) -> DataFrame:
     return cohort_tables.cohort_retention(cohorts(t))
@@ -568,6 +614,20 @@ def stream_message_buckets(t: Tables) -> DataFrame:
     return t.spark.read.schema(stream.schema).parquet(path)
 
 
+@query
+def stream_late_buckets(t: Tables) -> DataFrame:
+    """Events arrive in four files that each span all days, so most are late behind those before them."""
+    events = scratch_path(t.spark, "late-events")
+    fixtures.read(t.spark, t.sf_dir, "events").repartition(4, "event_id").write.parquet(events)
+    schema = t.spark.read.parquet(events).schema
+    view = lambda table: t.spark.sql(fixtures.VIEWS["feed_actions"], events=table)
+    stream = view(streams.read_event_stream(t.spark, events, schema, files_per_batch=1))
+    path, checkpoint = scratch_path(t.spark, "late-buckets"), scratch_path(t.spark, "late-checkpoint")
+    table = lambda: view(t.spark.read.schema(schema).parquet(events))
+    streams.recount_touched_buckets(stream, table, alerts.count_feed, path, checkpoint).awaitTermination()
+    return streams.current_buckets(t.spark, path)
+
+
 @query
 def stream_alerts(t: Tables) -> DataFrame:
     return streams.check_written_buckets(_written_feed_buckets(t), alerts.FEED_METRICS, NOW)

@@ -26,20 +26,18 @@ def write_daily(df: DataFrame, path: str, day: str = "event_date") -> None:
 
 
 def write_daily_table(df: DataFrame, table: str, day: str = "event_date") -> None:
-    """Like ``write_daily`` for a catalog table, which is made if it does not exist."""
+    """Like ``write_daily`` for a catalog table, which is made if it does not exist.
+
+    A table made elsewhere needs the property ``partitionOverwriteMode`` = ``dynamic``.
+    """
     spark = df.sparkSession
     rows = df.hint("rebalance", F.col(day))
     if not spark.catalog.tableExists(table):
-        rows.write.partitionBy(day).format("parquet").saveAsTable(table)
+        # kept with the table, so no job has to change the session's mode
+        mode = rows.write.option("partitionOverwriteMode", "dynamic")
+        mode.partitionBy(day).format("parquet").saveAsTable(table)
         return
-    key = "spark.sql.sources.partitionOverwriteMode"  # inserts heed the session's mode only
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        by_position = rows.select(*spark.table(table).columns)
-        by_position.write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(key, before)
+    rows.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import functools
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.exprs import ratio, round_even, time_range
+from tidemark.functions.exprs import quarter_hour, ratio, round_even, time_range
 from tidemark.operators.activity import is_like, is_view
 from tidemark.operators.alerts import anomaly_bands, floor_quarter, latest_checks
 
@@ -67,8 +68,8 @@ def _labelled(buckets: DataFrame, *metrics) -> DataFrame:
 def feed_bucket_stream(feed: DataFrame, lateness: str) -> DataFrame:
     """Users, likes, views and ctr of each bucket, once the watermark has passed its end.
 
-    Events later than ``lateness`` behind the newest one are not counted; the batch buckets of
-    ``operators.alerts`` over the event table count all, whenever they came.
+    Events later than ``lateness`` behind the newest one are not counted; ``recount_touched_buckets`` counts
+    all, whenever they come.
     """
     users = _per_user(feed, lateness, likes=F.count_if(is_like()), views=F.count_if(is_view()))
     buckets = _per_bucket(users, "users_feed", ["likes", "views"])
@@ -100,6 +101,67 @@ def append_closed_buckets(
     return writer.trigger(**trigger).start()
 
 
+#: Separate stretches of time that one read of the event table asks for.
+STRETCHES = 64
+
+
+def _in_touched_days(events: DataFrame, touched: DataFrame) -> DataFrame:
+    """Events in the stretches of time that ``touched`` buckets span, day by day, as ranges of the bare column.
+
+    The driver sees one row a day. With more than STRETCHES days it asks for everything between the ends.
+    """
+    day = touched.groupBy(F.to_date("ts")).agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
+    days = sorted((r["lo"], r["hi"] + dt.timedelta(minutes=15)) for r in day.collect())
+    if len(days) > STRETCHES:
+        days = [(days[0][0], days[-1][1])]
+    kind = events.schema["time"].dataType
+    at = lambda moment: F.lit(moment.isoformat(sep=" ")).cast(kind)
+    inside = [(F.col("time") >= at(lo)) & (F.col("time") < at(hi)) for lo, hi in days]
+    return events.where(functools.reduce(Column.__or__, inside, F.lit(False)))
+
+
+def recount_touched_buckets(
+    arrivals: DataFrame,
+    table: Callable[[], DataFrame],
+    counted: Callable[[DataFrame], DataFrame],
+    path: str,
+    checkpoint: str,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Keep the buckets at ``path`` right however late events come.
+
+    ``arrivals`` is the stream of new events, ``table`` reads the event table they are part of, ``counted`` is
+    ``count_feed`` or ``count_messages``. Each batch finds the buckets its events fall into, recounts just
+    those from the table, and writes them as a version of its own, which a repeated batch
+    replaces. ``current_buckets`` shows the newest version of each bucket. There is no lateness beyond which
+    an event is lost, and no state that grows with users. Events without a time are left out.
+    """
+
+    def recount(batch: DataFrame, number: int) -> None:
+        timed = batch.where(F.col("time").isNotNull())
+        touched = timed.select(quarter_hour("time").alias("ts")).distinct().persist()
+        try:
+            events = _in_touched_days(table(), touched).withColumn("ts", quarter_hour("time"))
+            found = counted(events.join(touched, "ts", "left_semi"))
+            found.hint("rebalance", F.col("date")).write.mode("overwrite").partitionBy("date").parquet(f"{path}/version={number}")
+        finally:
+            touched.unpersist()
+
+    writer = arrivals.writeStream.foreachBatch(recount).option("checkpointLocation", checkpoint)
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return writer.trigger(**trigger).start()
+
+
+def current_buckets(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
+    """The newest version of each bucket, of all days or from ``since`` on."""
+    versions = spark.read.option("basePath", path).parquet(f"{path}/version=*")
+    if since:
+        versions = versions.where(F.col("date") >= F.lit(since))
+    metrics = [c for c in versions.columns if c not in ("ts", "version")]
+    newest = F.max_by(F.struct(*metrics), "version").alias("row")
+    return versions.groupBy("ts").agg(newest).select("ts", "row.date", "row.hm", *[f"row.{c}" for c in metrics if c not in ("date", "hm")])
+
+
 def check_written_buckets(
     buckets: DataFrame,
     metrics: Sequence[str],
