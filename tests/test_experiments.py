@@ -90,6 +90,27 @@ def test_chi_square_tail(dof):
         assert found[0] == pytest.approx(wanted, rel=1e-4)
 
 
+def test_exact_mann_whitney(spark):
+    """Against all ways to choose the first arm's ranks; ties and large samples get no p-value."""
+    from itertools import combinations
+
+    for a, b in (([3, 1, 7], [2, 9, 8, 6]), ([1, 2, 3, 4], [5, 6, 7]), ([5], [1])):
+        got = abtest.mann_whitney_exact(arms(spark, a, b), "rev", "grp").first()
+        u = sum(x > y for x in a for y in b)
+        ways = [sum(r) - len(a) * (len(a) - 1) // 2 for r in combinations(range(len(a) + len(b)), len(a))]
+        far = max(u, len(a) * len(b) - u)
+        assert (got.n_a, got.n_b, got.u) == (len(a), len(b), u)
+        assert got.p_value == pytest.approx(min(1, 2 * sum(w >= far for w in ways) / len(ways)))
+    assert abtest.mann_whitney_exact(arms(spark, [1, 2], [2, 3]), "rev", "grp").first().p_value is None
+    assert abtest.mann_whitney_exact(arms(spark, range(101), range(200, 300)), "rev", "grp").first().p_value is None
+
+
+def test_exact_tail_approaches_the_normal_one():
+    u, n = 1300.0, 60
+    z = (abs(u - n * n / 2) - 0.5) / math.sqrt(n * n * (2 * n + 1) / 12)
+    assert abtest.exact_u_tail(u, n, n) == pytest.approx(math.erfc(z / math.sqrt(2)), rel=0.05)
+
+
 def test_bootstrap_spread_and_seed(spark):
     rng = np.random.default_rng(2)
     a, b = rng.lognormal(1, 1, 4000).round(2), rng.lognormal(1.02, 1, 3000).round(2)

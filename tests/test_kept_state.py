@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tidemark.operators import activity, alerts, cohorts, retention
+from tidemark.operators import activity, alerts, cohorts, distributions, retention
+from tidemark.session import CLUSTER_CONF
+from tidemark.sources import tables
 from tidemark.streaming import alerts as streams
 
 DAY = dt.date(2024, 3, 10)
@@ -94,6 +96,84 @@ def test_events_of_many_days_are_one_stretch(spark):
     assert plan.count("2023-") == 2
 
 
+# the stateful band check
+
+
+def buckets(spark, n, seed):
+    rng = np.random.default_rng(seed)
+    ts = pd.date_range("2024-03-09", periods=n, freq="15min")
+    frame = pd.DataFrame({"ts": ts, "views": rng.poisson(50, n).astype(float), "ctr": rng.random(n).round(3)})
+    frame.loc[n // 2, "views"] = 900.0
+    frame.loc[::11, "ctr"] = np.nan
+    return frame
+
+
+def test_checks_leave_with_their_bucket(spark, tmp_path):
+    """Buckets in several batches; each row as the newest of a table that ends with it."""
+    frame = buckets(spark, 40, 5)
+    path = str(tmp_path / "closed")
+    schema = "ts timestamp, views double, ctr double"
+    parts = [frame[:17], frame[17:18], frame[18:]]
+    plain = lambda row: (row.ts.to_pydatetime(), row.views, None if np.isnan(row.ctr) else row.ctr)
+    typed = [spark.createDataFrame([plain(r) for r in p.itertuples()], schema) for p in parts]
+    written(spark, path, [t.orderBy(F.desc("ts")) for t in typed])
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, CLUSTER_CONF[key])
+    try:
+        stream = streams.read_event_stream(spark, path, schema, files_per_batch=1)
+        out = str(tmp_path / "checks")
+        checks = streams.check_bucket_stream(stream, ["views", "ctr"])
+        streams.append_rows(checks, out, str(tmp_path / "checkpoint")).awaitTermination()
+    finally:
+        spark.conf.set(key, before)
+    got = {(r["metric"], r["ts"]): r for r in spark.read.parquet(out).collect()}
+    assert len(got) == 80 and got["views", frame["ts"][20].to_pydatetime()]["is_alert"]
+    whole = typed[0].unionByName(typed[1]).unionByName(typed[2])
+    for upto in (3, 5, 6, 8, 18, 20, 23, 39):
+        ended = whole.where(F.col("ts") <= F.lit(frame["ts"][upto].to_pydatetime()))
+        for want in alerts.latest_checks(alerts.anomaly_bands(ended, ["views", "ctr"])).collect():
+            mine = got[want["metric"], want["ts"]]
+            for c in ("value", "previous", "low", "high", "change"):
+                a, b = (np.nan if r[c] is None else r[c] for r in (mine, want))
+                assert a == pytest.approx(b, nan_ok=True), (upto, want["metric"], c)
+            assert mine["is_alert"] == want["is_alert"]
+
+
+# lookups and sketches of values
+
+
+def test_a_lookup_reads_a_few_row_groups(spark, tmp_path):
+    path = str(tmp_path / "copy")
+    df = spark.range(200_000).selectExpr("xxhash64(id) % 20000 AS k", "id AS v")
+    tables.write_clustered(df, path, "k", row_group_bytes=1 << 16)
+    one = df.first()["k"]
+    found = spark.read.parquet(path).where(F.col("k") == one)
+    assert found.count() == df.where(F.col("k") == one).count()
+    metrics = {}
+    plan = found._jdf.queryExecution().executedPlan()
+    found._jdf.queryExecution().toRdd().count()
+    leaves = plan.collectLeaves()
+    for i in range(leaves.size()):
+        metrics[i] = leaves.apply(i).metrics().apply("numOutputRows").value()
+    assert 0 < sum(metrics.values()) <= 20_000
+
+
+def test_value_sketches_of_days(spark):
+    feed = events(spark, 30_000, 10).withColumn("value", F.abs(F.hash("time", "user_id") % 100_000) / 100)
+    feed = feed.unionByName(feed.limit(5).withColumn("value", F.lit(float("nan"))))
+    kept = distributions.daily_value_sketches(feed, "value", "time", ["source"])
+    assert kept.count() == 20
+    for got in distributions.describe_sketches(kept, ["source"]).collect():
+        values = np.array([r["value"] for r in feed.where(F.col("source") == got["source"]).collect()])
+        values = np.sort(values[~np.isnan(values)])
+        assert (got["count"], got["min"], got["max"]) == (len(values), values[0], values[-1])
+        assert got["mean"] == pytest.approx(values.mean())
+        for q, share in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
+            assert abs(np.searchsorted(values, got[q]) / len(values) - share) <= distributions.RANK_ERROR
+        assert got["whisker_low"] >= got["min"] and got["whisker_high"] <= got["max"]
+
+
 # retention
 
 

@@ -29,13 +29,22 @@ def zero_sum(c: Column | str) -> Column:
     return F.coalesce(F.sum(col(c)), F.lit(0))
 
 
-def money_sum(c: Column | str) -> Column:
-    """Sum of an amount with up to 18 decimals, below 10^20; 0 when there is nothing to add.
+def money(c: Column | str) -> Column:
+    """An amount with up to 18 decimals, below 10^20, as a decimal.
 
-    Added up as decimals, so the total does not depend on the order in which partial sums
-    arrive and a repeated task gives the same value.
+    Sums of it don't depend on the order in which partial sums arrive, so a repeated task gives the same value.
+    Sums of sums stay decimals; only the last one is made a double, by ``as_double``.
     """
-    return F.coalesce(F.sum(col(c).cast("decimal(38,18)")).cast("double"), F.lit(0.0))
+    return col(c).cast("decimal(38,18)")
+
+
+def as_double(total: Column) -> Column:
+    return F.coalesce(total.cast("double"), F.lit(0.0))
+
+
+def money_sum(c: Column | str) -> Column:
+    """Sum of an amount as a double, added up as decimals; 0 when there is nothing to add."""
+    return as_double(F.sum(money(c)))
 
 
 def not_in(c: Column | str, values: Iterable) -> Column:

@@ -218,6 +218,45 @@ def mann_whitney(
     )
 
 
+#: Largest product of both sizes for which the exact distribution is worked out.
+EXACT_CELLS = 10_000
+
+
+def exact_u_tail(u: float, n_a: int, n_b: int) -> float:
+    """Two-sided probability of a U at least as far from its middle, when all orders of n_a + n_b values are alike likely.
+
+    ways[k] counts the orders with U = k, built up by adding one value of the first arm after the other.
+    """
+    ways = [1] + [0] * (n_a * n_b)
+    for i in range(1, n_a + 1):  # the Gaussian binomial: times (1 - q^(n_b + i)) over (1 - q^i)
+        for k in range(n_a * n_b, n_b + i - 1, -1):
+            ways[k] -= ways[k - n_b - i]
+        for k in range(i, n_a * n_b + 1):
+            ways[k] += ways[k - i]
+    far = int(max(u, n_a * n_b - u))
+    return min(1.0, 2 * sum(ways[far:]) / sum(ways))
+
+
+def mann_whitney_exact(
+    df: DataFrame, value: str, group: str, arms: Sequence[str] = ("A", "B")
+) -> DataFrame:
+    """``n_a, n_b, u, p_value`` of the exact two-sided Mann-Whitney test, for small samples without ties.
+
+    Samples with ties, or whose sizes multiply to more than EXACT_CELLS, have no p-value (null): the normal
+    approximation of ``mann_whitney`` is meant for these.
+    """
+    test = mann_whitney(df, value, group, arms)
+    small = (F.col("ties") == 0) & (F.col("n_a") * F.col("n_b")).between(1, EXACT_CELLS)
+
+    @F.pandas_udf("double")
+    def tail(u: pd.Series, n_a: pd.Series, n_b: pd.Series, small: pd.Series) -> pd.Series:
+        rows = zip(u, n_a, n_b, small)
+        return pd.Series([exact_u_tail(x, int(a), int(b)) if s else None for x, a, b, s in rows], dtype="float64")
+
+    exact = tail("u", "n_a", "n_b", F.coalesce(small, F.lit(False)))
+    return test.select("n_a", "n_b", "u", exact.alias("p_value"))
+
+
 # bootstrap
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import ratio, zero_sum
 
+# fixed values: names of columns and metrics
 TOTALS = [
     "Impressions",
     "Clicks",

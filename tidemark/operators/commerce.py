@@ -102,11 +102,24 @@ def product_weekday_mode(items: DataFrame, orders: DataFrame) -> DataFrame:
 
 def orders_per_week(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """Successful orders per customer and month, and their mean number per week of the month."""
+    return purchases_per_week(purchases(customers, orders))
+
+
+def purchases(customers: DataFrame, orders: DataFrame) -> DataFrame:
+    """customer_unique_id, order_id, order_purchase_timestamp of the successful orders.
+
+    Written by ``sources.tables.write_clustered``, one customer's rows are found without reading the others'.
+    """
+    timed = customer_orders(customers, successful(orders)).where(F.col("order_purchase_timestamp").isNotNull())
+    return timed.select("customer_unique_id", "order_id", "order_purchase_timestamp")
+
+
+def purchases_per_week(purchased: DataFrame) -> DataFrame:
+    """``orders_per_week`` from the rows of ``purchases``."""
     month = month_start("order_purchase_timestamp").alias("month")
     days = F.day(F.last_day("month"))
     return (
-        customer_orders(customers, successful(orders))
-        .where(F.col("order_purchase_timestamp").isNotNull())
+        purchased
         .groupBy("customer_unique_id", month)
         .agg(F.count("order_id").alias("count_orders"))
         .withColumn("count_of_days", days)

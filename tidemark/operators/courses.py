@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import money_sum, ratio, time_range, zero_sum
+from tidemark.functions.exprs import money_sum, ratio, zero_sum
 
 
 def solved() -> Column:
@@ -22,12 +22,17 @@ def in_math() -> Column:
     return F.col("subject") == "Math"
 
 
-def diligent_students(peas: DataFrame, month: dt.date, at_least: int = 20) -> DataFrame:
-    """One row: students with at least ``at_least`` correct tasks in the calendar month."""
-    start = month.replace(day=1)
-    end = (start + dt.timedelta(days=32)).replace(day=1)
+def diligent_students(peas: DataFrame, month: dt.date | str, at_least: int = 20) -> DataFrame:
+    """One row: students with at least ``at_least`` correct tasks in the calendar month.
+
+    ``month`` is any day of it, as a date or as text (yyyy-MM-dd), which Spark casts. The limits are constants, so
+    they reach the file scan.
+    """
+    kind = peas.schema["timest"].dataType
+    start = F.trunc(F.lit(month).cast("date"), "MM")
+    inside = (F.col("timest") >= start.cast(kind)) & (F.col("timest") < F.add_months(start, 1).cast(kind))
     return (
-        time_range(peas, "timest", start, end)
+        peas.where(inside)
         .where(solved())
         .groupBy("st_id")
         .agg(F.count(F.lit(1)).alias("solved"))

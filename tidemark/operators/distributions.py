@@ -131,3 +131,53 @@ def histogram_bins(
         .agg(_rows(weight).alias("n"))
         .orderBy("bin")
     )
+
+
+# distributions of any set of days, from one sketch a day
+
+#: Size of a quantile sketch, and how far the rank of what it returns may be off, as a share of all rows.
+SKETCH_SIZE = 800
+RANK_ERROR = 1.5 * 2.296 / SKETCH_SIZE**0.9021
+
+
+def daily_value_sketches(df: DataFrame, value: str, time: str, by: Sequence[str] = ()) -> DataFrame:
+    """date, by.., sketch, count, total, min, max of each day: to be stored and merged over any set of days."""
+    number = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
+    rows = df.select(*by, F.to_date(time).alias("date"), number.alias("value")).where(F.col("value").isNotNull())
+    return rows.groupBy("date", *by).agg(
+        F.kll_sketch_agg_double("value", F.lit(SKETCH_SIZE)).alias("sketch"),
+        F.count("value").alias("count"),
+        F.sum("value").alias("total"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+
+
+def describe_sketches(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """by.., count, mean, min, q25, q50, q75, max and the ends of whiskers of the days in ``sketches``.
+
+    Count, mean, minimum and maximum are exact. The rank of a quartile is off by RANK_ERROR at most. Whiskers reach
+    1.5 interquartile ranges, or to the extremes if these are nearer.
+    """
+    merged = sketches.groupBy(*by).agg(
+        F.kll_merge_agg_double("sketch").alias("sketch"),
+        F.sum("count").alias("count"),
+        F.sum("total").alias("total"),
+        F.min("min").alias("min"),
+        F.max("max").alias("max"),
+    )
+    shares = F.array(*[F.lit(q) for q in (0.25, 0.5, 0.75)])
+    found = merged.withColumn("q", F.kll_sketch_get_quantile_double("sketch", shares))
+    q1, q2, q3 = (F.col("q")[i] for i in range(3))
+    return found.select(
+        *by,
+        "count",
+        (F.col("total") / F.col("count")).alias("mean"),
+        "min",
+        q1.alias("q25"),
+        q2.alias("q50"),
+        q3.alias("q75"),
+        "max",
+        F.greatest(q1 - 1.5 * (q3 - q1), "min").alias("whisker_low"),
+        F.least(q3 + 1.5 * (q3 - q1), "max").alias("whisker_high"),
+    )

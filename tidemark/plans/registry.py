@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +25,8 @@ from tidemark.operators import (
 from tidemark.operators import cohorts as cohort_tables
 from tidemark.operators import rfm as segments
 from tidemark.plans import jobs
-from tidemark.session import scratch_path, stage
-from tidemark.sources import files, fixtures, profile, sinks
+from tidemark.session import CLUSTER_CONF, scratch_path, stage
+from tidemark.sources import files, fixtures, profile, sinks, tables
 from tidemark.sources.fixtures import AS_OF, CUSTOMER, NOW
 from tidemark.streaming import alerts as streams
 
@@ -350,6 +351,14 @@ def customer_history(t: Tables) -> DataFrame:
     return commerce.customer_history(commerce.orders_per_week(t.customers, t.orders_ds), CUSTOMER)
 
 
+@query
+def customer_history_lookup(t: Tables) -> DataFrame:
+    """The same from a copy in order of customers, of which only the customer's row groups are read."""
+    path = scratch_path(t.spark, "purchases")
+    tables.write_clustered(commerce.purchases(t.customers, t.orders_ds), path, "customer_unique_id")
+    return commerce.customer_history(commerce.purchases_per_week(t.spark.read.parquet(path)), CUSTOMER)
+
+
 @query
 def order_span(t: Tables) -> DataFrame:
     return commerce.order_span(t.customers, t.orders_ds)
@@ -506,6 +515,28 @@ def rev_histogram_payers(t: Tables) -> DataFrame:
     return distributions.histogram(_paying(t), "rev", 50, ["grp"], "times")
 
 
+@query
+def rev_describe_sketch(t: Tables) -> DataFrame:
+    """Quartiles of merged daily sketches: exact counts, and whether each quartile's rank is near enough."""
+    sales = t.final_project_check
+    kept = stage(distributions.daily_value_sketches(sales, "money", "sale_time", ["subject"]), "value-sketches")
+    found = []
+    for days in (7, 30):
+        since = days_before(AS_OF, days)
+        described = distributions.describe_sketches(kept.where(F.col("date").between(since, AS_OF)), ["subject"])
+        inside = time_range(sales, "sale_time", since, days_before(AS_OF, -1)).where(F.col("money").isNotNull())
+        ranks = inside.join(described, "subject").groupBy("subject", "count", "mean", "min", "max")
+        near = [
+            (
+                (F.avg((F.col("money") < F.col(q)).cast("int")) <= share + distributions.RANK_ERROR)
+                & (F.avg((F.col("money") <= F.col(q)).cast("int")) >= share - distributions.RANK_ERROR)
+            ).alias(f"{q}_agrees")
+            for q, share in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
+        ]
+        found.append(ranks.agg(*near).withColumn("days", F.lit(days)))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 @query
 def ab_group_metrics(t: Tables) -> DataFrame:
     return abtest.recalculated_metrics(t.groups, t.groups_add, t.active_studs, t.checks)
@@ -536,6 +567,12 @@ def mann_whitney_payers(t: Tables) -> DataFrame:
     return abtest.mann_whitney(_paying(t), "rev", "grp", weight="times")
 
 
+@query
+def mann_whitney_exact(t: Tables) -> DataFrame:
+    """Two regions by their nations' revenue: few values, none of which are alike."""
+    return abtest.mann_whitney_exact(t.nation_revenue, "revenue", "region", ("ASIA", "EUROPE"))
+
+
 @query
 def mann_whitney_ranged(t: Tables) -> DataFrame:
     arms = ("view", "click")
@@ -574,6 +611,36 @@ def diligent_students(t: Tables) -> DataFrame:
     return courses.diligent_students(t.peas, AS_OF)
 
 
+@query
+def diligent_students_text(t: Tables) -> DataFrame:
+    """The month as text, and times that come as text."""
+    path = scratch_path(t.spark, "peas-csv")
+    files_of = t.peas.withColumn("timest", F.date_format("timest", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    files_of.write.csv(path, header=True)
+    text = files.read_csv(t.spark, path, "st_id bigint, timest string, correct boolean, subject string")
+    return courses.diligent_students(files.parse_times(text, ["timest"]), AS_OF.isoformat())
+
+
+@query
+def catalog_matrix(t: Tables) -> DataFrame:
+    """A table of the catalog, read for a week; tasks by subject and day as a matrix, written as CSV and read back."""
+    name = f"peas_{uuid.uuid4().hex}"
+    with_day = t.peas.withColumn("day", F.to_date("timest"))
+    sinks.write_daily_table(with_day, name, "day")
+    week = (days_before(AS_OF, 7), AS_OF)
+    try:
+        rows = tables.read_table(t.spark, name, ["subject", "day"], "timest", *week, day="day")
+        shown = [days_before(AS_OF, back).isoformat() for back in range(7, 0, -1)]
+        dated = rows.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+        tasks = dated.groupBy("subject").pivot("day", shown).count()
+        path = scratch_path(t.spark, "matrix-csv")
+        sinks.write_csv(tasks.coalesce(1), path)
+    finally:
+        t.spark.sql(f"DROP TABLE IF EXISTS {name}")
+    schema = "subject string, " + ", ".join(f"`{day}` bigint" for day in shown)
+    return files.read_csv(t.spark, path, schema)
+
+
 @query
 def funnel_metrics(t: Tables) -> DataFrame:
     return courses.funnel_metrics(t.studs, t.peas, t.final_project_check)
@@ -628,6 +695,22 @@ def stream_late_buckets(t: Tables) -> DataFrame:
     return streams.current_buckets(t.spark, path)
 
 
+@query
+def stream_alerts_stateful(t: Tables) -> DataFrame:
+    buckets = _written_feed_buckets(t)
+    path, checkpoint = scratch_path(t.spark, "checks"), scratch_path(t.spark, "checks-checkpoint")
+    arriving = streams.read_event_stream(t.spark, buckets.inputFiles()[0].split("/date=")[0], buckets.schema)
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = t.spark.conf.get(key)
+    t.spark.conf.set(key, CLUSTER_CONF[key])
+    try:
+        checks = streams.check_bucket_stream(arriving, alerts.FEED_METRICS)
+        streams.append_rows(checks, path, checkpoint).awaitTermination()
+    finally:
+        t.spark.conf.set(key, before)
+    return t.spark.read.schema(checks.schema).parquet(path)
+
+
 @query
 def stream_alerts(t: Tables) -> DataFrame:
     return streams.check_written_buckets(_written_feed_buckets(t), alerts.FEED_METRICS, NOW)

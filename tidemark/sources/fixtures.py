@@ -39,6 +39,11 @@ FROM {{events}} WHERE event_type IN ('signup', 'error', 'purchase')""",
     "started_feed": f"SELECT user_id, ts AS time FROM {{events}} WHERE event_type IN ('view', 'click') AND {_STARTED}",
     "started_messages": f"""
 SELECT user_id, ts AS time FROM {{events}} WHERE event_type IN ('signup', 'error', 'purchase') AND {_STARTED}""",
+    "nation_revenue": """
+SELECT r_name AS region, n_name AS nation, sum(o_totalprice) AS revenue
+FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey
+     JOIN {region} ON n_regionkey = r_regionkey
+GROUP BY r_name, n_name""",
     "event_values": "SELECT event_type, value FROM {events} WHERE event_type IN ('view', 'click')",
     "peas": f"""
 SELECT user_id AS st_id, ts AS timest, event_id % 4 = 0 AS correct, {_SUBJECT}
@@ -124,6 +129,7 @@ def with_views(sql: str, *names: str) -> str:
         body = VIEWS[name].format(**{t: t for t in tables_of(name)})
         parts.append(f"{name} AS ({body})")
     joint = ",\n".join(parts)
-    if sql.lstrip().upper().startswith("WITH "):
-        return f"WITH {joint},\n{sql.lstrip()[5:]}"
+    for word in ("WITH RECURSIVE ", "WITH "):
+        if sql.lstrip().upper().startswith(word):
+            return f"{word}{joint},\n{sql.lstrip()[len(word):]}"
     return f"WITH {joint}\n{sql}"

@@ -59,3 +59,19 @@ def read_jdbc(
         "numPartitions": str(parts),
     }
     return spark.read.format("jdbc").options(url=url, dbtable=table, **split, **options).load()
+
+
+def write_clustered(df: DataFrame, path: str, key: str, row_group_bytes: int = 8 << 20, **options: str) -> None:
+    """Write ``df`` for lookups of single keys: in order of ``key``, with a Bloom filter for each row group.
+
+    A filter on ``key`` then skips files and row groups by their limits, and most of what is left by the
+    Bloom filter. Ranges are cut by rows, so a key with very many rows fills row groups of its own.
+    """
+    (
+        df.repartitionByRange(F.col(key))
+        .sortWithinPartitions(key)
+        .write.option(f"parquet.bloom.filter.enabled#{key}", "true")
+        .option("parquet.block.size", str(row_group_bytes))
+        .options(**options)
+        .parquet(path)
+    )

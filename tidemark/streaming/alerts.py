@@ -6,10 +6,13 @@ import datetime as dt
 import functools
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from tidemark.functions.exprs import quarter_hour, ratio, round_even, time_range
 from tidemark.operators.activity import is_like, is_view
@@ -180,3 +183,74 @@ def check_written_buckets(
     recent = buckets.where(F.col("date") >= F.lit(since))
     recent = time_range(recent, "ts", None, floor_quarter(now))
     return latest_checks(anomaly_bands(recent, metrics, a, n, edge))
+
+
+# the band check as a stateful operator: an alert leaves with the bucket that causes it
+
+CHECKED = "metric string, ts timestamp, value double, previous double, low double, high double, change double, is_alert boolean"
+
+
+class BandCheck(StatefulProcessor):
+    """Keeps the last buckets of a metric, as many as the newest one's band depends on.
+
+    The bounds of a row are quartiles of the ``n`` rows before it, widened by ``a`` times their distance, and are
+    averaged over the row and the (n - 1) // 2 before it, as ``anomaly_bands(edge="shrink")`` does for a newest row.
+    """
+
+    def __init__(self, a: float, n: int):
+        self.a, self.n = a, n
+
+    def init(self, handle) -> None:
+        self.kept = handle.getValueState("kept", "ts array<timestamp>, value array<double>")
+
+    def handleInputRows(self, key, rows, timerValues):
+        around = (self.n - 1) // 2
+        ts, values = [], []
+        if self.kept.exists():
+            ts, values = (list(x) for x in self.kept.get())
+        new = pd.concat(list(rows)).sort_values("ts")
+        out = []
+        for at, value in zip(new["ts"], new["value"].astype(float)):
+            if ts and pd.Timestamp(at) <= pd.Timestamp(ts[-1]):
+                continue
+            ts.append(at)
+            values.append(value)
+            seen = np.array(values, dtype=float)
+            lows, highs = [], []
+            for last in range(max(0, len(seen) - 1 - around), len(seen)):
+                before = seen[max(0, last - self.n) : last]
+                if len(before) == self.n and not np.isnan(before).any():
+                    q25, q75 = np.quantile(before, [0.25, 0.75])
+                    lows.append(q25 - self.a * (q75 - q25))
+                    highs.append(q75 + self.a * (q75 - q25))
+            low, high = (float(np.mean(x)) if x else None for x in (lows, highs))
+            previous = seen[-2] if len(seen) > 1 else np.nan
+            change = 1 - value / previous if previous else np.nan
+            out.append((key[0], at, value, previous, low, high, change, bool(lows) and bool(value < low or value > high)))
+            ts, values = ts[-self.n - around - 1 :], values[-self.n - around - 1 :]
+        if ts:
+            self.kept.update((ts, values))
+        yield pd.DataFrame(out, columns=["metric", "ts", "value", "previous", "low", "high", "change", "is_alert"])
+
+    def close(self) -> None:
+        pass
+
+
+def check_bucket_stream(buckets: DataFrame, metrics: Sequence[str], a: float = 4, n: int = 5) -> DataFrame:
+    """Every bucket of a stream of closed buckets against its band, for each metric, as soon as it comes.
+
+    Nothing is read again: the state is the last ``n + (n - 1) // 2 + 1`` buckets of a metric (8). Buckets have to
+    come in time order from batch to batch, in any order inside one; one that is not newer than those already
+    seen is left out. Needs the RocksDB state store.
+    """
+    values = [F.col(m).cast("double").alias(m) for m in metrics]
+    long = buckets.select(F.col("ts").cast("timestamp").alias("ts"), *values).unpivot("ts", list(metrics), "metric", "value")
+    return long.groupBy("metric").transformWithStateInPandas(
+        statefulProcessor=BandCheck(a, n), outputStructType=CHECKED, outputMode="append", timeMode="None"
+    )
+
+
+def append_rows(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append what a stream gives to the Parquet files at ``path``: all there is, then stop."""
+    writer = stream.writeStream.outputMode("append").format("parquet").option("path", path)
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
