@@ -111,6 +111,53 @@ def test_index_of_an_empty_table(spark):
 
 def test_pruning_keeps_diverse_edges():
     points = np.array([[0.0, 0], [1, 0], [1.1, 0], [0, 3]], np.float32)
-    norms = (points**2).sum(1)
-    got = ann.robust_prune(points, norms, np.array([0]), np.array([[1, 2, 3, 3, -1, 0]]), 3, 1.2)
+    got = ann.robust_prune(points, np.array([0]), np.array([[1, 2, 3, 3, -1, 0]]), 3, 1.2)
     assert got.tolist() == [[1, 3, -1]]
+
+
+def clustered(n, dims, clusters, spread, draw):
+    centres = draw.normal(size=(clusters, dims))
+    return (centres[draw.integers(0, clusters, n)] + spread * draw.normal(size=(n, dims))).astype(np.float32)
+
+
+def recall(spark, x, shard_rows, step=40, k=10):
+    df = ann.as_vectors(vectors(spark, [(i, [float(c) for c in v]) for i, v in enumerate(x)]))
+    got = ann.search_index(ann.build_index(df, k, shard_rows), df.where(f"vec_id % {step} = 0"), k).toPandas()
+    exact, hits, total = x.astype(float), 0, 0
+    size = np.abs(exact).max()
+    for q in range(0, len(x), step):
+        d = ((exact / size - exact[q] / size) ** 2).sum(1)
+        d[q] = np.inf
+        mine = got[got["query_id"] == q]
+        assert len(mine) == min(k, len(x) - 1)
+        worst = np.sort(d)[:k][-1] * (1 + 1e-9)
+        hits, total = hits + int((d[mine["vec_id"]] <= worst).sum()), total + k
+    return hits / total
+
+
+@pytest.mark.parametrize("clusters", [1, 10, 40, 100, 1000])
+def test_recall_on_clusters(spark, clusters):
+    x = clustered(6000, 32, clusters, 0.05, np.random.default_rng(clusters))
+    assert recall(spark, x, 2500) >= 0.9
+
+
+@pytest.mark.parametrize("change", [lambda x: x + 1000, lambda x: x * 0.1 + 100, lambda x: x * 1e20, lambda x: x * 1e-30])
+def test_recall_with_offsets_and_sizes(spark, change):
+    x = change(clustered(1500, 16, 20, 0.3, np.random.default_rng(3)).astype(float)).astype(np.float32)
+    assert recall(spark, x, 800) >= 0.9
+
+
+def test_doubles_that_square_beyond_a_double():
+    far = ann.exact_distances(np.array([[[1e200, 0.0], [0.0, 0.0], [3e-200, 4e-200]]]), np.zeros((1, 2)))
+    assert far.tolist()[0] == pytest.approx([1e200, 0.0, 5e-200])
+
+
+def test_scores_beyond_a_long(spark):
+    rows = [(50, [2e7, 2e7, 1.0]), (51, [3e7, 1e7, 0.0]), (52, [1e10, 0.0, 0.0]), (53, [-1e15, 0.0, 0.0]), (54, [1e30, 1e30, 0.0])]
+    df = whole(vectors(spark, rows))
+    got = {r["vec_id"]: (r["rank"], r["score"]) for r in topk.top_k(df, df.where("vec_id = 50"), 5).collect()}
+    plain = lambda v: [min(int(np.floor(256 * float(np.float32(c)))), 2**63) for c in v]
+    score = {i: sum(a * b for a, b in zip(plain(rows[0][1]), plain(v))) for i, v in rows[1:]}
+    order = sorted(score, key=lambda i: (-score[i], i))
+    limit = 2**63 - 1
+    assert {i: (order.index(i) + 1, min(max(score[i], -limit), limit)) for i in score} == got

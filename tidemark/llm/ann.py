@@ -2,8 +2,10 @@
 
 A shard's graph is built in batches: greedy searches over the graph so far propose neighbours, pruning
 keeps a candidate unless a kept one is closer to it by the factor ALPHA than the node is, and links
-are returned by the neighbours, which prune again when full. All searches and prunings of a batch run
-in step as array operations. Every block of queries searches every shard. Identical vectors are one node.
+are returned by the neighbours, which prune again when full. Candidates are all nodes that the search went through,
+not only the nearest, and each node has some random links that are never pruned, so a search leaves a cluster that
+it got into by chance. All searches and prunings of a batch run in step as array operations. Every block of
+queries searches every shard from several nodes. Identical vectors are one node.
 """
 
 from __future__ import annotations
@@ -20,37 +22,60 @@ from tidemark.session import stage
 SHARD_ROWS = 4096
 QUERY_ROWS = 1 << 14
 DEGREE, BEAM, ALPHA = 24, 48, 1.2
+#: Random links of each node, and nodes that a search starts from.
+LONG, ENTRIES = 8, 8
 BATCH = 256
 
 
-def _distances(points: np.ndarray, norms: np.ndarray, queries: np.ndarray, at: np.ndarray) -> np.ndarray:
+def levelled(points: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both as float32, moved to the points' mean and scaled to their largest entry.
+
+    So neither a common offset nor the size of entries costs digits or overflows. Distances for the
+    results are worked out from the vectors themselves, in doubles.
+    """
+    size = np.abs(points).max(initial=0) or 1.0
+    middle = (points / size).mean(0)
+    spread = np.abs(points / size - middle).max(initial=0) or 1.0
+    return tuple(((x / size - middle) / spread).astype(np.float32) for x in (points, others))
+
+
+def _distances(points: np.ndarray, queries: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Squared distances of queries (b, d) to the points (b, m); -1 stands for none."""
-    dot = np.matmul(points[at], queries[:, :, None])[:, :, 0]
-    out = norms[at] - 2 * dot + np.einsum("bd,bd->b", queries, queries)[:, None]
-    return np.where(at < 0, np.inf, out)
+    away = points[at] - queries[:, None, :]
+    return np.where(at < 0, np.inf, np.einsum("bmd,bmd->bm", away, away))
+
 
+def entries(entry: int, n: int) -> np.ndarray:
+    """Where searches start: ``entry`` and others spread over the nodes."""
+    return np.unique(np.append(np.linspace(0, n - 1, ENTRIES).astype(np.int64), entry))
 
-def beam_search(points, norms, links, entry: int, queries, beam: int):
-    """(ids, squared distances), nearest first, of the ``beam`` best nodes a greedy search finds."""
+
+def beam_search(points, links, entry: int, queries, beam: int):
+    """(ids, squared distances) of the ``beam`` best nodes a greedy search finds, nearest first, and the nodes it went through."""
     b, rows = len(queries), np.arange(len(queries))
+    starts = entries(entry, len(points))[:beam]
     ids = np.full((b, beam), -1)
     dist = np.full((b, beam), np.inf)
-    ids[:, 0] = entry
-    dist[:, 0] = _distances(points, norms, queries, ids[:, :1])[:, 0]
+    ids[:, : len(starts)] = starts
+    dist[:, : len(starts)] = _distances(points, queries, ids[:, : len(starts)])
     done = np.zeros((b, beam), bool)
     seen = np.zeros((b, len(points) + 1), bool)  # the last column takes the missing links
-    seen[:, entry] = seen[:, -1] = True
+    seen[:, starts] = seen[:, -1] = True
+    through: list[np.ndarray] = []
     while True:
         todo = np.where(done, np.inf, dist)
         nearest = todo.argmin(1)
         active = rows[todo[rows, nearest] < np.inf]
         if not len(active):
-            return ids, dist
+            return ids, dist, np.stack(through, 1) if through else ids[:, :0]
         done[active, nearest[active]] = True
-        next_ = links[ids[active, nearest[active]]]
+        step = np.full(b, -1)
+        step[active] = ids[active, nearest[active]]
+        through.append(step)
+        next_ = links[step[active]]
         new = np.where(seen[active[:, None], next_], -1, next_)
         seen[active[:, None], next_] = True
-        d = _distances(points, norms, queries[active], new)
+        d = _distances(points, queries[active], new)
         every = np.concatenate([dist[active], d], 1)
         best = np.argsort(every, 1, kind="stable")[:, :beam]
         dist[active] = np.take_along_axis(every, best, 1)
@@ -59,7 +84,7 @@ def beam_search(points, norms, links, entry: int, queries, beam: int):
         done[active] = np.take_along_axis(old, best, 1)
 
 
-def robust_prune(points, norms, nodes: np.ndarray, pool: np.ndarray, degree: int, alpha: float) -> np.ndarray:
+def robust_prune(points, nodes: np.ndarray, pool: np.ndarray, degree: int, alpha: float) -> np.ndarray:
     """For each node up to ``degree`` of its candidates (b, m), nearest first; -1 fills the rest.
 
     The nearest one left is kept, and those are struck out to which it is closer than the node by the
@@ -68,11 +93,14 @@ def robust_prune(points, norms, nodes: np.ndarray, pool: np.ndarray, degree: int
     pool = np.where(pool == nodes[:, None], -1, pool)
     pool = np.sort(pool, 1)
     pool[:, 1:][pool[:, 1:] == pool[:, :-1]] = -1
-    dist = _distances(points, norms, points[nodes], pool)
+    dist = _distances(points, points[nodes], pool)
     order = np.argsort(dist, 1, kind="stable")
     pool, dist = np.take_along_axis(pool, order, 1), np.take_along_axis(dist, order, 1)
-    vectors = points[pool]
-    between = norms[pool][:, :, None] + norms[pool][:, None, :] - 2 * vectors @ vectors.transpose(0, 2, 1)
+    used = int((pool >= 0).sum(1).max(initial=1))  # none is left beyond
+    pool, dist = pool[:, :used], dist[:, :used]
+    away = points[pool] - points[nodes][:, None, :]  # seen from the node, so that near ones keep their digits
+    norms = np.einsum("bmd,bmd->bm", away, away)
+    between = norms[:, :, None] + norms[:, None, :] - 2 * away @ away.transpose(0, 2, 1)
     struck = ~np.isfinite(dist)
     out = np.full((len(nodes), degree), -1)
     rows = np.arange(len(nodes))
@@ -89,25 +117,24 @@ def robust_prune(points, norms, nodes: np.ndarray, pool: np.ndarray, degree: int
 
 
 def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA, seed: int = 9):
-    """(links, entry): for each point up to ``degree`` neighbours, -1 where there are fewer.
+    """(links, entry): for each point up to ``degree`` neighbours and LONG random links, -1 where there are fewer.
 
-    It starts from random links and passes over the points twice, first with factor 1 and then
-    with ``alpha``. Searches start at the point nearest to the mean.
+    It passes over the points twice, first with factor 1 and then with ``alpha``. Searches start at the
+    point nearest to the mean and at some others.
     """
-    points = points.astype(np.float32)  # exact distances are for the results
+    points, _ = levelled(points, points[:0])
     n, draw = len(points), np.random.default_rng(seed)
-    norms = np.einsum("nd,nd->n", points, points)
-    middle = points.mean(0)
-    entry = int(np.argmin(((points - middle) ** 2).sum(1)))
-    links = np.full((n, degree), -1)
+    entry = int(np.argmin((points**2).sum(1)))
+    links = np.full((n, degree + LONG), -1)
     if n > 1:
-        links[:, : min(8, degree)] = draw.integers(0, n, (n, min(8, degree)))
+        links[:, degree:] = draw.integers(0, n, (n, LONG))
         links[links == np.arange(n)[:, None]] = -1
+    near = links[:, :degree]
     for factor in (1.0, alpha):
         for batch in np.array_split(draw.permutation(n), -(-n // BATCH)):
-            found, _ = beam_search(points, norms, links, entry, points[batch], beam)
-            links[batch] = robust_prune(points, norms, batch, np.concatenate([found, links[batch]], 1), degree, factor)
-            to, back = links[batch].ravel(), np.repeat(batch, degree)
+            found, _, through = beam_search(points, links, entry, points[batch], beam)
+            near[batch] = robust_prune(points, batch, np.concatenate([found, through, near[batch]], 1), degree, factor)
+            to, back = near[batch].ravel(), np.repeat(batch, degree)
             order = np.argsort(to, kind="stable")
             to, back = to[order], back[order]
             to, back = to[to >= 0], back[to >= 0]
@@ -118,13 +145,21 @@ def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alph
                 now = (nth >= turn) & (nth < turn + 2 * degree)
                 some, row = np.unique(to[now], return_inverse=True)
                 pool = np.full((len(some), degree + 2 * degree), -1)
-                pool[:, :degree] = links[some]
+                pool[:, :degree] = near[some]
                 pool[row, degree + nth[now] - turn] = back[now]
                 for part in np.array_split(np.arange(len(some)), -(-len(some) // BATCH)):
-                    links[some[part]] = robust_prune(points, norms, some[part], pool[part], degree, factor)
+                    near[some[part]] = robust_prune(points, some[part], pool[part], degree, factor)
     return links, entry
 
 
+def exact_distances(points: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Euclidean distances in doubles of (b, m, d) to (b, d); scaled where squares would overflow or vanish."""
+    away = points - queries[:, None, :]
+    most = np.abs(away).max(2, initial=0)
+    scale = np.where((most > 1e150) | ((most < 1e-150) & (most > 0)), most, 1.0)
+    return scale * np.sqrt(((away / scale[:, :, None]) ** 2).sum(2))
+
+
 def _copies(vectors: DataFrame, most: int) -> DataFrame:
     """vector, ids, copies: each distinct vector with the ``most`` smallest ids it occurs under.
 
@@ -155,10 +190,11 @@ def _copies(vectors: DataFrame, most: int) -> DataFrame:
             )
 
     partial = vectors.mapInArrow(cut, "vector array<double>, ids array<long>, copies long")
-    return partial.groupBy("vector").agg(
-        F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, most).alias("ids"),
-        F.sum("copies").alias("copies"),
-    )
+    smallest = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, most).alias("ids")
+    copies = F.sum("copies").alias("copies")
+    # a list of each batch: first brought together in parts, then once more
+    part = F.pmod(F.xxhash64("ids"), F.lit(256)).alias("part")
+    return partial.groupBy("vector", part).agg(smallest, copies).groupBy("vector").agg(smallest, copies)
 
 
 def build_index(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -189,7 +225,7 @@ def search_index(
     """query_id, rank (from 1), vec_id, score: for each query the k nearest that the shards' beams find.
 
     ``score`` is the Euclidean distance in doubles. A query's own id is no candidate; ties go to the
-    smaller id. A vector's shards are those of its length. An id with several vectors is returned once, with the
+    smaller id. Entries may have any finite size. A vector's shards are those of its length. An id with several vectors is returned once, with the
     nearest of them, and as a query asks with each.
     """
     blocks = -(-max(1, queries.count()) // query_rows)
@@ -205,16 +241,15 @@ def search_index(
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         rows = rows.sort_values("node")
         points, links = np.stack(rows["vector"].to_numpy()), np.stack(rows["links"].to_numpy())
-        near = points.astype(np.float32)
-        norms, entry = np.einsum("nd,nd->n", near, near), int(rows["entry"].iloc[0])
+        near, entry = levelled(points, points[:0])[0], int(rows["entry"].iloc[0])
         names, out = rows["ids"].tolist(), []
         for part in np.array_split(np.arange(len(queries)), -(-len(queries) // BATCH)):
             some = queries.iloc[part]
             vectors, own = np.stack(some["vector"].to_numpy()), some["vec_id"].to_numpy()
             width = max(beam, k + 1)
             while len(vectors):
-                found, _ = beam_search(near, norms, links, entry, vectors.astype(np.float32), width)
-                score = np.sqrt(((points[found] - vectors[:, None, :]) ** 2).sum(2))
+                found, _, _ = beam_search(near, links, entry, levelled(points, vectors)[1], width)
+                score = exact_distances(points[found], vectors)
                 score[found < 0] = np.inf
                 short = []
                 for row, (q, nodes, d) in enumerate(zip(own, found, score)):

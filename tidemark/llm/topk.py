@@ -19,6 +19,10 @@ QUERY_ROWS = 1 << 14
 FIRST_DEPTH = 64
 
 
+#: Scores beyond it are given as it.
+LIMIT = (1 << 63) - 1
+
+
 def usable(vector: Column) -> Column:
     """Not null, with components that are all finite numbers."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -26,7 +30,7 @@ def usable(vector: Column) -> Column:
 
 
 def whole_components(vector: Column) -> Column:
-    """floor(256 * x) of each component, as a number without a fraction."""
+    """floor(256 * x) of each component, as a number without a fraction; beyond a long, the long's limit."""
     return F.transform(vector, lambda x: F.floor(F.lit(256.0) * x.cast("double")))
 
 
@@ -91,11 +95,11 @@ def _search(k: int):
             rows, asked = np.stack(vectors["vector"].to_numpy()), np.stack(queries["vector"].to_numpy())
             kind = _exact(rows, asked)
             if kind == object:
-                rows, asked = rows.astype(np.int64), asked.astype(np.int64)
+                rows, asked = (np.frompyfunc(int, 1, 1)(x) for x in (rows, asked))  # integers of any size
             shard = Shard(vectors["vec_id"].to_numpy(), rows.astype(kind))
             for own, query in zip(queries["vec_id"].to_numpy(), asked.astype(kind)):
                 ids, scores = shard.top(own, query, k)
-                out.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": [int(s) for s in scores]}))
+                out.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": [min(max(int(s), -LIMIT), LIMIT) for s in scores]}))
         if not out:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
         return pd.concat(out, ignore_index=True)
@@ -136,7 +140,8 @@ def top_k(
     Both tables have vec_id and ``vector``, an array of whole numbers. A query's own id is no candidate; ties
     go to the smaller id. Vectors of another length than the query's aren't compared with it. Rows
     that repeat an id and vector count once, as do rows without an id not at all. An id with several vectors is
-    returned once, with the best of them, and as a query asks with each.
+    returned once, with the best of them, and as a query asks with each. Scores are exact; one that a long can't hold
+    counts as the long's limit, and as tied with others of that kind from another shard.
     """
     known = [
         df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("vector").cast("array<double>").alias("vector"))
