@@ -1,10 +1,9 @@
-"""Bands and alerts against pandas, batch and stream."""
+"""Bands and alerts against their definition, batch and stream."""
 
 import datetime as dt
 import time
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
