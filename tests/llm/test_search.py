@@ -158,6 +158,7 @@ def test_scores_beyond_a_long(spark):
     got = {r["vec_id"]: (r["rank"], r["score"]) for r in topk.top_k(df, df.where("vec_id = 50"), 5).collect()}
     plain = lambda v: [min(int(np.floor(256 * float(np.float32(c)))), 2**63) for c in v]
     score = {i: sum(a * b for a, b in zip(plain(rows[0][1]), plain(v))) for i, v in rows[1:]}
-    order = sorted(score, key=lambda i: (-score[i], i))
     limit = 2**63 - 1
-    assert {i: (order.index(i) + 1, min(max(score[i], -limit), limit)) for i in score} == got
+    score = {i: min(max(s, -limit), limit) for i, s in score.items()}
+    order = sorted(score, key=lambda i: (-score[i], i))
+    assert {i: (order.index(i) + 1, score[i]) for i in score} == got

@@ -63,6 +63,8 @@ class Shard:
             new = np.flatnonzero(fresh)
             new = new[self.ids[new] != own]
             got = self.vectors[new] @ query
+            if got.dtype == object:
+                got = np.clip(got, -LIMIT, LIMIT)
             if len(best) == k:
                 near = got >= score[-1]
                 new, got = new[near], got[near]
@@ -99,7 +101,7 @@ def _search(k: int):
             shard = Shard(vectors["vec_id"].to_numpy(), rows.astype(kind))
             for own, query in zip(queries["vec_id"].to_numpy(), asked.astype(kind)):
                 ids, scores = shard.top(own, query, k)
-                out.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": [min(max(int(s), -LIMIT), LIMIT) for s in scores]}))
+                out.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": [int(s) for s in scores]}))
         if not out:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
         return pd.concat(out, ignore_index=True)
@@ -141,7 +143,7 @@ def top_k(
     go to the smaller id. Vectors of another length than the query's aren't compared with it. Rows
     that repeat an id and vector count once, as do rows without an id not at all. An id with several vectors is
     returned once, with the best of them, and as a query asks with each. Scores are exact; one that a long can't hold
-    counts as the long's limit, and as tied with others of that kind from another shard.
+    counts as the long's limit, and so as tied with others of that kind.
     """
     known = [
         df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("vector").cast("array<double>").alias("vector"))
