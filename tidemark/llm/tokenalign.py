@@ -29,7 +29,9 @@ from tidemark.session import stage
 #: Bytes of text in a block, unless one document alone has more.
 BLOCK = 1 << 21
 #: Distinct units whose alignment a task remembers; beyond it, it starts afresh.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
+#: Units that are encoded at a time, and how many of them stand in a row.
+STRETCH, ROW = 1 << 13, 128
 #: Bits of an id pair's key that hold the second id.
 SHIFT = 20
 #: A blank that ends a token in either vocabulary: what stands before it is neither white space nor a control.
@@ -72,6 +74,7 @@ class Pair:
         names = {i: name for name, i in self.a.get_vocab(with_added_tokens=False).items()}
         spelled = [bytes(letters[c] for c in names.get(i, "")) for i in range(max(names) + 1)]
         self.a_bytes = pa.array(spelled, pa.binary())
+        self.a_length = np.array([len(x) for x in spelled])
 
         self.b = sentencepiece.SentencePieceProcessor(model_proto=files.b_model)
         pieces = []
@@ -85,11 +88,32 @@ class Pair:
         if kind.get("type") != "ByteLevel" or not kind.get("use_regex", True) or inner:
             raise ValueError("texts can't be cut at blanks for these vocabularies")
 
-    def encode(self, units: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
+    def encode(self, units: pa.Array) -> tuple[pa.ListArray, pa.ListArray]:
         """Ids of blank + unit in A, and of the unit in B, which adds the blank itself."""
-        a = [e.ids for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
-        b = self.b.encode(units, num_threads=1) if units else []
-        return pa.array(a, pa.list_(pa.int64())), pa.array(b, pa.list_(pa.int64()))
+        a, b = [], []
+        for start in range(0, len(units), STRETCH):
+            some = units.slice(start, STRETCH)
+            texts = some.to_pylist()
+            a.append(self._encode_row(texts, np.asarray(pc.binary_length(some)).astype(np.int64) + 1))
+            b.append(pa.array(self.b.encode(texts, num_threads=1), pa.list_(pa.int64())))
+        none = pa.array([], pa.list_(pa.int64()))
+        return pa.concat_arrays([*a, none]), pa.concat_arrays([*b, none])
+
+    def _encode_row(self, texts: list[str], sizes: np.ndarray) -> pa.ListArray:
+        """Ids of each blank + text in A, whose sizes in bytes are given.
+
+        Many texts in a row are encoded as one, which costs less than each by itself. Tokens that end with
+        every text are those that each would have alone; if not all do, each is encoded alone.
+        """
+        rows = [" " + " ".join(texts[i : i + ROW]) for i in range(0, len(texts), ROW)]
+        encoded = self.a.encode_batch_fast(rows, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.int64) for e in encoded])
+        ends, texts_end = np.cumsum(self.a_length[ids]), np.cumsum(sizes)
+        cut = np.searchsorted(ends, texts_end, "right")
+        if not (ends[np.maximum(cut - 1, 0)] == texts_end).all():
+            alone = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+            return pa.array(alone, pa.list_(pa.int64()))
+        return pa.ListArray.from_arrays(np.append(0, cut).astype(np.int32), pa.array(ids))
 
     def look_up(self, units: pa.Array) -> np.ndarray:
         """The place in ``known`` of each of the distinct ``units``; new ones are aligned first."""
@@ -142,7 +166,7 @@ class Units:
 
 def align_units(units: pa.Array, pair: Pair) -> Units:
     """Tokenise and align distinct units, all of them in one set of Arrow operations."""
-    a, b = pair.encode(units.to_pylist())
+    a, b = pair.encode(units)
     want = pc.binary_join_element_wise(pa.scalar(b" "), units.cast(pa.binary()), pa.scalar(b""))
     good = np.asarray(pc.and_(pc.equal(_spelled(a, pair.a_bytes), want), pc.equal(_spelled(b, pair.b_bytes), want)))
     a, b = (pc.if_else(pa.array(good), x, pa.scalar([], x.type)) for x in (a, b))
@@ -283,6 +307,7 @@ def align(docs: DataFrame, files: Vocabularies) -> DataFrame:
                 number += 1
                 names = ["row", *found]
                 yield pa.RecordBatch.from_arrays([batch.column("row").slice(start, stop - start), *found.values()], names)
+                pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(run, schema)
 
