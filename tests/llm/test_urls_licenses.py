@@ -7,7 +7,7 @@ import pytest
 from plain import AWKWARD, SCHEMA, documents
 from pyspark.sql import functions as F
 
-from tidemark.llm import licenses, urls
+from tidemark.llm import licenses, queries, urls
 
 
 def pages(spark, rows):
@@ -63,6 +63,34 @@ def test_alike_siblings_merge(spark):
     assert {r["merged"] for r in found.collect()} == {"/{}/*"}
 
 
+def test_the_tree_decides_pages_beyond_the_rules(spark):
+    """A branch without labels goes with its labelled siblings if it has about as many pages."""
+    rows = [f"http://example.com/{lang}/{i}" for lang in ("de", "fr", "es") for i in range(18)]
+    rows += [f"http://example.com/it/{i}" for i in range(60)] + ["http://www.other.com/de/1"]
+    got = urls.filter_urls(pages(spark, rows)).collect()
+    verdict = {r["url"].split("/")[2:4][0] + "/" + r["url"].split("/")[3]: (r["rule"], r["verdict"]) for r in got}
+    assert verdict["example.com/de"] == ("example.com/de/", "block")
+    assert verdict["example.com/fr"] == verdict["example.com/es"] == (None, "block")
+    assert verdict["example.com/it"] == verdict["www.other.com/de"] == (None, "allow")
+
+
+def test_the_tree_decides_some_pages_of_the_test_table(spark):
+    got = queries.op6_url_filter(spark, "/root/testdata/sf0.1").where("rule IS NULL").groupBy("verdict").count()
+    count = {r["verdict"]: r["count"] for r in got.collect()}
+    assert count["block"] > 0 and count["allow"] > 0
+
+
+def test_columns_of_any_name(spark):
+    table = spark.createDataFrame([(1, "http://a.net/x", 5, "k", "v")], "page_id long, url string, rejected int, says string, row string")
+    row = urls.filter_urls(table).first()
+    assert (row["rejected"], row["says"], row["row"], row["verdict"]) == (5, "k", "v", "block")
+
+
+def test_no_cross_or_nested_loop_join(spark):
+    plan = queries.op6_url_filter(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_no_pages(spark):
     assert urls.filter_urls(pages(spark, [])).collect() == []
 

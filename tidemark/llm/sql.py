@@ -112,18 +112,21 @@ WITH rest AS (
   SELECT *, parts[1:{urls.LEVELS}] AS s, '' AS template FROM nodes{levels}
 ), tree AS (
   SELECT *, regexp_replace(whole, '[^/*{{}}]+((/[*]+)*)$', '{{}}\\1') AS sibling
-  FROM (SELECT host, path, known, bad,
+  FROM (SELECT host, path, pages, known, bad,
                template || CASE WHEN len(parts) > {urls.LEVELS} THEN '/**' ELSE '' END AS whole
         FROM tree{urls.LEVELS})
 ), branches AS (
-  SELECT host, whole, any_value(sibling) AS sibling, sum(known) AS known, sum(bad) AS bad FROM tree
+  SELECT host, whole, any_value(sibling) AS sibling, sum(pages) AS pages, sum(known) AS known, sum(bad) AS bad FROM tree
   GROUP BY host, whole
 ), compared AS (
-  SELECT *, sum(known) OVER w AS all_known, sum(bad) OVER w / sum(known) OVER w AS mean FROM branches
+  SELECT *, sum(known) OVER w AS all_known, sum(bad) OVER w / nullif(sum(known) OVER w, 0) AS mean,
+         avg(CASE WHEN known > 0 THEN pages END) OVER w AS usual
+  FROM branches
   WINDOW w AS (PARTITION BY host, sibling)
 ), named AS (
   SELECT *, CASE WHEN known > 0 AND abs(bad / known - mean)
       <= {urls.ERRORS} * sqrt(mean * (1 - mean) * (1 / known - 1 / all_known)) + 1e-9
+      OR known = 0 AND (pages - usual) * (pages - usual) <= {urls.ERRORS**2} * (pages + usual)
     THEN sibling ELSE whole END AS merged
   FROM compared
 ), pure AS (

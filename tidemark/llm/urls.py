@@ -1,8 +1,9 @@
 """URL filters: rules on hosts and paths, and a tree of path templates learnt for each host.
 
 Segments of a path that vary become wildcards, level by level; sibling templates whose labelled purity can't be
-told apart become one; a template is rejected if the smoothed share of bad pages among its
-labelled ones is high. Labels are the verdicts of the rules, or a table of (page_id, bad).
+told apart become one, as do those without labels whose number of pages can't be told apart from their labelled
+siblings'; a template is rejected if the smoothed share of bad pages among its labelled ones is high. So what is
+known of some branches reaches those beside them. Labels are the verdicts of the rules, or a table of (page_id, bad).
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lower_ascii, without
+from tidemark.llm.common import lower_ascii, quoted, without
 from tidemark.session import stage
 
 #: Fixed values: (host, path, verdict).
@@ -126,22 +127,30 @@ def templates(pages: DataFrame) -> DataFrame:
     # siblings differ in their last literal segment only; {} stands for it
     sibling = F.regexp_replace("template", r"[^/*{}]+((/[*]+)*)$", r"{}$1")
     branches = tree.groupBy("host", "template").agg(
-        F.sum("known").alias("known"), F.sum("bad").alias("bad"), F.max(sibling).alias("sibling")
+        F.sum("pages").alias("pages"),
+        F.sum("known").alias("known"),
+        F.sum("bad").alias("bad"),
+        F.max(sibling).alias("sibling"),
     )
+    branches = stage(branches, "url-branches")
     together = branches.groupBy("host", "sibling").agg(
-        F.sum("known").alias("all_known"), F.sum("bad").alias("all_bad")
+        F.sum("known").alias("all_known"),
+        F.sum("bad").alias("all_bad"),
+        F.avg(F.when(F.col("known") > 0, F.col("pages"))).alias("usual"),
     )
     compared = branches.join(together, ["host", "sibling"])
     mean = F.col("all_bad") / F.col("all_known")
     error = F.sqrt(mean * (1 - mean) * (1 / F.col("known") - 1 / F.col("all_known")))
-    alike = (F.col("known") > 0) & (F.abs(F.col("bad") / F.col("known") - mean) <= ERRORS * error + 1e-9)
-    merged = F.when(F.col("known") > 0, F.when(alike, F.col("sibling")).otherwise(F.col("template")))
-    compared = compared.withColumn("merged", F.coalesce(merged, "template"))
-    total = branches.agg((F.sum("bad") / F.nullif(F.sum("known"), F.lit(0))).alias("overall"))
+    alike = F.abs(F.col("bad") / F.col("known") - mean) <= ERRORS * error + 1e-9
+    # a branch without labels has only its shape: the same depth and wildcards, and about as many pages
+    pages, usual = F.col("pages"), F.col("usual")
+    same_shape = (pages - usual) * (pages - usual) <= ERRORS**2 * (pages + usual)
+    joins = F.coalesce(F.when(F.col("known") > 0, alike).otherwise(same_shape), F.lit(False))
+    compared = compared.withColumn("merged", F.when(joins, F.col("sibling")).otherwise(F.col("template")))
+    overall = branches.agg(F.coalesce(F.sum("bad") / F.nullif(F.sum("known"), F.lit(0)), F.lit(0.0))).scalar()
     pure = compared.groupBy("host", "merged").agg(F.sum("known").alias("n"), F.sum("bad").alias("m"))
-    # one row of totals: a join on a constant key
-    pure = pure.withColumn("one", F.lit(1)).join(total.withColumn("one", F.lit(1)), "one")
-    purity = (F.col("m") + PRIOR * F.coalesce("overall", F.lit(0.0))) / (F.col("n") + PRIOR)
+    pure = pure.withColumn("overall", overall)
+    purity = (F.col("m") + PRIOR * F.col("overall")) / (F.col("n") + PRIOR)
     pure = pure.select(
         "host", "merged", purity.alias("purity"), ((F.col("n") > 0) & (purity >= REJECT)).alias("rejected")
     )
@@ -157,19 +166,25 @@ def filter_urls(
     """``pages`` (page_id, url, ..) with host, path, rule, template, purity and verdict (allow or block).
 
     The longest rule that fits decides; the other pages are blocked if their template is rejected. A
-    template without a labelled page is allowed. Null urls and urls without ``://`` have an empty host and
+    template without a labelled page, neither in it nor in those it merges with, is allowed. Null urls and urls without ``://`` have an empty host and
     path. Repeated rows are judged alike; columns with a name of those added are replaced.
     """
-    added = ["host", "path", "rule", "template", "purity", "verdict", "_says"]
-    own = without(pages, added).withColumns({"host": host(F.col("url")), "path": path(F.col("url"))})
+    added = ["host", "path", "rule", "template", "purity", "verdict"]
+    kept = without(pages, added).columns
+    own = pages.select(
+        F.struct(*[quoted(c) for c in kept]).alias("row"),
+        (F.col("page_id") if "page_id" in kept else F.lit(None)).alias("page_id"),
+        host(F.col("url")).alias("host"),
+        path(F.col("url")).alias("path"),
+    )
     text, says = rule(F.col("host"), F.col("path"), rules)
-    own = own.withColumns({"rule": text, "_says": says})
+    own = own.withColumns({"rule": text, "says": says})
     if labels is None:
-        marked = own.select("host", "path", (F.col("_says") == "block").alias("bad"))
+        marked = own.select("host", "path", (F.col("says") == "block").alias("bad"))
     else:
         known = labels.where("page_id IS NOT NULL").groupBy("page_id").agg(F.max(F.col("bad")).alias("bad"))
         marked = own.select("page_id", "host", "path").join(known, "page_id", "left").select("host", "path", "bad")
     found = templates(marked).select("host", "path", "template", "purity", "rejected")
-    verdict = F.coalesce("_says", F.when(F.col("rejected"), F.lit("block")).otherwise("allow"))
-    out = own.join(found, ["host", "path"], "left").withColumn("verdict", verdict)
-    return out.select(*without(pages, added).columns, "host", "path", "rule", "template", "purity", "verdict")
+    verdict = F.coalesce("says", F.when(F.col("rejected"), F.lit("block")).otherwise("allow")).alias("verdict")
+    out = own.join(found, ["host", "path"], "left")
+    return out.select(*[F.col("row").getField(c).alias(c) for c in kept], *added[:-1], verdict)
