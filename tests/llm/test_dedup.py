@@ -108,3 +108,13 @@ def test_keep_first_keeps_one_of_each_group(spark):
     least = near_components(rows)
     want = sorted([i for i, _ in rows if i is None or least[i] == i], key=repr)
     assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == want
+
+
+@pytest.mark.parametrize("name", ["_id", "_drop", "_hash", "_gone", "marked", "row"])
+def test_extra_columns_of_any_name(spark, name):
+    line = "a line that several documents hold"
+    rows = [(1, line + "\nfirst one", 7), (2, "second one\n" + line, 8)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, `{name}` int")
+    assert {r["text"]: r[name] for r in linededup.dedup_lines(docs).collect()} == {rows[0][1]: 7, "second one": 8}
+    assert {r["text"]: r[name] for r in linededup.cut_repeated_lines(docs).collect()} == {rows[0][1]: 7, "second one": 8}
+    assert sorted(r[name] for r in neardup.keep_first(docs).collect()) == [7, 8]

@@ -123,3 +123,24 @@ def test_plans_of_many_shards_meet_their_targets():
         assert abs(taken - goal) <= 1, (words_, goal, taken)
         full = (plan["quota"] == 3 * plan["blocks"]) & (plan["rest"] > 0)
         assert (plan["quota"] <= 3 * plan["blocks"]).all() and not full.any()
+
+
+def test_blocks_are_apportioned_to_sources_then_to_shards():
+    shards = pd.DataFrame(
+        {"_n": [0, 0, 0, 1, 1, 2, 3], "words": [5000, 4000, 130, 900, 800, 60, 0], "blocks": [39, 31, 1, 7, 6, 1, 1]}
+    )
+    target = {0: 8000.5, 1: 1900.0, 2: 180.0, 3: 0.0}
+    words, blocks = [9130, 1700, 60], [71, 13, 1]
+    wanted = [target[n] * b / w for n, (w, b) in enumerate(zip(words, blocks))] + [0.0]
+    seats = one_by_one(wanted, [3 * b for b in blocks] + [3], int(sum(wanted)))
+    want = one_by_one([5000, 4000, 130], [117, 93, 3], seats[0]) + one_by_one([900, 800], [21, 18], seats[1])
+    want += one_by_one([60], [3], seats[2]) + [0]
+    assert mixing.apportion(target, shards).tolist() == want and seats[3] == 0
+
+
+@pytest.mark.parametrize("name", ["_n", "_source", "_words", "_part", "_begin", "others", "_turn"])
+def test_extra_columns_of_any_name(spark, name):
+    rows = [(1, "a b c", "s", 7), (2, "d e", "t", 8)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, source string, `{name}` int")
+    got = mixing.mix(docs).collect()
+    assert {r["doc_id"]: r[name] for r in got} == {1: 7, 2: 8}

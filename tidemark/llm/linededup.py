@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WHITE, lower_ascii, quoted, without
+from tidemark.llm.common import WHITE, free_name, lower_ascii, quoted, without
 from tidemark.session import stage
 
 #: Shorter keys are never dropped.
@@ -107,25 +107,26 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
 
     Columns that are called n_lines or n_dropped already are replaced.
     """
+    source = without(docs, ["n_lines", "n_dropped"])
+    own_id, own_hash, drop = (free_name(source, c) for c in ("marked_id", "marked_hash", "marked"))
     marks = bitmaps.select(
-        F.col("doc_id").alias("_id"),
-        F.col("text_hash").alias("_hash"),
-        _dense(F.col("words")).alias("_drop"),
+        F.col("doc_id").alias(own_id),
+        F.col("text_hash").alias(own_hash),
+        _dense(F.col("words")).alias(drop),
     )
-    source = without(docs, ["n_lines", "n_dropped"])
     joined = source.join(
         marks,
-        (F.col("doc_id") == F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash")),
+        (F.col("doc_id") == F.col(own_id)) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(own_hash)),
         "left",
     )
 
     def stays(_: Column, i: Column) -> Column:
-        word = F.coalesce(F.get("_drop", F.floor(i / 64).cast("int")), F.lit(0).cast("long"))
+        word = F.coalesce(F.get(drop, F.floor(i / 64).cast("int")), F.lit(0).cast("long"))
         return F.call_function("getbit", word, i % 64) == 0
 
     kept = F.array_join(F.filter(split_lines(F.col("text")), stays), "\n")
-    text = F.when(F.col("_drop").isNull(), F.col("text")).otherwise(kept)
-    count = F.aggregate(F.transform("_drop", F.bit_count), F.lit(0), lambda a, x: a + x)
+    text = F.when(F.col(drop).isNull(), F.col("text")).otherwise(kept)
+    count = F.aggregate(F.transform(drop, F.bit_count), F.lit(0), lambda a, x: a + x)
     # one more than the line feeds; counting them makes no array
     feeds = F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
     return joined.select(
@@ -148,10 +149,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
 def cut_repeated_lines(docs: DataFrame) -> DataFrame:
     """``dedup_lines`` with the columns of ``docs``; ``n_chars``, if there, is counted anew if lines went."""
-    cut = dedup_lines(docs.select("doc_id", "text", F.struct(*[quoted(c) for c in docs.columns]).alias("_row")))
+    cut = dedup_lines(docs.select("doc_id", "text", F.struct(*[quoted(c) for c in docs.columns]).alias("row")))
     out = []
     for c in docs.columns:
-        old = F.col("_row").getField(c)
+        old = F.col("row").getField(c)
         if c.lower() == "text":
             old = F.col("text")
         elif c.lower() == "n_chars":

@@ -1,8 +1,9 @@
-"""Mixing sources to target weights with blocks of equal tokens, dealt to shards by Sainte-Laguë quotas.
+"""Mixing sources to target weights with blocks of equal tokens, apportioned by Sainte-Laguë quotas.
 
 Every source's words are dealt into shards of about the same size, each a sequence of its documents in
-a seeded order, cut into blocks of equal length. A source takes the whole blocks of its target, which highest
-quotients deal to its shards, and what is left of the target as the first words of further blocks. A shard with
+a seeded order, cut into blocks of equal length. All blocks of the mix are allocated to sources by highest
+quotients of their targets, and each source's blocks to its shards in the same way; what is left of a target in
+words is taken as the first words of further blocks. A shard with
 quota q and n blocks takes all blocks q // n times and q % n of them once more, chosen by a seeded stride that is
 coprime to n; the block next in turn is the one taken in part. Only sums per source
 and per shard reach the driver; there are at most ``MAX_SHARDS`` shards beyond one per source.
@@ -103,6 +104,25 @@ def _order(source: tuple[str | None, int]) -> tuple[bool, str]:
     return source[0] is None, source[0] or ""
 
 
+def apportion(target: dict[int, float], shards: pd.DataFrame) -> np.ndarray:
+    """Whole blocks to take from each shard: one apportionment over sources, then one over each source's shards.
+
+    ``shards`` has _n (number of the source), words and blocks. A source weighs as many of its blocks as its target
+    has, and can give each of them MOST_REPEATS times.
+    """
+    sums = shards.groupby("_n")[["words", "blocks"]].sum()
+    goal = np.array([target[n] for n in sums.index], float)
+    wanted = goal * sums["blocks"].to_numpy() / np.maximum(sums["words"].to_numpy(), 1)
+    wanted = np.where(sums["words"].to_numpy() > 0, wanted, 0.0)
+    seats = highest_quotients(wanted, MOST_REPEATS * sums["blocks"].to_numpy(), int(wanted.sum() + 1e-9))
+    quota = np.zeros(len(shards), np.int64)
+    for n, blocks in zip(sums.index, seats):
+        own = np.flatnonzero(shards["_n"].to_numpy() == n)
+        rows = shards.iloc[own]
+        quota[own] = highest_quotients(rows["words"].to_numpy(), MOST_REPEATS * rows["blocks"].to_numpy(), int(blocks))
+    return quota
+
+
 def plan_shards(target: dict[int, float], shards: pd.DataFrame, block: int = BLOCK_WORDS) -> pd.DataFrame:
     """``shards`` (_n: number of the source, _part, words) with blocks, their number, quota and rest.
 
@@ -112,18 +132,16 @@ def plan_shards(target: dict[int, float], shards: pd.DataFrame, block: int = BLO
     shards = shards.sort_values(["_n", "_part"]).reset_index(drop=True)
     shards["words"] = np.maximum(shards["words"].astype(np.int64), 0)
     shards["blocks"] = np.maximum(1, np.round(shards["words"] / block)).astype(np.int64)
-    shards["quota"], shards["rest"] = np.int64(0), np.int64(0)
+    shards["quota"], shards["rest"] = apportion(target, shards), np.int64(0)
     for n, rows in shards.groupby("_n"):
         words, blocks = rows["words"].to_numpy(), rows["blocks"].to_numpy()
         if not words.sum():
             continue
         limit, length = MOST_REPEATS * blocks, words / blocks
-        # a source's blocks are as long as its shards allow, so its target is counted in those
-        whole = int(target[n] * blocks.sum() / words.sum() + 1e-9)
-        quota = highest_quotients(words, limit, whole)
+        quota = rows["quota"].to_numpy().copy()
         rest = np.zeros(len(words), np.int64)
         left = int(round(target[n] - (quota * length).sum()))
-        # shards with blocks longer than average can exceed the target by a little
+        # blocks rounded up, or longer than average, can exceed the target by a little
         for i in np.argsort(-length, kind="stable"):
             if left >= 0:
                 break
@@ -191,8 +209,18 @@ def mix(docs: DataFrame, seed: int = SEED, carry: bool = True) -> DataFrame:
     are taken once more. ``taken`` counts words, repeats included, at most 3 times ``size``. A null
     text has size 0. Documents without a source form a source of their own, last in the order. The
     seeded order is by a hash of the id, so reruns agree; rows that repeat an id are documents of
-    their own. Columns with a name of those added are replaced.
+    their own. Columns with a name of those added are replaced; others may have any name.
     """
+    names = without(docs, ADDED).columns if carry else ["doc_id", "source"]
+    own = {"doc_id", "source", "text"}
+    others = [c for c in names if c.lower() not in own]
+    source = [F.col(c) for c in sorted(own)] + [F.struct(*[quoted(c) for c in others]).alias("others")] * bool(others)
+    mixed = _mix(docs.select(*source), seed, carry)
+    columns = [(F.col(c) if c.lower() in own else F.col("others").getField(c)).alias(c) for c in names]
+    return mixed.select(*columns, *ADDED)
+
+
+def _mix(docs: DataFrame, seed: int, carry: bool) -> DataFrame:
     spark = docs.sparkSession
     light = stage(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
     sources = light.groupBy("source").agg(F.sum("size").alias("total")).collect()
