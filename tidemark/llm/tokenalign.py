@@ -29,7 +29,7 @@ from tidemark.session import stage
 #: Bytes of text in a block, unless one document alone has more.
 BLOCK = 1 << 21
 #: Distinct units whose alignment a task remembers; beyond it, it starts afresh.
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 19
 #: Units that are encoded at a time, and how many of them stand in a row.
 STRETCH, ROW = 1 << 13, 128
 #: Bits of an id pair's key that hold the second id.
