@@ -27,6 +27,8 @@ RULES = (
 
 #: Levels of the tree that are built before it is staged; those of the SQL, which knows no deeper ones.
 LEVELS = 4
+#: Tasks that the paths of one place are dealt to where they are joined with what is known of it.
+SLOTS = 32
 #: A segment varies if it is a number (with an ending), or if its place holds at least so many pages
 #: and so large a share of different segments.
 NUMBER = r"^[0-9]+([.][A-Za-z0-9]+)?$"
@@ -73,7 +75,10 @@ def _next_level(tree: DataFrame, level: int) -> DataFrame:
     varied = places.where(
         (F.col("all_pages") >= LEAST_PAGES) & (F.col("different") >= LEAST_SHARE * F.col("all_pages"))
     ).select("host", "template", F.lit(True).alias("varied"))
-    joined = tree.join(varied, ["host", "template"], "left")
+    # at the first level the template is empty, so a host's paths are dealt to slots
+    varied = varied.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
+    slot = F.pmod(F.xxhash64("path"), F.lit(SLOTS)).cast("int")
+    joined = tree.withColumn("slot", slot).join(varied, ["host", "template", "slot"], "left")
     wild = F.coalesce("varied", F.lit(False)) | F.col("segment").rlike(NUMBER)
     name = F.when(wild, F.lit("*")).otherwise(F.col("segment"))
     longer = F.when(F.col("segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), name))
