@@ -211,14 +211,16 @@ def _open_buckets(pairs: DataFrame, found: DataFrame) -> DataFrame:
     same = F.col("n") - F.size("outside")
     sure = F.greatest(F.ceil(F.col("n") * (SIMILARITY / 100) - F.lit(1e-9)) - same, F.lit(1))
     enough = (F.size("outside") - sure + 1).alias("enough")
+    # from here on a bucket is the hash of hub and shingle: grouped by both, a hub's sets would stay in one task
     spread = members.select("a", "b", "component", enough, F.explode("outside").alias("k"))
-    often = spread.groupBy("b", "k").agg(
+    spread = spread.select("a", "b", "component", "enough", F.xxhash64("b", "k").alias("bucket"))
+    often = spread.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("often"), F.min("component").alias("x"), F.max("component").alias("y")
     )
-    rarest = Window.partitionBy("a", "b").orderBy("often", "k")
-    ranked = spread.join(often, ["b", "k"]).withColumn("rank", F.row_number().over(rarest))
+    rarest = Window.partitionBy("a", "b").orderBy("often", "bucket")
+    ranked = spread.join(often, "bucket").withColumn("rank", F.row_number().over(rarest))
     ranked = ranked.where("rank <= enough AND x < y")
-    outside = ranked.select(F.xxhash64("b", "k").alias("bucket"), F.col("a").alias("node"), "component", F.lit(3).alias("side"))
+    outside = ranked.select("bucket", F.col("a").alias("node"), "component", F.lit(3).alias("side"))
     key = F.explode("inside").alias("k")
     inside = members.select("b", F.col("a").alias("node"), "component", key).select(
         F.xxhash64("b", F.floor(F.col("k") / 4).cast("long"), F.lit("inside")).alias("bucket"),
