@@ -21,7 +21,7 @@ from tidemark.llm.common import groups
 
 BITS = 20
 #: Code points that are hashed at a time. A longer text is cut into overlapping runs, none is shortened.
-RUN = 1 << 19
+RUN = 1 << 17
 #: What a short text counts for at least, so that a run holds at most RUN / LEAST rows.
 LEAST = 2048
 
