@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import linededup, mixing, neardup, queries, toxicity
@@ -47,16 +49,33 @@ STAGES = [
 ORACLE_SQL = None
 
 
+#: Bytes of texts that a Python worker gets at a time. Executors run all stages in turn, so buffers that one
+#: stage needed stay beside what the next one does.
+BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession):
+    """Arrow batches of ``BATCH_BYTES`` while the block runs; then the session's own setting again."""
+    own = spark.conf.get(BATCH_KEY)
+    spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_KEY, own)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``, each written as Parquet to the shared folder and read again.
 
     A stage's folder goes once the next one is written.
     """
     docs, before = table(spark, sf_dir, "documents"), None
-    for name, stage in STAGES:
-        path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        if before:
-            delete_path(spark, before)
-        docs, before = spark.read.parquet(path), path
+    with small_batches(spark):
+        for name, stage in STAGES:
+            path = scratch_path(spark, f"pipeline-{name}")
+            stage(spark, docs, sf_dir).write.parquet(path)
+            if before:
+                delete_path(spark, before)
+            docs, before = spark.read.parquet(path), path
     return docs
