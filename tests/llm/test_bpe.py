@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 import tiktoken
 from plain import AWKWARD, SCHEMA, documents
+from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, queries
 
@@ -49,6 +50,14 @@ def test_ids_do_not_depend_on_chunks(spark, vocabulary, library, chunk, overlap)
         assert bytes(r["decoded"]) == (texts[r["doc_id"]] or "").encode()
 
 
+def test_both_ways_in_one_pass(spark, vocabulary):
+    texts = [t for _, t, _ in AWKWARD] + ODD
+    docs = documents(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    apart = bpe.decode(bpe.encode(docs, *vocabulary, chunk=64, overlap=24), *vocabulary)
+    at_once = bpe.encode(docs.withColumn("decoded", F.lit(1)), *vocabulary, chunk=64, overlap=24, decoded=True)
+    assert sorted(map(tuple, at_once.collect())) == sorted(map(tuple, apart.collect()))
+
+
 def test_empty_table(spark, vocabulary):
     empty = spark.createDataFrame([], SCHEMA)
     assert bpe.decode(bpe.encode(empty, *vocabulary), *vocabulary).collect() == []

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import free_name, quoted, with_arrow, without
+from tidemark.llm.common import free_name, lean, quoted, with_arrow, without
 from tidemark.session import stage
 
 #: Characters of a chunk, without the overlap with the next one.
@@ -28,6 +28,22 @@ OVERLAP = 1 << 10
 REMEMBERED = 1 << 17
 
 
+class _Remembered(dict):
+    """Ids of pre-tokens, as bytes, worked out at first use."""
+
+    def __init__(self, plain):
+        super().__init__()
+        self.plain = plain
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        ids = np.array(self.plain.encode_ordinary(piece), "<u4").tobytes()
+        if len(piece) < 64:
+            self[piece] = ids
+        return ids
+
+
 class Codec:
     """Vocabulary and pattern, loaded where they are used. ``ranks`` is the text of a rank file."""
 
@@ -38,19 +54,8 @@ class Codec:
         table = {base64.b64decode(a): int(b) for a, b in (x.split() for x in ranks.splitlines() if x)}
         self.pattern = regex.compile(pattern)
         self.bytes_of = {i: token for token, i in table.items()}
-        plain = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-        self.plain = plain
-
-        class Ids(dict):
-            def __missing__(self, piece: str) -> bytes:
-                if len(self) >= REMEMBERED:
-                    self.clear()
-                ids = np.array(plain.encode_ordinary(piece), "<u4").tobytes()
-                if len(piece) < 64:
-                    self[piece] = ids
-                return ids
-
-        self.ids = Ids()
+        self.plain = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+        self.ids = _Remembered(self.plain)
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
@@ -95,27 +100,41 @@ def _once(ranks: bytes, pattern: str):
     return codec
 
 
-def encode(docs: DataFrame, ranks: bytes, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+def encode(
+    docs: DataFrame,
+    ranks: bytes,
+    pattern: str,
+    chunk: int = CHUNK,
+    overlap: int = OVERLAP,
+    decoded: bool = False,
+) -> DataFrame:
     """``docs`` with ``ids`` (binary, little-endian unsigned 32-bit) and ``n_tokens``.
 
     Whole texts are encoded, without special tokens; a null or empty text has no token. Columns that are
-    called ids or n_tokens already are replaced; rows that repeat are encoded one by one.
+    called ids or n_tokens already are replaced; rows that repeat are encoded one by one. With ``decoded``
+    there is a column of that name too, as of ``decode``; short texts' ids are decoded by the worker that
+    made them, which saves a second worker with its own vocabulary for each task.
     """
-    source = without(docs, ["ids", "n_tokens"])
+    added = [IDS, N_TOKENS, *([DECODED] if decoded else [])]
+    source = without(docs, [f.name for f in added])
     long = F.coalesce(F.length("text"), F.lit(0)) > chunk
     codec = _once(ranks, pattern)
 
     def make(texts: pa.Array) -> list[pa.Array]:
         ids = [codec().encode(t) if t else b"" for t in texts.to_pylist()]
-        return [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
+        made = [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
+        if decoded:
+            made.append(pa.array([codec().decode(x) for x in ids], pa.binary()))
+        return made
 
-    short = with_arrow(source.where(~long), "text", make, [IDS, N_TOKENS])
+    short = with_arrow(source.where(~long), "text", make, added)
     key = free_name(source, "_key")
     keyed = source.where(long).withColumn(key, F.sha2(F.encode("text", "utf-8"), 256))
     ids = _encode_long(keyed.select(F.col(key).alias("_key"), "text"), ranks, pattern, chunk, overlap)
     joined = keyed.join(ids.withColumnRenamed("_key", key), key)
     joined = joined.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
-    return short.unionByName(joined.select(*[quoted(c) for c in source.columns], "ids", "n_tokens"))
+    joined = joined.select(*[quoted(c) for c in source.columns], "ids", "n_tokens")
+    return short.unionByName(decode(joined, ranks, pattern) if decoded else joined)
 
 
 def _encode_long(texts: DataFrame, ranks: bytes, pattern: str, chunk: int, overlap: int) -> DataFrame:
@@ -145,8 +164,8 @@ def _encode_long(texts: DataFrame, ranks: bytes, pattern: str, chunk: int, overl
             )
 
     distinct = texts.groupBy("_key").agg(F.first("text").alias("text"))
-    chunks = distinct.mapInArrow(cut, "_key string, no long, part string").repartition("_key", "no")
-    marked = chunks.mapInArrow(pre_tokenise, "_key string, no long, part string, head array<long>, tail array<long>")
+    chunks = distinct.mapInArrow(lean(cut), "_key string, no long, part string").repartition("_key", "no")
+    marked = chunks.mapInArrow(lean(pre_tokenise), "_key string, no long, part string, head array<long>, tail array<long>")
     marked = stage(marked, "bpe-chunks")
     runs = marked.select("_key", "no", "head", "tail").groupBy("_key").applyInPandas(
         stitch, "_key string, no long, run long, begin long, stop long"

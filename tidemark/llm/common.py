@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import ctypes
+import functools
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +46,33 @@ def free_name(df: DataFrame, wish: str) -> str:
     return wish
 
 
+@functools.cache
+def _trim() -> Callable[[int], int] | None:
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return what Arrow and the C library keep for later use to the system.
+
+    Spark's Python workers outlive their tasks, so memory that one stage leaves in them is missing in the next.
+    """
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
+
+
+def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``work``, which treats each batch by itself, with its memory given back after every batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from work(iter([batch]))
+            del batch
+            give_back()
+
+    return run
+
+
 def with_arrow(df: DataFrame, column: str, make, added: Sequence[T.StructField]) -> DataFrame:
     """``df`` plus columns that ``make(Arrow array) -> list of Arrow arrays`` computes from one column.
 
@@ -60,7 +89,7 @@ def with_arrow(df: DataFrame, column: str, make, added: Sequence[T.StructField])
             parts = [make(whole.slice(at, SLICE)) for at in range(0, max(len(whole), 1), SLICE)]
             yield pa.StructArray.from_arrays([pa.concat_arrays(x) for x in zip(*parts)], names)
             del whole, parts
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     computed = source.withColumn(made, run(quoted(column)))
     kept = [quoted(c) for c in without(source, names).columns]

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import quoted, without
+from tidemark.llm.common import lean, quoted, without
 from tidemark.session import stage
 
 #: Fixed values of the mix: weights by position of the source, and the most a source is repeated.
@@ -304,7 +304,7 @@ def mixed_texts(docs: DataFrame, seed: int = SEED) -> DataFrame:
                 columns[count] = pc.coalesce(length.cast(columns[count].type), columns[count])
             yield pa.RecordBatch.from_arrays(columns, titles)
 
-    return mixed.mapInArrow(copy, docs.schema)
+    return mixed.mapInArrow(lean(copy), docs.schema)
 
 
 def cut(text: str, ranges: list[dict[str, int]]) -> str:

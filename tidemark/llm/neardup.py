@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import quoted
+from tidemark.llm.common import lean, quoted
 from tidemark.llm.shingles import mix64, shingle_sets
 from tidemark.session import stage
 
@@ -72,7 +72,7 @@ def signatures(docs: DataFrame) -> DataFrame:
             )
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return source.mapInArrow(make, "doc_id long, n long, f1 long, f2 long, sig binary")
+    return source.mapInArrow(lean(make), "doc_id long, n long, f1 long, f2 long, sig binary")
 
 
 def _banded(classes: DataFrame) -> DataFrame:
@@ -159,7 +159,7 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     joined = pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb")
     schema = "a long, b long, n long, linked boolean, outside array<long>, inside array<long>"
-    return joined.mapInArrow(compare, schema)
+    return joined.mapInArrow(lean(compare), schema)
 
 
 def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -175,7 +175,7 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
     few = nodes.count() <= BROADCAST_IDS
     sets = texts.join(F.broadcast(nodes) if few else nodes, "node", "left_semi")
-    sets = sets.mapInArrow(make, "node long, shingles binary")
+    sets = sets.mapInArrow(lean(make), "node long, shingles binary")
     return sets.withColumn("h", F.xxhash64("shingles")).dropDuplicates(["node", "h"]).drop("h")
 
 

@@ -54,9 +54,7 @@ def vocabulary() -> tuple[bytes, str]:
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of the encoded and decoded texts."""
     ranks, pattern = vocabulary()
-    encoded = bpe.encode(docs.select("doc_id", "text"), ranks, pattern).drop("text")
-    decoded = bpe.decode(encoded, ranks, pattern)
-    return decoded.select(
+    return bpe.encode(docs.select("doc_id", "text"), ranks, pattern, decoded=True).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -8,7 +8,7 @@ from tidemark.llm.common import groups
 
 WORDS = 5
 #: Bytes of text that are hashed at a time; a longer text is hashed alone.
-RUN = 1 << 20
+RUN = 1 << 18
 
 #: For bytes: white space is 1 in the first table, A-Z become a-z and each byte 64 random bits in the second.
 _SPACE = np.zeros(256, bool)
