@@ -187,7 +187,9 @@ def _central_hubs(members: DataFrame, stars: DataFrame, pairs: DataFrame) -> Dat
     of its nodes', which needn't be in it. So the buckets of a group settle on the text that most derive from.
     """
     weight = pairs.groupBy(F.col("b").alias("hub")).agg(F.sum(F.col("linked").cast("long")).alias("weight"))
-    heaviest = members.join(stars, "bucket").join(weight, "hub", "left").fillna(0, ["weight"])
+    # a node is in one bucket a band, so it is the first hub of as many at most; members meet the weight by bucket
+    weighed = stars.join(weight, "hub", "left").fillna(0, ["weight"])
+    heaviest = members.join(weighed, "bucket")
     for key in ("node", "bucket"):
         best = heaviest.groupBy(key).agg(F.max(F.struct("weight", (-F.col("hub")).alias("hub"))).alias("best"))
         best = best.select(key, F.col("best.weight").alias("weight"), (-F.col("best.hub")).alias("hub"))
