@@ -7,6 +7,7 @@ from plain import AWKWARD, SCHEMA, deduped_lines, documents, near_components, sh
 
 from tidemark.llm import linededup, neardup
 from tidemark.llm.common import table
+from tidemark.session import stage
 
 SF = "/root/testdata/sf0.001"
 
@@ -96,6 +97,31 @@ def test_a_large_group_with_links_of_all_strengths(spark):
     assert got == expected(rows)
 
 
+def test_a_large_group_costs_no_square_of_comparisons(spark, monkeypatch):
+    """Texts that differ from one base at many places, mostly too far for a link, with few replacements to draw from."""
+    draw = random.Random(9)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(400):
+        own = list(base)
+        for _ in range(draw.randrange(4, 12)):
+            own[draw.randrange(len(own))] = f"x{draw.randrange(6)}"
+        if i % 3 == 0:
+            own = own[: draw.randrange(100, 149)]
+        rows.append((i, " ".join(own)))
+    compared = []
+
+    def counted(df, name):
+        out = stage(df, name)
+        if name == "near-pairs":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "stage", counted)
+    assert near(spark.createDataFrame(rows, "doc_id long, text string")) == expected(rows)
+    assert sum(compared) < 15 * len(rows)
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(60)] + [(101, 100)], "a long, b long")
     got = {r["node"]: r["component"] for r in neardup.components(edges, "chain").collect()}

@@ -2,14 +2,14 @@
 
 Each permutation of the shingle hashes gives two signature values, its minimum and its maximum, so 72
 values cost 36 hash evaluations. Bands of three values make buckets. Texts with the same
-shingle set are one class from the start. At first a bucket's classes aren't paired with each other: each is
-held against one hub, on full sets. Two classes that are both linked to the hub are connected. If one
-isn't, the two can only be linked if they share a shingle that the hub lacks, or if both lie almost
-wholly in the hub; so new buckets are made of the shingles outside the hub and the size classes
-inside it, where components still differ. These are short; their classes are held against 8, 512, 32768 .. hubs a
-round until a bucket is connected or done, which for one that stays open comes to all pairs of
-unconnected members. A large group of near copies costs a star and
-short lists instead of a square unless it stays open, and no link between components is left out.
+shingle set are one class from the start, and a bucket holds classes of like size. At first a bucket's classes
+aren't paired with each other: each is held against one hub, on full sets. Two classes that are both
+linked to the hub are connected. If one isn't, the two can only be linked if they differ from the hub in
+the same way: the shingles in which each differs, those it adds and those it lacks, must have a good
+part in common. So new buckets are made of the rarest of these shingles, where components still differ.
+They are short; their classes are held against 8, 512, 32768 .. hubs a round until a bucket is connected
+or done, but only those whose remaining shingles suffice for a link. A large group of near copies costs
+a star and short lists instead of a square, and no link between components is left out.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ ROWS, BANDS = 3, 24
 HASHES = ROWS * BANDS // 2
 #: Odd multipliers: x -> a * x permutes the 64-bit hashes.
 _FACTORS = np.random.default_rng(36).integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: Growth of set sizes from one size class to the next.
-SIZE_STEP = 1.01
+#: Growth of set sizes from one size class to the next: more than that between two linked sets.
+SIZE_STEP = 1.01 * 100 / SIMILARITY
 #: Up to so many ids (8 bytes each) are broadcast to pick out their texts; beyond it, both sides are shuffled.
 BROADCAST_IDS = 2_000_000
 
@@ -76,11 +76,27 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def _banded(classes: DataFrame) -> DataFrame:
-    """bucket (64-bit hash of band and its values), node: one row per class and band."""
+    """bucket (64-bit hash of band and its values), node, n: one row per class and band."""
     width = 4 * ROWS
     parts = [F.substring("sig", 1 + width * b, width) for b in range(BANDS)]
     buckets = F.array(*[F.xxhash64(F.lit(b), part) for b, part in enumerate(parts)])
-    return classes.select("node", F.explode(buckets).alias("bucket"))
+    return classes.select("node", "n", F.explode(buckets).alias("bucket"))
+
+
+def _shared(members: DataFrame) -> DataFrame:
+    """The members of buckets that hold two or more."""
+    several = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("bucket")
+    return members.join(several, "bucket")
+
+
+def _by_size(members: DataFrame) -> DataFrame:
+    """bucket, node: each bucket divided by size class; a set is in its own and in the next one.
+
+    Linked sets are of the same class or of neighbouring ones, so they meet in one of the new buckets.
+    """
+    own = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(SIZE_STEP)))).cast("long")
+    divided = members.select("bucket", "node", F.explode(F.array(own, own + 1)).alias("size"))
+    return divided.select(F.xxhash64("bucket", "size").alias("bucket"), "node")
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -113,35 +129,15 @@ def _are_stars(pairs: DataFrame) -> bool:
     return not seen.where("ups > 1 OR (ups = 1 AND least = 0)").head(1)
 
 
-def _size_class(n):
-    return np.floor(np.log(np.maximum(n, 1)) / np.log(SIZE_STEP) + 1e-9).astype(np.int64)
-
-
-def against_hub(x: np.ndarray, hub: np.ndarray) -> tuple[bool, np.ndarray, np.ndarray]:
-    """(linked, shingles outside, keys inside) of a set and its hub, both sorted.
-
-    Let t be the similarity, i and j two sets with at least ``need`` = t / (1 + t) * (|i| + |j|) common
-    shingles, and o_i the number i shares with the hub. If need > min(o_i, o_j), i and j share a
-    shingle outside the hub, even t * |i| - o_i of them at least, see ``_open_buckets``. Else
-    |j| <= (1 + t) / t * o_i - |i|, which gives the size classes j can have; a key is the pair of both
-    classes, and which of them i is in.
-    """
-    t = SIMILARITY / 100
-    outside = np.setdiff1d(x, hub, assume_unique=True)
-    same = len(x) - len(outside)
-    linked = 100 * same >= SIMILARITY * (len(x) + len(hub) - same)
-    outside = outside.view(np.int64)
-    largest = (1 + t) / t * same - len(x)
-    if largest < t * len(x) - 1e-9:
-        return linked, outside, np.empty(0, np.int64)
-    own = int(_size_class(len(x)))
-    other = np.arange(_size_class(int(np.ceil(t * len(x) - 1e-9))), _size_class(int(largest + 1e-9)) + 1)
-    sides = (own <= other) + 2 * (own >= other)  # whether the own size is the smaller, the larger or both
-    return linked, outside, (np.minimum(own, other) * (1 << 20) + np.maximum(own, other)) * 4 + sides
+def against_hub(x: np.ndarray, hub: np.ndarray) -> tuple[bool, np.ndarray]:
+    """(linked, shingles that only one of both holds) of a set and its hub, both sorted."""
+    differ = np.setxor1d(x, hub, assume_unique=True)
+    same = (len(x) + len(hub) - len(differ)) // 2
+    return 100 * same >= SIMILARITY * (same + len(differ)), differ.view(np.int64)
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b (a hub), n (size of a's set), linked, outside, inside for each pair: see ``against_hub``."""
+    """a, b (a hub), n (size of a's set), linked, differ for each pair: see ``against_hub``."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
 
@@ -151,15 +147,14 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 against_hub(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
                 for x, y in zip(batch.column("sa"), batch.column("sb"))
             ]
-            keys = [pa.array([f[i] for f in found], pa.list_(pa.int64())) for i in (1, 2)]
+            differ = pa.array([f[1] for f in found], pa.list_(pa.int64()))
             linked = pa.array([bool(f[0]) for f in found], pa.bool_())
             n = pa.array([len(x.as_buffer()) // 8 for x in batch.column("sa")], pa.int64())
-            names = ["a", "b", "n", "linked", "outside", "inside"]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), n, linked, *keys], names)
+            names = ["a", "b", "n", "linked", "differ"]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), n, linked, differ], names)
 
     joined = pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb")
-    schema = "a long, b long, n long, linked boolean, outside array<long>, inside array<long>"
-    return joined.mapInArrow(lean(compare), schema)
+    return joined.mapInArrow(lean(compare), "a long, b long, n long, linked boolean, differ array<long>")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -199,43 +194,46 @@ def _central_hubs(members: DataFrame, stars: DataFrame, pairs: DataFrame) -> Dat
 
 
 def _open_buckets(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """bucket, node: where links between components may still be, after ``pairs`` were compared.
-
-    A set with o of n shingles in the hub shares s = t * n - o or more shingles outside it with any other
-    that it is linked to by such. So of its shingles outside, from the rarest among the hub's
-    sets to the most frequent, all but the last s - 1 are enough to meet.
+    """bucket, node, side, excess, reach: where links between components may still be, after ``pairs`` were compared.
+
+    Let d_i be the number of shingles in which i differs from the hub h, p = 100 - SIMILARITY and
+    q = 100 + SIMILARITY. As i and j differ where only one of them differs from h, they are linked if
+    2q * (shingles in which both differ) >= e_i + e_j, where e_i = q * d_i - p * n_i is i's excess. For i not
+    linked to h, e_i > p * n_h; for j linked to h, -p * n_h <= e_j <= p * n_h. So the sum is positive unless
+    both are linked to h, that is connected, and there is a first common shingle from the rarest among the hub's
+    sets to the most frequent. In the one of less excess it is followed by e_i / q - 1 others or more (side 1), in
+    the other by (e_j + the hub's least) / 2q - 1 or more (side 2). A set linked to h only meets sets of more excess.
+    What both have in common is bounded by what is left from that shingle on in either, so neither's excess
+    goes beyond the other's ``reach``, 2q * left - e.
     """
+    p, q = 100 - SIMILARITY, 100 + SIMILARITY
     label = found.select(F.col("node").alias("a"), F.col("component"))
     own = F.coalesce("component", "a").alias("component")
-    members = pairs.join(label, "a", "left").select("a", "b", "n", "outside", "inside", own)
-    several = members.groupBy("b").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    members = members.join(several.where("x < y").select("b"), "b")
-    same = F.col("n") - F.size("outside")
-    sure = F.greatest(F.ceil(F.col("n") * (SIMILARITY / 100) - F.lit(1e-9)) - same, F.lit(1))
-    enough = (F.size("outside") - sure + 1).alias("enough")
+    excess = (q * F.size("differ") - p * F.col("n")).cast("long").alias("excess")
+    members = pairs.join(label, "a", "left").select("a", "b", "linked", "differ", own, excess)
+    several = members.groupBy("b").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.min("excess").alias("least")
+    )
+    members = members.join(several.where("x < y").select("b", "least"), "b")
+    size = F.size("differ").alias("size")
+    least_left = [
+        F.greatest(F.ceil(e), F.lit(1)).alias(name)
+        for name, e in (("first", F.col("excess") / q), ("second", (F.col("excess") + F.col("least")) / (2 * q)))
+    ]
     # from here on a bucket is the hash of hub and shingle: grouped by both, a hub's sets would stay in one task
-    spread = members.select("a", "b", "component", enough, F.explode("outside").alias("k"))
-    spread = spread.select("a", "b", "component", "enough", F.xxhash64("b", "k").alias("bucket"))
+    spread = members.select("a", "b", "linked", "component", "excess", size, *least_left, F.explode("differ").alias("k"))
+    spread = spread.withColumn("bucket", F.xxhash64("b", "k")).drop("k")
     often = spread.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("often"), F.min("component").alias("x"), F.max("component").alias("y")
     )
     rarest = Window.partitionBy("a", "b").orderBy("often", "bucket")
-    ranked = spread.join(often, "bucket").withColumn("rank", F.row_number().over(rarest))
-    ranked = ranked.where("rank <= enough AND x < y")
-    outside = ranked.select("bucket", F.col("a").alias("node"), "component", F.lit(3).alias("side"))
-    key = F.explode("inside").alias("k")
-    inside = members.select("b", F.col("a").alias("node"), "component", key).select(
-        F.xxhash64("b", F.floor(F.col("k") / 4).cast("long"), F.lit("inside")).alias("bucket"),
-        "node",
-        "component",
-        (F.col("k") % 4).cast("int").alias("side"),
-    )
-    spread = outside.unionByName(inside)
-    ends = spread.groupBy("bucket").agg(
-        F.min("component").alias("x"), F.max("component").alias("y"), F.bit_or("side").alias("sides")
-    )
-    ends = ends.where("x < y AND sides = 3").select("bucket")
-    return spread.join(ends, "bucket").select("bucket", "node", "side").distinct()
+    ranked = spread.join(often, "bucket").withColumn("left", F.col("size") - F.row_number().over(rarest) + 1)
+    side = F.when(F.col("left") >= F.col("first"), 1).otherwise(0) + F.when(
+        ~F.col("linked") & (F.col("left") >= F.col("second")), 2
+    ).otherwise(0)
+    ranked = ranked.where("x < y").withColumn("side", side).where("side > 0")
+    reach = (2 * q * F.col("left") - F.col("excess")).alias("reach")
+    return ranked.select("bucket", F.col("a").alias("node"), "side", "excess", reach)
 
 
 def _unlinked(members: DataFrame, stars: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -246,11 +244,21 @@ def _unlinked(members: DataFrame, stars: DataFrame, pairs: DataFrame) -> DataFra
 
 
 def _still_open(members: DataFrame, found: DataFrame) -> DataFrame:
-    """The members of buckets that lie in two components or more, with their component, if any."""
+    """The members, with their component, if any, that may be linked to one of another component.
+
+    That is those in buckets of two components or more whose excess is within the reach of another side's and the other way round.
+    """
     label = members.join(found, "node", "left")
     own = F.coalesce("component", "node")
-    ends = label.groupBy("bucket").agg(F.min(own).alias("x"), F.max(own).alias("y"))
-    return label.join(ends.where("x < y").select("bucket"), "bucket")
+    bounds = [
+        f(F.when(F.col("side").bitwiseAND(side) > 0, F.col(c))).alias(f"{c}{side}")
+        for side in (1, 2)
+        for c, f in (("excess", F.min), ("reach", F.max))
+    ]
+    ends = label.groupBy("bucket").agg(F.min(own).alias("x"), F.max(own).alias("y"), *bounds)
+    near = "((side & {0}) > 0 AND excess <= reach{1} AND reach >= excess{1})"
+    kept = label.join(ends.where("x < y"), "bucket").where(f"{near.format(1, 2)} OR {near.format(2, 1)}")
+    return kept.select("bucket", "node", "side", "excess", "reach", "component")
 
 
 def _next_hubs(members: DataFrame, hubs: int) -> DataFrame:
@@ -259,12 +267,14 @@ def _next_hubs(members: DataFrame, hubs: int) -> DataFrame:
     In a bucket of one large component and a few single texts these are all that must be compared.
     """
     slot = F.pmod(F.xxhash64("node"), F.lit(hubs)).alias("slot")
-    first = F.min(F.struct(F.col("component").isNotNull().alias("linked"), "node", "side", "component"))
+    first = F.min(F.struct(F.col("component").isNotNull().alias("linked"), "node", "side", "excess", "reach", "component"))
     chosen = members.groupBy("bucket", slot).agg(first.alias("hub"))
     return chosen.select(
         "bucket",
         F.col("hub.node").alias("hub"),
         F.col("hub.side").alias("hub_side"),
+        F.col("hub.excess").alias("hub_excess"),
+        F.col("hub.reach").alias("hub_reach"),
         F.col("hub.component").alias("hub_component"),
     )
 
@@ -300,9 +310,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     several = member.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("c")).where("b < c")
     tied = member.join(several, "doc_id").where("node <> b")
     links = stage(tied.select(F.col("node").alias("a"), "b").distinct(), "near-links")
-    banded = _banded(classes)
-    shared = banded.groupBy("bucket").agg(F.count("node").alias("m")).where("m > 1").select("bucket")
-    members = stage(banded.join(shared, "bucket").select("bucket", "node").distinct(), "near-buckets")
+    members = _shared(_by_size(_shared(_banded(classes))))
+    members = stage(members.select("bucket", "node").distinct(), "near-buckets")
     sets = stage(_sets(docs, stage(members.select("node").distinct(), "near-nodes")), "near-sets")
     found = components(links, "near-components")
     stars = stage(members.groupBy("bucket").agg(F.min("node").alias("hub")), "near-stars")
@@ -321,6 +330,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         hub = stage(_next_hubs(members, hubs), "near-hubs")
         ends = members.join(hub, "bucket").where(
             "node <> hub AND (side | hub_side) = 3 AND NOT (component <=> hub_component AND component IS NOT NULL)"
+            " AND excess <= hub_reach AND hub_excess <= reach"
         )
         pairs = ends.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
         found = _joined(found, stage(_compared(pairs, sets), "near-pairs"))
